@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brightloom.operators.quality import union_all
-
 
 def heat_table(df: DataFrame, row: str, column: str, columns: Sequence[int], value: str) -> DataFrame:
     """Mean of ``value`` with one column per value of ``column``."""
@@ -43,7 +44,15 @@ def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return correlations(df, list(combinations(columns, 2)))
+    """Pearson r of all pairs of columns without nulls, as (left, right, r); null where a
+    column is constant. The cross-products are one pass; only the p x p matrix returns."""
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(df).select("v")
+    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+    rows = [
+        (columns[i], columns[j], None if math.isnan(matrix[i, j]) else float(matrix[i, j]))
+        for i, j in combinations(range(len(columns)), 2)
+    ]
+    return df.sparkSession.createDataFrame(rows, "left string, right string, r double")
 
 
 def redundant_pairs(matrix: DataFrame, target: str, limit: float = 0.85) -> DataFrame:
@@ -68,10 +77,8 @@ def lag_window_scan(
     sums = {f"sum_{n}h": F.sum(rain).over(w.rowsBetween(-(n - 1), 0)) for n in windows}
     lagged = {f"lag_{n}h": F.lag(level, n).over(w) for n in steps}
     wide = df.withColumns({**sums, **lagged})
-    scan = union_all([
-        correlations(wide, [(c, flag) for c in cols]).select(
-            F.lit(kind).alias("kind"), F.col("left").alias("feature"), "r")
-        for kind, cols in (("window", sums), ("lag", lagged))
-    ])
+    kind = F.when(F.col("left").startswith("sum_"), "window").otherwise("lag")
+    scan = correlations(wide, [(c, flag) for c in (*sums, *lagged)]).select(
+        kind.alias("kind"), F.col("left").alias("feature"), "r")
     best = scan.groupBy("kind").agg(F.max_by("feature", F.struct("r", "feature")).alias("best"))
     return scan.join(best, "kind").select("kind", "feature", "r", (F.col("feature") == F.col("best")).alias("is_best"))

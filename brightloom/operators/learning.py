@@ -72,7 +72,9 @@ def feature_names(model: PipelineModel, numeric: Sequence[str], categorical: Seq
 
 
 def with_class_weight(df: DataFrame, label: str) -> DataFrame:
-    ratio = class_weight(df, label).select("pos_weight").scalar()
+    """Positives weigh as much as negatives in sum; a label of one class weighs 1."""
+    ratio = class_weight(df, label).select(
+        F.when((F.col("negatives") > 0) & (F.col("positives") > 0), F.col("pos_weight")).otherwise(1.0)).scalar()
     return df.withColumn("weight", F.when(F.col(label) == 1, ratio).otherwise(1.0))
 
 
@@ -122,7 +124,8 @@ def search(df: DataFrame, label: str, trials: int = 6, seed: int = 42) -> DataFr
 
 
 def probability(column: str = "probability") -> Column:
-    return vector_to_array(F.col(column))[1]
+    """Probability of the positive class; 0 from a model that saw no positive."""
+    return F.coalesce(F.get(vector_to_array(F.col(column)), F.lit(1)), F.lit(0.0))
 
 
 def calibrate(validation: DataFrame, label: str, score: str, method: str = "sigmoid") -> Model:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brightloom.operators.quality import union_all
+from brightloom.session import cut
 
 
 def month_of(ts: str | Column) -> Column:
@@ -150,7 +151,7 @@ def revenue_trend(orders: DataFrame, customer: str, ts: str, amount: str) -> Dat
 
 def monthly_demand(df: DataFrame, item: str, ts: str, quantity: str) -> DataFrame:
     """Demand per item and month on a complete spine; a month without sales is 0."""
-    sold = df.groupBy(F.col(item).alias("item"), month_of(ts).alias("month")).agg(F.sum(quantity).cast("double").alias("demand"))
+    sold = cut(df.groupBy(F.col(item).alias("item"), month_of(ts).alias("month")).agg(F.sum(quantity).cast("double").alias("demand")))
     span = sold.agg(F.struct(F.min("month").alias("lo"), F.max("month").alias("hi"))).scalar()
     spine = sold.select("item").distinct().withColumn("_s", span).select(
         "item", F.explode(F.sequence(F.col("_s.lo"), F.col("_s.hi"), F.expr("interval 1 month"))).alias("month"))

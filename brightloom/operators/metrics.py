@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from brightloom.operators.ordering import row_numbers, running_totals
 from brightloom.operators.quality import union_all
+from brightloom.session import cut
 
 
 def confusion(df: DataFrame, label: str, score: str, threshold: float, keys: Sequence[str] = ()) -> DataFrame:
@@ -48,31 +49,36 @@ def folded(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) -> D
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
 
 
-def roc_auc(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Share of (positive, negative) pairs in the right order, ties count half."""
-    run = running_totals(folded(df, label, score, keys), [F.col("score")], {"neg_upto": "neg"}, keys)
-    below = F.col("neg_upto") - F.col("neg") / 2
-    pairs = F.sum("pos").cast("double") * F.sum("neg")
-    return run.groupBy(*keys).agg(
-        F.when(pairs > 0, F.sum(F.col("pos") * below) / pairs).alias("roc_auc"))
-
-
 def pr_curve(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
     """Per distinct score, as a threshold: positives and negatives at or above it."""
     return running_totals(
         folded(df, label, score, keys), [F.col("score").desc()], {"tp": "pos", "fp": "neg"}, keys)
 
 
-def pr_auc(df: DataFrame, label: str, score: str, method: str, keys: Sequence[str] = ()) -> DataFrame:
+def _auc() -> Column:
+    """Share of (positive, negative) pairs in the right order, ties count half."""
+    pairs = F.sum("pos").cast("double") * F.sum("neg")
+    wrong = F.sum(F.col("pos") * (F.col("fp") - F.col("neg") / 2))
+    return F.when(pairs > 0, 1 - wrong / pairs)
+
+
+def _pr_area(method: str) -> Column:
     """``step`` is average precision; ``trapezoid`` joins the points by lines from
     (recall 0, precision 1)."""
-    c = pr_curve(df, label, score, keys)
     here = F.col("tp") / (F.col("tp") + F.col("fp"))
     tp0, fp0 = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")
     before = F.when(tp0 + fp0 == 0, 1.0).otherwise(tp0 / (tp0 + fp0))
     height = here if method == "step" else (here + before) / 2
     total = F.sum("pos")
-    return c.groupBy(*keys).agg(F.when(total > 0, F.sum(F.col("pos") * height) / total).alias("pr_auc"))
+    return F.when(total > 0, F.sum(F.col("pos") * height) / total)
+
+
+def roc_auc(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
+    return pr_curve(df, label, score, keys).groupBy(*keys).agg(_auc().alias("roc_auc"))
+
+
+def pr_auc(df: DataFrame, label: str, score: str, method: str, keys: Sequence[str] = ()) -> DataFrame:
+    return pr_curve(df, label, score, keys).groupBy(*keys).agg(_pr_area(method).alias("pr_auc"))
 
 
 def fbeta_threshold(df: DataFrame, label: str, score: str, beta: float = 1.0, min_recall: float = 0.70) -> DataFrame:
@@ -109,13 +115,17 @@ def class_weight(df: DataFrame, label: str) -> DataFrame:
 
 
 def horizon_report(df: DataFrame, horizons: dict[str, tuple[str, str]], threshold: float, target_f1: float = 0.65) -> DataFrame:
-    """Metric row per horizon ``{name: (label, score)}``; one-class horizons are skipped."""
+    """Metric row per horizon ``{name: (label, score)}``; one-class horizons are skipped.
+    All horizons share one pass over the rows and one curve."""
     pairs = [F.struct(F.lit(h).alias("horizon"), F.col(y).cast("int").alias("y"), F.col(p).cast("double").alias("p"))
              for h, (y, p) in horizons.items()]
     long = df.select(F.inline(F.array(*pairs)))
-    rates = confusion_rates(confusion(long, "y", "p", threshold, ["horizon"]))
-    out = rates.join(roc_auc(long, "y", "p", ["horizon"]), "horizon").join(
-        pr_auc(long, "y", "p", "step", ["horizon"]), "horizon")
+    hit, p, n = F.col("score") >= threshold, F.col("pos"), F.col("neg")
+    one = pr_curve(long, "y", "p", ["horizon"]).groupBy("horizon").agg(
+        F.sum(F.when(hit, p).otherwise(0)).alias("tp"), F.sum(F.when(hit, n).otherwise(0)).alias("fp"),
+        F.sum(F.when(hit, 0).otherwise(p)).alias("fn"), F.sum(F.when(hit, 0).otherwise(n)).alias("tn"),
+        _auc().alias("roc_auc"), _pr_area("step").alias("pr_auc"))
+    out = confusion_rates(one)
     mixed = (F.col("tp") + F.col("fn") > 0) & (F.col("fp") + F.col("tn") > 0)
     return out.filter(mixed).withColumn("passed", F.col("f1") >= target_f1)
 
@@ -144,6 +154,7 @@ def folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42) -> Da
 def linear_attribution(df: DataFrame, key: str, coefficients: dict[str, float], top_n: int = 4, floor: float = 0.001) -> DataFrame:
     """coefficient x (value - mean) per feature: the strongest up and down per row."""
     names = list(coefficients)
+    df = cut(df.select(key, *names))
     means = df.agg(F.struct(*[F.avg(c).alias(c) for c in names])).scalar()
     long = all_attributions(df.withColumn("_m", means), [key], coefficients)
     side = F.when(F.col("attribution") > floor, "up").when(F.col("attribution") < -floor, "down")
@@ -164,6 +175,7 @@ def all_attributions(df: DataFrame, keep: Sequence[str], coefficients: dict[str,
 def importance(df: DataFrame, coefficients: dict[str, float], top_n: int, entity: str | None = None) -> DataFrame:
     """Mean absolute attribution per feature, overall or per entity, the largest first."""
     keys = [entity] if entity else []
+    df = cut(df.select(*keys, *coefficients))
     means = df.groupBy(*keys).agg(F.struct(*[F.avg(c).alias(c) for c in coefficients]).alias("_m"))
     if entity:
         based = df.join(means, entity)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brightloom.operators.quality import union_all
+from brightloom.session import cut
 
 AGGREGATE_CODE = 9999  # Fixed value: the code of the national total, not an entity.
 
@@ -69,9 +70,10 @@ def cleaning_report(df: DataFrame, name: str, variants: DataFrame, keys: Sequenc
 def coverage(df: DataFrame, entity: str, year: str, canonical: DataFrame) -> DataFrame:
     """Entities present and missing against the canonical list, and the years seen. The
     lists hold entity names and years, both bounded by the reference tables."""
-    seen = df.select(entity).distinct()
+    pairs = cut(df.select(entity, year).distinct())
+    seen = pairs.select(entity).distinct()
     absent = canonical.select(entity).distinct().join(seen, entity, "left_anti")
-    years = df.select(year).distinct().agg(F.concat_ws(",", F.sort_array(F.collect_list(F.col(year)))).alias("years_present"))
+    years = pairs.select(year).distinct().agg(F.concat_ws(",", F.sort_array(F.collect_list(F.col(year)))).alias("years_present"))
     missing = absent.agg(
         F.struct(F.count(F.lit(1)).alias("n"), F.concat_ws(",", F.sort_array(F.collect_list(entity))).alias("names"))).scalar()
     present = seen.agg(F.count(F.lit(1))).scalar()

@@ -101,11 +101,13 @@ def warehouse_suite(
 
     n = F.count(F.lit(1)).alias("value")
     any_null = reduce(lambda a, b: a | b, [F.col(m).isNull() for m in measures])
+    whole = fact.agg(F.count(F.lit(1)).alias("rows"), F.count_if(any_null).alias("nulls")).select(F.inline(F.array(
+        F.struct(F.lit("fact rows").alias("check_name"), F.col("rows").alias("value")),
+        F.struct(F.lit("null measures").alias("check_name"), F.col("nulls").alias("value")))))
     parts = [
-        named(fact.agg(n), "fact rows"),
+        whole,
         *[named(orphans(fact, c, dim, k).agg(n), f"missing {name}") for name, (c, dim, k) in refs.items()],
         named(fact.groupBy(*key).count().filter("count > 1").agg(n), "duplicate facts"),
-        named(fact.agg(F.count_if(any_null).alias("value")), "null measures"),
     ]
     ok = F.when(F.col("check_name") == "fact rows", F.col("value") > 0).otherwise(F.col("value") == 0)
     return union_all(parts).withColumn("ok", ok)

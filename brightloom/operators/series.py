@@ -2,7 +2,8 @@
 
 Raw readings are folded to one row per (series, hour) before any window runs, so a
 window partition holds at most the hours of the calendar (a century is under 900,000
-rows), however many raw rows a series has.
+rows), however many raw rows a series has. The folded table is frozen where a function
+needs it more than once, so the raw readings are scanned once.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from brightloom.session import cut
 
 
 def hour_of(ts: str) -> Column:
@@ -28,7 +30,7 @@ def _ordered(keys: Sequence[str], time: str = "hour") -> WindowSpec:
 
 def resample_sum(df: DataFrame, ts: str, station: str, value: str) -> DataFrame:
     """Hourly sums of every station over the common range; a missing hour is 0."""
-    hourly = df.groupBy(station, hour_of(ts).alias("hour")).agg(F.sum(value).alias(value))
+    hourly = cut(df.groupBy(station, hour_of(ts).alias("hour")).agg(F.sum(value).alias(value)))
     span = hourly.agg(F.struct(F.min("hour").alias("lo"), F.max("hour").alias("hi"))).scalar()
     grid = (
         hourly.select(station).distinct().withColumn("_s", span)
@@ -41,7 +43,7 @@ def resample_sum(df: DataFrame, ts: str, station: str, value: str) -> DataFrame:
 
 def resample_mean(df: DataFrame, ts: str, station: str, value: str) -> DataFrame:
     """Hourly means of each station over its own range; a missing hour is null."""
-    hourly = df.groupBy(station, hour_of(ts).alias("hour")).agg(F.avg(value).alias(value))
+    hourly = cut(df.groupBy(station, hour_of(ts).alias("hour")).agg(F.avg(value).alias(value)))
     grid = hourly.groupBy(station).agg(F.min("hour").alias("lo"), F.max("hour").alias("hi")).select(
         station, F.explode(_hours(F.col("lo"), F.col("hi"))).alias("hour")
     )

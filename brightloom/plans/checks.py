@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from brightloom.operators import quality as q
 from brightloom.operators import sales
 from brightloom.plans.registry import query
-from brightloom.plans.retail import SALES, clean, products, raw_sales, stores
+from brightloom.plans.retail import SALES, products, raw_sales, staged, stores
+from brightloom.session import cut
 
 RAW_COLUMNS = ["invoice_no", "stock_code", "description", "invoice_ts", "quantity", "unit_price", "customer_id"]
 
@@ -60,9 +61,9 @@ UNION ALL SELECT 'duplicate facts', count(*), count(*) = 0 FROM
 UNION ALL SELECT 'null measures', count(*), count(*) = 0 FROM numbered
   WHERE quantity IS NULL OR unit_price IS NULL OR sales_amount IS NULL""")
 def _(t):
-    numbered = sales.number_lines(clean(t))
-    dim_store, dim_product = stores(t), products(t)
-    fact = sales.resolve_fact(sales.fact_stage(numbered), dim_store, dim_product)
+    numbered = staged(t)
+    dim_store, dim_product = cut(stores(numbered)), cut(products(numbered))
+    fact = cut(sales.resolve_fact(sales.fact_stage(numbered), dim_store, dim_product))
     return q.warehouse_suite(
         fact,
         {"dates": ("date_key", sales.date_dimension(numbered, "invoice_ts"), "date_key"),

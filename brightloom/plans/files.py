@@ -9,7 +9,7 @@ from brightloom.operators.quality import union_all
 from brightloom.plans.flood import FORECAST, forecast
 from brightloom.plans.indices import nation_years
 from brightloom.plans.registry import query
-from brightloom.plans.retail import PART_RULES, SALES, clean
+from brightloom.plans.retail import PART_RULES, SALES, staged
 from brightloom.sources import files, manifest
 from brightloom.streaming import events as ev
 
@@ -123,7 +123,7 @@ def _(t):
 @query("snk_star_parquet", f"""WITH {SALES} SELECT 'fact_sales_stage' AS table_name, count(*) AS n FROM clean UNION ALL SELECT 'dim_store', count(*) FROM dim_store
 UNION ALL SELECT 'dim_product', count(*) FROM dim_product UNION ALL SELECT 'dim_date', count(DISTINCT CAST(invoice_ts AS DATE)) FROM clean""")
 def _(t):
-    star = sales.star_schema(sales.number_lines(clean(t)), PART_RULES)
+    star = sales.star_schema(staged(t), PART_RULES)
     folder = files.scratch(t.spark, "star")
     files.write_star(star, folder)
     back = files.read_star(t.spark, folder, list(star))

@@ -11,6 +11,7 @@ from brightloom.functions.common import FLOOD_BANDS, band, right_closed, rounded
 from brightloom.operators import explore, series
 from brightloom.operators.ordering import quantiles
 from brightloom.plans.registry import Tables, query
+from brightloom.session import cut
 
 STATIONS = ["click", "error", "purchase", "signup", "view"]
 
@@ -223,7 +224,7 @@ def shared_features(t: Tables) -> DataFrame:
 
 def feature_matrix(t: Tables) -> DataFrame:
     """One row per area and hour after the warm-up; no feature is null."""
-    return series.for_entities(shared_features(t).dropna("any"), areas(t), "area")
+    return series.for_entities(cut(shared_features(t).dropna("any")), areas(t), "area")
 
 
 _SHARED = ", ".join([f"{s}_{c}" for s in STATIONS for c in ("level", "delta")])
@@ -333,7 +334,7 @@ SELECT station, count(flag) AS total_rows, CAST(sum(flag) AS BIGINT) AS flagged_
 UNION ALL SELECT 'all', count(flag), CAST(sum(flag) AS BIGINT), round(sum(flag) / count(flag) * 100, 6),
   round((count(flag) - sum(flag)) / greatest(sum(flag), 1), 6) FROM lv""")
 def _(t):
-    lv = levels(t)
+    lv = cut(levels(t))
     whole = explore.imbalance(lv, "flag").withColumn("station", F.lit("all"))
     return rounded(explore.imbalance(lv, "flag", ["station"]).unionByName(whole))
 

@@ -79,7 +79,8 @@ def _share(cond) -> F.Column:
 
 
 def merged(t: Tables) -> DataFrame:
-    """One row per nation with its indicators and outcome."""
+    """One row per nation with its indicators and outcome. Frozen: every later step reads
+    this small table several times and the joins behind it should run once."""
     money = F.col("c_acctbal").cast("decimal(18,2)")
     n = F.count(F.lit(1))
     cust = t.customer.groupBy("c_nationkey").agg(
@@ -95,7 +96,7 @@ def merged(t: Tables) -> DataFrame:
         .join(t.customer.select("c_custkey", F.col("c_nationkey").alias("nk")), F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("nk").agg((F.sum("returned").cast("double") * 100 / F.sum("lines")).alias("stunting_rate"))
     )
-    return (
+    joined = (
         t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
         .join(cust, F.col("n_nationkey") == F.col("c_nationkey"))
         .join(sup, F.col("n_nationkey") == F.col("s_nationkey"), "left")
@@ -105,6 +106,7 @@ def merged(t: Tables) -> DataFrame:
             "expenditure_per_capita", "participation_rate", "stunting_rate",
             F.when(F.col("stunting_rate") < 33, "Medium").otherwise("High").alias("stunting_category"))
     )
+    return cut(joined)
 
 
 def scored(t: Tables) -> DataFrame:
@@ -200,7 +202,7 @@ def _(t):
 
 def rankings(t: Tables) -> DataFrame:
     """The final table, best-known tier methods side by side, sorted by rank."""
-    base = cut(merged(t))
+    base = merged(t)
     s = cut(index.score(base, "entity"))
     breaks = ranking.natural_breaks(s, "npi")
     benchmark = index.score(base, "entity", index.PCA_SPEC).select("entity", F.col("npi").alias("npi_pca_benchmark"))
@@ -263,7 +265,7 @@ def _(t):
 
 # Stability against the component form.
 def _variants(t: Tables) -> tuple[DataFrame, DataFrame]:
-    base = cut(merged(t))
+    base = merged(t)
     return cut(index.score(base, "entity")), cut(index.score(base, "entity", index.PCA_SPEC))
 
 

@@ -9,6 +9,7 @@ from brightloom.functions.common import rounded
 from brightloom.operators import marts as m
 from brightloom.operators import retrieval as r
 from brightloom.plans.registry import Tables, query
+from brightloom.session import cut
 
 
 def month_text(df: DataFrame, *cols: str) -> DataFrame:
@@ -96,7 +97,8 @@ br AS (SELECT month, """ + ", ".join(f"CAST(coalesce(sum(amount) FILTER (WHERE k
 
 
 def monthly(t: Tables) -> DataFrame:
-    return m.monthly_amounts(t.orders, "o_custkey", "o_orderdate", "o_totalprice")
+    """Customer months, frozen: movements and cohorts read them more than once."""
+    return cut(m.monthly_amounts(t.orders, "o_custkey", "o_orderdate", "o_totalprice"))
 
 
 @query("saas_mrr_bridge", f"WITH {MRR} SELECT CAST(month AS VARCHAR) AS month, new, expansion, contraction, churned FROM br")
@@ -135,7 +137,7 @@ def demand(t: Tables) -> DataFrame:
     """Units by part type; lines are folded per part before they meet the part table."""
     per_part = t.lineitem.groupBy("l_partkey", m.month_of("l_shipdate").alias("month")).agg(F.sum("l_quantity").alias("q"))
     df = per_part.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-    return m.monthly_demand(df, "p_type", "month", "q")
+    return cut(m.monthly_demand(df, "p_type", "month", "q"))
 
 
 @query("fc_seasonal_naive", f"WITH {DEMAND} SELECT item, CAST(month AS VARCHAR) AS month, demand, lag(demand, 12) OVER (PARTITION BY item ORDER BY month) AS forecast FROM dem")
@@ -180,7 +182,7 @@ rk AS (SELECT ticker, day, score, CAST(dense_rank() OVER (PARTITION BY day ORDER
 
 
 def prices(t: Tables) -> DataFrame:
-    return m.daily_prices(t.events, "event_type", "ts", "value")
+    return cut(m.daily_prices(t.events, "event_type", "ts", "value"))
 
 
 @query("px_features", f"WITH {PRICES} SELECT ticker, day, " + ", ".join(f"round({c}, 6) AS {c}" for c in ("ret", "trend", "momentum", "volume_ratio", "volatility")) + ", breakout FROM ft")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from brightloom.operators import sales, upsert
 from brightloom.plans.registry import Tables, query
+from brightloom.session import cut
 
 # Category words that occur in the given part names.
 PART_RULES = [
@@ -80,13 +81,19 @@ def clean(t: Tables) -> DataFrame:
     return sales.clean_sales(raw_sales(t))
 
 
-def stores(t: Tables) -> DataFrame:
-    return sales.surrogate_keys(sales.store_dimension(clean(t)), "country", "store_key")
+def staged(t: Tables) -> DataFrame:
+    """Numbered sales lines, frozen between the stages: dimensions, fact and checks all
+    read them, and the joins behind them run once."""
+    return cut(sales.number_lines(cut(clean(t))))
 
 
-def products(t: Tables) -> DataFrame:
+def stores(lines: DataFrame) -> DataFrame:
+    return sales.surrogate_keys(cut(sales.store_dimension(lines)), "country", "store_key")
+
+
+def products(lines: DataFrame) -> DataFrame:
     return sales.surrogate_keys(
-        sales.product_dimension(clean(t), PART_RULES), "stock_code", "product_key"
+        cut(sales.product_dimension(lines, PART_RULES)), "stock_code", "product_key"
     )
 
 
@@ -103,7 +110,7 @@ def _(t):
 
 @query("retail_line_no", f"WITH {SALES} SELECT invoice_no, line_no, stock_code, quantity FROM numbered")
 def _(t):
-    return sales.number_lines(clean(t)).select("invoice_no", "line_no", "stock_code", "quantity")
+    return sales.number_lines(cut(clean(t))).select("invoice_no", "line_no", "stock_code", "quantity")
 
 
 @query("retail_category", """
@@ -143,15 +150,15 @@ def _(t):
 SELECT invoice_no, line_no, CAST(strftime(invoice_ts, '%Y%m%d') AS INTEGER) AS date_key, country,
   stock_code, customer_id, quantity, unit_price, sales_amount FROM numbered""")
 def _(t):
-    return sales.fact_stage(sales.number_lines(clean(t))).drop("invoice_ts")
+    return sales.fact_stage(sales.number_lines(cut(clean(t)))).drop("invoice_ts")
 
 
 @query("retail_fact_resolved", f"""WITH {SALES}
 SELECT invoice_no, line_no, store_key, product_key, quantity, sales_amount
 FROM numbered JOIN dim_store USING (country) JOIN dim_product USING (stock_code)""")
 def _(t):
-    stage = sales.fact_stage(sales.number_lines(clean(t)))
-    return sales.resolve_fact(stage, stores(t), products(t)).select(
+    lines = staged(t)
+    return sales.resolve_fact(sales.fact_stage(lines), stores(lines), products(lines)).select(
         "invoice_no", "line_no", "store_key", "product_key", "quantity", "sales_amount"
     )
 
@@ -272,8 +279,7 @@ batch AS (SELECT invoice_no, line_no, quantity, CAST(sales_amount * 2 AS DECIMAL
 SELECT * FROM batch UNION ALL
 SELECT * FROM loaded ANTI JOIN batch USING (invoice_no, line_no)""")
 def _(t):
-    lines = sales.number_lines(clean(t)).select(
-        "invoice_no", "line_no", "invoice_ts", "quantity", "sales_amount")
+    lines = staged(t).select("invoice_no", "line_no", "invoice_ts", "quantity", "sales_amount")
     loaded = lines.filter(F.col("invoice_ts") < F.lit(CUT_DAY).cast("timestamp_ntz"))
     batch = lines.filter(F.col("invoice_ts") >= F.lit(OVERLAP_DAY).cast("timestamp_ntz")).withColumn(
         "sales_amount", (F.col("sales_amount") * 2).cast("decimal(14,4)"))

@@ -32,6 +32,13 @@ PLANNER = (
     "dan akumulasi curah hujan tinggi. Implikasi: prioritas program RTH dan normalisasi drainase "
     "di wilayah ini untuk mitigasi jangka panjang."
 )
+# The alert for operators. Placeholders: {ts}, {risk}, {pct}, {hours}, {drivers}.
+ALERT = (
+    "[{ts}] PERINGATAN BANJIR — Level: {risk}\n"
+    "Probabilitas: {pct}% dalam {hours} jam ke depan\n"
+    "Faktor utama:\n{drivers}"
+)
+DRIVER_LINE = "  • {name}: {value} ({direction})"
 
 
 def fill(template: Column, values: dict[str, Column]) -> Column:
@@ -49,6 +56,14 @@ def advisory_text(audience: Column, area: Column, prob: Column, hours: Column, r
         .otherwise(PLANNER)
     )
     return fill(template, {
-        "area": area, "pct": F.round(prob * 100, 0).cast("int"), "hours": hours,
+        "area": area, "pct": F.bround(prob * 100, 0).cast("int"), "hours": hours,
         "risk": F.upper(risk), "window": F.greatest(F.lit(2), hours - 4),
     })
+
+
+def alert_text(ts: Column, prob: Column, hours: Column, risk: Column, drivers: Column) -> Column:
+    """Alert with its drivers, an ordered array of struct(feature, value, direction)."""
+    listed = F.transform(drivers, lambda d: fill(F.lit(DRIVER_LINE), {
+        "name": F.translate(d["feature"], "_", " "), "value": F.format_string("%.1f", d["value"]), "direction": d["direction"]}))
+    return fill(F.lit(ALERT), {
+        "ts": ts, "risk": risk, "pct": F.format_string("%.1f", prob * 100), "hours": hours, "drivers": F.array_join(listed, "\n")})

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightloom.functions.advisory import advisory_text
+from brightloom.functions.advisory import advisory_text, alert_text
 from brightloom.functions.calendar import calendar_features
-from brightloom.functions.common import FLOOD_BANDS, band, right_closed, rounded
-from brightloom.operators import explore, series
+from brightloom.functions.common import FLOOD_BANDS, FLOOD_BANDS_REPORT, band, right_closed, rounded
+from brightloom.operators import explore, metrics, series
 from brightloom.operators.ordering import quantiles
 from brightloom.plans.registry import Tables, query
 from brightloom.session import cut
@@ -412,18 +412,38 @@ def _(t):
 
 @query("flood_advisory", f"""WITH {FORECAST}
 SELECT area, horizon, 'bpbd' AS audience, 'PRIORITAS ' || upper(risk_level) || ': ' || area || ', probabilitas banjir '
-  || CAST(round(probability * 100) AS INTEGER) || '% dalam ' || horizon || ' jam. Rekomendasi: pre-positioning 2 perahu karet di pos siaga terdekat, '
+  || CAST(round_even(probability * 100, 0) AS INTEGER) || '% dalam ' || horizon || ' jam. Rekomendasi: pre-positioning 2 perahu karet di pos siaga terdekat, '
   || 'koordinasi dengan kelurahan untuk identifikasi lansia/disabilitas yang perlu evakuasi dini, siapkan posko logistik dengan kapasitas 200 jiwa. Window aksi: '
   || greatest(2, horizon - 4) || ' jam.' AS message FROM fc
 UNION ALL SELECT area, horizon, 'warga', CASE WHEN risk_level IN ('Siaga', 'Awas') THEN 'Wilayah ' || area || ' berisiko TINGGI banjir ('
-  || CAST(round(probability * 100) AS INTEGER) || '%) dalam ' || horizon || ' jam ke depan. Segera pindahkan kendaraan ke tempat tinggi, siapkan tas darurat berisi dokumen penting dan obat-obatan, dan pantau ketinggian air pintu air Manggarai. Jika air mulai naik di sekitar rumah, segera evakuasi ke titik aman terdekat.'
-  WHEN risk_level = 'Waspada' THEN 'Wilayah ' || area || ' dalam status WASPADA banjir (' || CAST(round(probability * 100) AS INTEGER) || '%) dalam ' || horizon
+  || CAST(round_even(probability * 100, 0) AS INTEGER) || '%) dalam ' || horizon || ' jam ke depan. Segera pindahkan kendaraan ke tempat tinggi, siapkan tas darurat berisi dokumen penting dan obat-obatan, dan pantau ketinggian air pintu air Manggarai. Jika air mulai naik di sekitar rumah, segera evakuasi ke titik aman terdekat.'
+  WHEN risk_level = 'Waspada' THEN 'Wilayah ' || area || ' dalam status WASPADA banjir (' || CAST(round_even(probability * 100, 0) AS INTEGER) || '%) dalam ' || horizon
   || ' jam ke depan. Pantau perkembangan cuaca dan ketinggian air, siapkan rencana evakuasi keluarga, dan simpan barang berharga di tempat yang lebih tinggi.'
-  ELSE 'Wilayah ' || area || ' dalam status AMAN (' || CAST(round(probability * 100) AS INTEGER) || '% risiko) untuk ' || horizon || ' jam ke depan. Tetap pantau update.' END FROM fc
-UNION ALL SELECT area, horizon, 'perencana', 'Analisis ' || area || ': probabilitas banjir ' || CAST(round(probability * 100) AS INTEGER) || '% horizon ' || horizon
+  ELSE 'Wilayah ' || area || ' dalam status AMAN (' || CAST(round_even(probability * 100, 0) AS INTEGER) || '% risiko) untuk ' || horizon || ' jam ke depan. Tetap pantau update.' END FROM fc
+UNION ALL SELECT area, horizon, 'perencana', 'Analisis ' || area || ': probabilitas banjir ' || CAST(round_even(probability * 100, 0) AS INTEGER) || '% horizon ' || horizon
   || 'h didorong oleh faktor hidrologis dan tutupan lahan. Pola ini konsisten dengan kelurahan dengan elevasi rendah dan akumulasi curah hujan tinggi. Implikasi: prioritas program RTH dan normalisasi drainase di wilayah ini untuk mitigasi jangka panjang.' FROM fc""")
 def _(t):
     audience = F.explode(F.array(*[F.lit(a) for a in ("bpbd", "warga", "perencana")])).alias("audience")
     rows = forecast(t).select("area", "horizon", "probability", "risk_level", audience)
     return rows.select("area", "horizon", "audience", advisory_text(
         F.col("audience"), F.col("area"), F.col("probability"), F.col("horizon"), F.col("risk_level")).alias("message"))
+
+
+# Weights of the area attributes in a linear score, for the drivers of an alert.
+AREA_WEIGHTS = {"elevation_m": -0.4, "impervious_ratio": 3.0, "population": 0.0001}
+
+
+@query("flood_alert_text", f"""WITH {FORECAST}, attr AS (SELECT * FROM static JOIN ground USING (area)), lo AS (""" + " UNION ALL ".join(
+    f"SELECT area, '{c}' AS feature, {c}::DOUBLE AS value, {b} * ({c} - (SELECT avg({c}) FROM attr)) AS a FROM attr" for c, b in AREA_WEIGHTS.items()) + """),
+dr AS (SELECT area, string_agg('  • ' || replace(feature, '_', ' ') || ': ' || printf('%.1f', value) || ' (↑ risk)', chr(10) ORDER BY a DESC, feature) AS drivers FROM lo WHERE a > 0.001 GROUP BY area),
+ls AS (SELECT strftime(max(ts), '%Y-%m-%d %H:%M') AS t FROM events)
+SELECT area, '[' || t || '] PERINGATAN BANJIR — Level: ' || replace(risk_level, 'Awas', 'Bahaya') || chr(10) || 'Probabilitas: ' || printf('%.1f', probability * 100)
+  || '% dalam 24 jam ke depan' || chr(10) || 'Faktor utama:' || chr(10) || coalesce(drivers, '') AS message FROM fc LEFT JOIN dr USING (area), ls WHERE horizon = 24""")
+def _(t):
+    up = metrics.linear_attribution(areas(t), "area", AREA_WEIGHTS, 3).filter("direction = 'up'")
+    drivers = up.groupBy("area").agg(F.array_sort(F.collect_list(F.struct(
+        "position", "feature", "value", F.lit("↑ risk").alias("direction")))).alias("drivers"))
+    now = t.events.agg(F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm")).scalar()
+    none = F.array().cast("array<struct<position:int,feature:string,value:double,direction:string>>")
+    return forecast(t).filter("horizon = 24").join(drivers, "area", "left").select("area", alert_text(
+        now, F.col("probability"), F.col("horizon"), band(F.col("probability"), FLOOD_BANDS_REPORT), F.coalesce("drivers", none)).alias("message"))

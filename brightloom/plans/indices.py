@@ -423,14 +423,14 @@ REVENUE_SQL = "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(20,2)) A
 
 
 @query("npi_latest_value", f"""SELECT entity, revenue, year AS revenue_year FROM {_ny("o_totalprice > 480000", REVENUE_SQL)}
-QUALIFY row_number() OVER (PARTITION BY entity ORDER BY year DESC) = 1""")
+QUALIFY row_number() OVER (PARTITION BY entity ORDER BY year DESC) = 1""", money=["revenue"])
 def _(t):
     return names.latest_value(nation_years(t, "o_totalprice > 480000", _revenue()), "entity", "year", ["revenue"], "revenue")
 
 
 @query("npi_merge_latest", f"""WITH a AS (SELECT entity, revenue AS big, year AS big_year FROM {_ny("o_totalprice > 480000", REVENUE_SQL)} QUALIFY row_number() OVER (PARTITION BY entity ORDER BY year DESC) = 1),
 b AS (SELECT entity, n AS urgent, year AS urgent_year FROM {_ny("o_orderpriority = '1-URGENT' AND o_totalprice < 5000", "count(*) AS n")} QUALIFY row_number() OVER (PARTITION BY entity ORDER BY year DESC) = 1)
-SELECT n_name AS entity, big, big_year, urgent, urgent_year FROM nation LEFT JOIN a ON a.entity = n_name LEFT JOIN b ON b.entity = n_name""")
+SELECT n_name AS entity, big, big_year, urgent, urgent_year FROM nation LEFT JOIN a ON a.entity = n_name LEFT JOIN b ON b.entity = n_name""", money=["big"])
 def _(t):
     return names.merge_latest(t.nation.select(F.col("n_name").alias("entity")), "entity", {
         "big": (nation_years(t, "o_totalprice > 480000", _revenue()), "year", ["revenue"]),

@@ -40,7 +40,7 @@ def stage(t: Tables) -> dict[str, DataFrame]:
 
 
 @query("mart_fct_orders", """SELECT l_orderkey AS order_id, l_linenumber AS line_no, l_partkey AS product_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_day, o_orderstatus AS status,
-  l_quantity AS quantity, CAST(CAST(l_extendedprice AS DECIMAL(14,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS net_amount FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+  l_quantity AS quantity, CAST(CAST(l_extendedprice AS DECIMAL(14,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS net_amount FROM lineitem JOIN orders ON l_orderkey = o_orderkey""", money=["net_amount"], days=["order_day"])
 def _(t):
     stage(t)
     return t.spark.sql("""SELECT l.order_id, l.line_no, l.product_id, o.customer_id, CAST(o.ordered_at AS DATE) AS order_day, o.status, l.quantity,
@@ -48,7 +48,7 @@ def _(t):
 
 
 @query("mart_dim_customers", """SELECT c_custkey AS customer_id, c_name AS name, c_mktsegment AS segment, CAST(min(o_orderdate) AS DATE) AS first_order, CAST(max(o_orderdate) AS DATE) AS last_order, count(o_orderkey) AS orders
-FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY ALL""")
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY ALL""", days=["first_order", "last_order"])
 def _(t):
     stage(t)
     return t.spark.sql("""WITH o AS (SELECT customer_id, CAST(min(ordered_at) AS DATE) AS first_order, CAST(max(ordered_at) AS DATE) AS last_order, count(*) AS orders FROM stg_orders GROUP BY customer_id)
@@ -76,14 +76,14 @@ def _(t):
 
 @query("mart_scd2", """WITH d AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS valid_from, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS o_orderpriority FROM orders GROUP BY 1, 2),
 c AS (SELECT *, lag(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS p FROM d)
-SELECT o_custkey, o_orderpriority, valid_from, lead(valid_from) OVER w AS valid_to, lead(valid_from) OVER w IS NULL AS is_current FROM c WHERE p IS NULL OR p <> o_orderpriority WINDOW w AS (PARTITION BY o_custkey ORDER BY valid_from)""")
+SELECT o_custkey, o_orderpriority, valid_from, lead(valid_from) OVER w AS valid_to, lead(valid_from) OVER w IS NULL AS is_current FROM c WHERE p IS NULL OR p <> o_orderpriority WINDOW w AS (PARTITION BY o_custkey ORDER BY valid_from)""", days=["valid_from", "valid_to"])
 def _(t):
     return m.attribute_history(t.orders, "o_custkey", "o_orderdate", "o_orderpriority", "o_orderkey")
 
 
 @query("mart_monthly_revenue", """WITH f AS (SELECT o_custkey, date_trunc('month', min(o_orderdate)) AS f FROM orders GROUP BY 1)
 SELECT CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS month, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(20,2)) AS revenue, count(DISTINCT o_custkey) AS active_customers,
-  count(DISTINCT o_custkey) FILTER (WHERE f = date_trunc('month', o_orderdate)) AS new_customers FROM orders JOIN f USING (o_custkey) GROUP BY 1""")
+  count(DISTINCT o_custkey) FILTER (WHERE f = date_trunc('month', o_orderdate)) AS new_customers FROM orders JOIN f USING (o_custkey) GROUP BY 1""", money=["revenue"])
 def _(t):
     return month_text(m.revenue_trend(t.orders, "o_custkey", "o_orderdate", "o_totalprice"), "month")
 
@@ -101,14 +101,14 @@ def monthly(t: Tables) -> DataFrame:
     return cut(m.monthly_amounts(t.orders, "o_custkey", "o_orderdate", "o_totalprice"))
 
 
-@query("saas_mrr_bridge", f"WITH {MRR} SELECT CAST(month AS VARCHAR) AS month, new, expansion, contraction, churned FROM br")
+@query("saas_mrr_bridge", f"WITH {MRR} SELECT CAST(month AS VARCHAR) AS month, new, expansion, contraction, churned FROM br", money=["new", "expansion", "contraction", "churned"])
 def _(t):
     return month_text(m.movement_bridge(m.movements(monthly(t))), "month")
 
 
 @query("saas_mrr_reconcile", f"""WITH {MRR}, e AS (SELECT month, sum(mrr) AS e FROM mo GROUP BY 1), j AS (SELECT br.*, CAST(coalesce(e, 0) AS DECIMAL(20,2)) AS end_mrr FROM br LEFT JOIN e USING (month)),
 s AS (SELECT *, CAST(coalesce(lag(end_mrr) OVER (ORDER BY month), 0) AS DECIMAL(20,2)) AS start_mrr, CAST(new + expansion + contraction + churned AS DECIMAL(20,2)) AS net_change FROM j)
-SELECT CAST(month AS VARCHAR) AS month, start_mrr, net_change, end_mrr, CAST(start_mrr + net_change - end_mrr AS DECIMAL(20,2)) AS difference FROM s""")
+SELECT CAST(month AS VARCHAR) AS month, start_mrr, net_change, end_mrr, CAST(start_mrr + net_change - end_mrr AS DECIMAL(20,2)) AS difference FROM s""", money=["start_mrr", "net_change", "end_mrr", "difference"])
 def _(t):
     mo = monthly(t)
     return month_text(m.reconcile(mo, m.movement_bridge(m.movements(mo))), "month")
@@ -123,7 +123,7 @@ def _(t):
 
 
 @query("saas_events", f"""WITH {MRR} SELECT customer, CAST(month AS VARCHAR) AS month, CASE kind WHEN 'new' THEN 'signup' WHEN 'expansion' THEN 'upgrade' WHEN 'contraction' THEN 'downgrade' ELSE 'cancellation' END AS event, amount
-FROM mv WHERE kind IS NOT NULL""")
+FROM mv WHERE kind IS NOT NULL""", money=["amount"])
 def _(t):
     return month_text(m.subscription_events(m.movements(monthly(t))), "month")
 
@@ -185,12 +185,12 @@ def prices(t: Tables) -> DataFrame:
     return cut(m.daily_prices(t.events, "event_type", "ts", "value"))
 
 
-@query("px_features", f"WITH {PRICES} SELECT ticker, day, " + ", ".join(f"round({c}, 6) AS {c}" for c in ("ret", "trend", "momentum", "volume_ratio", "volatility")) + ", breakout FROM ft")
+@query("px_features", f"WITH {PRICES} SELECT ticker, day, " + ", ".join(f"round({c}, 6) AS {c}" for c in ("ret", "trend", "momentum", "volume_ratio", "volatility")) + ", breakout FROM ft", days=["day"])
 def _(t):
     return rounded(m.price_features(prices(t)).select("ticker", "day", "ret", "trend", "momentum", "volume_ratio", "volatility", "breakout"))
 
 
-@query("px_score", f"WITH {PRICES} SELECT * FROM rk")
+@query("px_score", f"WITH {PRICES} SELECT * FROM rk", days=["day"])
 def _(t):
     return m.price_score(m.price_features(prices(t)))
 
@@ -221,13 +221,13 @@ def ledger(t: Tables) -> DataFrame:
     return named.groupBy("month", m.categorize(F.col("p_name"), RULES).alias("category")).agg(F.sum("spend").cast("decimal(20,2)").alias("spend"))
 
 
-@query("exp_monthly", f"WITH {LEDGER} SELECT CAST(month AS VARCHAR) AS month, category, spend FROM led")
+@query("exp_monthly", f"WITH {LEDGER} SELECT CAST(month AS VARCHAR) AS month, category, spend FROM led", money=["spend"])
 def _(t):
     return month_text(ledger(t), "month")
 
 
 @query("exp_mom", f"""WITH {LEDGER}, p AS (SELECT *, lag(spend) OVER (PARTITION BY category ORDER BY month) AS previous FROM led)
-SELECT CAST(month AS VARCHAR) AS month, category, spend, previous, CAST(spend - previous AS DECIMAL(21,2)) AS change, round(CAST(spend - previous AS DOUBLE) / CAST(previous AS DOUBLE) * 100, 6) AS change_pct FROM p""")
+SELECT CAST(month AS VARCHAR) AS month, category, spend, previous, CAST(spend - previous AS DECIMAL(21,2)) AS change, round(CAST(spend - previous AS DOUBLE) / CAST(previous AS DOUBLE) * 100, 6) AS change_pct FROM p""", money=["spend", "previous", "change"])
 def _(t):
     return month_text(m.month_over_month(ledger(t), "category", "spend"), "month")
 

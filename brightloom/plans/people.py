@@ -56,7 +56,7 @@ def period_texts(t: Tables) -> DataFrame:
 WITH d AS (SELECT o_orderkey, o_orderpriority AS p, o_orderstatus AS s, CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m, CAST(o_orderdate + INTERVAL 2 MONTH AS DATE) AS l FROM orders)
 SELECT o_orderkey, CASE WHEN p = '5-LOW' THEN NULL WHEN p = '4-NOT SPECIFIED' OR s IN ('O', 'F') THEN make_date(y, m, 1) ELSE make_date(y, 1, 1) END AS start_date,
   CASE WHEN p = '5-LOW' THEN NULL WHEN p = '4-NOT SPECIFIED' THEN make_date(y, CAST(month(l) AS INTEGER), 1) WHEN s = 'O' THEN NULL WHEN s = 'F' THEN CAST(date_trunc('month', l) AS DATE) ELSE make_date(y + 2, 1, 1) END AS end_date,
-  p NOT IN ('5-LOW', '4-NOT SPECIFIED') AND s = 'O' AS is_ongoing FROM d""")
+  p NOT IN ('5-LOW', '4-NOT SPECIFIED') AND s = 'O' AS is_ongoing FROM d""", days=["start_date", "end_date"])
 def _(t):
     return period_texts(t).select("o_orderkey", parse_period(F.col("period")).alias("p")).select("o_orderkey", "p.*")
 

@@ -103,7 +103,7 @@ CLEAN_COLS = (
 )
 
 
-@query("retail_clean_sales", f"WITH {SALES} SELECT {CLEAN_COLS} FROM clean")
+@query("retail_clean_sales", f"WITH {SALES} SELECT {CLEAN_COLS} FROM clean", money=["unit_price", "sales_amount"], days=["invoice_day"])
 def _(t):
     return clean(t).withColumn("invoice_day", F.to_date("invoice_ts")).drop("invoice_ts")
 
@@ -131,7 +131,7 @@ SELECT DISTINCT CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_key,
   CAST(quarter(o_orderdate) AS INTEGER) AS quarter, CAST(month(o_orderdate) AS INTEGER) AS month,
   monthname(o_orderdate) AS month_name, CAST(day(o_orderdate) AS INTEGER) AS day,
   CAST(isodow(o_orderdate) AS INTEGER) AS day_of_week, dayname(o_orderdate) AS day_name,
-  CAST(weekofyear(o_orderdate) AS INTEGER) AS week_of_year FROM orders""")
+  CAST(weekofyear(o_orderdate) AS INTEGER) AS week_of_year FROM orders""", days=["full_date"])
 def _(t):
     return sales.date_dimension(t.orders.select("o_orderdate"), "o_orderdate")
 
@@ -148,14 +148,14 @@ def _(t):
 
 @query("retail_fact_stage", f"""WITH {SALES}
 SELECT invoice_no, line_no, CAST(strftime(invoice_ts, '%Y%m%d') AS INTEGER) AS date_key, country,
-  stock_code, customer_id, quantity, unit_price, sales_amount FROM numbered""")
+  stock_code, customer_id, quantity, unit_price, sales_amount FROM numbered""", money=["unit_price", "sales_amount"])
 def _(t):
     return sales.fact_stage(sales.number_lines(cut(clean(t)))).drop("invoice_ts")
 
 
 @query("retail_fact_resolved", f"""WITH {SALES}
 SELECT invoice_no, line_no, store_key, product_key, quantity, sales_amount
-FROM numbered JOIN dim_store USING (country) JOIN dim_product USING (stock_code)""")
+FROM numbered JOIN dim_store USING (country) JOIN dim_product USING (stock_code)""", money=["sales_amount"])
 def _(t):
     lines = staged(t)
     return sales.resolve_fact(sales.fact_stage(lines), stores(lines), products(lines)).select(
@@ -165,7 +165,7 @@ def _(t):
 
 @query("retail_incremental", f"""
 SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_day, o_totalprice
-FROM orders WHERE o_orderdate > TIMESTAMP '{CUT_DAY} 00:00:00'""")
+FROM orders WHERE o_orderdate > TIMESTAMP '{CUT_DAY} 00:00:00'""", days=["order_day"])
 def _(t):
     return sales.after_watermark(t.orders, "o_orderdate", CUT_DAY).select(
         "o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_day"), "o_totalprice"
@@ -173,7 +173,7 @@ def _(t):
 
 
 @query("retail_watermark", """
-SELECT CAST(max(o_orderdate) AS DATE) AS last_invoice_ts FROM orders""")
+SELECT CAST(max(o_orderdate) AS DATE) AS last_invoice_ts FROM orders""", days=["last_invoice_ts"])
 def _(t):
     state = t.spark.sql(f"SELECT TIMESTAMP_NTZ '{CUT_DAY} 00:00:00' AS last_invoice_ts")
     batch = sales.after_watermark(t.orders, "o_orderdate", CUT_DAY)
@@ -188,7 +188,7 @@ def _total():
 
 @query("retail_sales_by_month", f"""WITH {SALES}
 SELECT CAST(year(invoice_ts) AS INTEGER) AS year, CAST(month(invoice_ts) AS INTEGER) AS month,
-  CAST(sum(sales_amount) AS DECIMAL(28,4)) AS total_sales FROM clean GROUP BY 1, 2""")
+  CAST(sum(sales_amount) AS DECIMAL(28,4)) AS total_sales FROM clean GROUP BY 1, 2""", money=["total_sales"])
 def _(t):
     return (clean(t).groupBy(F.year("invoice_ts").alias("year"), F.month("invoice_ts").alias("month"))
             .agg(_total()).orderBy("year", "month"))
@@ -196,7 +196,7 @@ def _(t):
 
 @query("retail_sales_by_category", f"""WITH {SALES}
 SELECT category, CAST(sum(sales_amount) AS DECIMAL(28,4)) AS total_sales
-FROM clean JOIN dim_product USING (stock_code) GROUP BY category""")
+FROM clean JOIN dim_product USING (stock_code) GROUP BY category""", money=["total_sales"])
 def _(t):
     per_product = clean(t).groupBy("stock_code").agg(
         F.min_by("description", F.struct("invoice_ts", "invoice_no", "description")).alias("description"),
@@ -208,7 +208,7 @@ def _(t):
 
 @query("retail_sales_by_store", f"""WITH {SALES}
 SELECT 'Online - ' || country AS store_name, CAST(sum(sales_amount) AS DECIMAL(28,4)) AS total_sales
-FROM clean GROUP BY 1""")
+FROM clean GROUP BY 1""", money=["total_sales"])
 def _(t):
     return (clean(t).groupBy("country").agg(_total())
             .select(F.concat(F.lit("Online - "), "country").alias("store_name"), "total_sales")
@@ -219,7 +219,7 @@ def _(t):
 SELECT stock_code, product_name, CAST(sum(quantity) AS BIGINT) AS units_sold,
   CAST(sum(sales_amount) AS DECIMAL(28,4)) AS total_sales
 FROM clean JOIN dim_product USING (stock_code) GROUP BY ALL
-ORDER BY total_sales DESC, stock_code LIMIT 20""")
+ORDER BY total_sales DESC, stock_code LIMIT 20""", money=["total_sales"])
 def _(t):
     return (
         clean(t).groupBy("stock_code")
@@ -231,7 +231,7 @@ def _(t):
 
 @query("retail_sales_daily", f"""WITH {SALES}
 SELECT CAST(invoice_ts AS DATE) AS full_date, CAST(sum(sales_amount) AS DECIMAL(28,4)) AS total_sales
-FROM clean GROUP BY 1""")
+FROM clean GROUP BY 1""", money=["total_sales"], days=["full_date"])
 def _(t):
     return clean(t).groupBy(F.to_date("invoice_ts").alias("full_date")).agg(_total())
 
@@ -243,7 +243,7 @@ OVERLAP_DAY = "2000-01-01"
 
 @query("upsert_ignore", """
 SELECT DISTINCT CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_key,
-  CAST(o_orderdate AS DATE) AS full_date FROM orders""")
+  CAST(o_orderdate AS DATE) AS full_date FROM orders""", days=["full_date"])
 def _(t):
     old = t.orders.filter(F.col("o_orderdate") < F.lit(CUT_DAY).cast("timestamp_ntz"))
     new = t.orders.filter(F.col("o_orderdate") >= F.lit(OVERLAP_DAY).cast("timestamp_ntz"))
@@ -277,7 +277,7 @@ loaded AS (SELECT invoice_no, line_no, quantity, sales_amount FROM numbered
 batch AS (SELECT invoice_no, line_no, quantity, CAST(sales_amount * 2 AS DECIMAL(14,4)) AS sales_amount
           FROM numbered WHERE invoice_ts >= TIMESTAMP '{OVERLAP_DAY} 00:00:00')
 SELECT * FROM batch UNION ALL
-SELECT * FROM loaded ANTI JOIN batch USING (invoice_no, line_no)""")
+SELECT * FROM loaded ANTI JOIN batch USING (invoice_no, line_no)""", money=["sales_amount"])
 def _(t):
     lines = staged(t).select("invoice_no", "line_no", "invoice_ts", "quantity", "sales_amount")
     loaded = lines.filter(F.col("invoice_ts") < F.lit(CUT_DAY).cast("timestamp_ntz"))

@@ -95,3 +95,20 @@ def test_star_checks(raw, frame):
     assert rows(miss) == [("stores", 1)]
     with pytest.raises(quality.QualityError):
         quality.raise_on(miss.filter("missing_keys > 0"), "referential integrity")
+
+
+def test_loads_are_repeatable(raw, frame, spark, tmp_path):
+    from brightloom.operators import sales_load as sl
+
+    base, good = str(tmp_path), raw.filter("invoice_no <> 'C1002'")
+    assert sl.load_batch(good.filter("invoice_no = '1001'"), base) == 1
+    assert sl.load_batch(good.filter("invoice_no = '1001'"), base) == 1  # nothing newer
+    assert sl.load_batch(good, base) == 2
+    fact = sl.table(spark, base, "fact_sales", 2)
+    assert rows(fact.select("invoice_no", "line_no", "store_key"), "invoice_no", "line_no") == [("1001", 1, 1), ("1001", 2, 1), ("1003", 1, 2)]
+    assert sl.table(spark, base, "dim_product", 2).count() == 3 and sl.current_state(spark, base)[0] == 2
+    with pytest.raises(quality.QualityError, match="null checks"):
+        sl.load_batch(good.withColumn("unit_price", F.lit(None).cast("double")), base)
+    with pytest.raises(quality.QualityError, match="missing columns"):
+        sl.load_batch(good.drop("country"), base)
+    assert sl.current_state(spark, base)[0] == 2

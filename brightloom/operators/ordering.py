@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brightloom.session import cut
+from brightloom.session import cut, stage
 
 GROUP_ROWS = 1_000_000
 
@@ -27,19 +27,20 @@ def _largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return top or 0
 
 
-def _slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def _slices(frozen: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Rows in range slices of (keys, order), frozen so that slice ids stay put.
 
-    The random last key spreads rows that are equal in every other key; such
-    rows are interchangeable, so it does not change the result.
+    The random last key spreads rows that are equal in every other key; such rows are
+    interchangeable, so it does not change the result. It is drawn on frozen rows: a
+    task that runs again draws the same numbers.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(frozen.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = (
-        df.withColumn("_tie", F.rand(7))
+        frozen.withColumn("_tie", F.rand(7))
         .repartitionByRange(parts, *[F.col(k) for k in keys], *order, F.col("_tie"))
         .withColumn("_slice", F.spark_partition_id())
     )
-    return cut(spread)
+    return stage(spread)
 
 
 def _null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Column:
@@ -72,7 +73,7 @@ def row_numbers(
     if _largest_group(df.select(*keys) if keys else df, keys) <= limit:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, F.row_number().over(w).cast("long"))
-    sliced = _with_offsets(_slices(df, keys, order), keys, {"n": F.count(F.lit(1))})
+    sliced = _with_offsets(_slices(stage(df), keys, order), keys, {"n": F.count(F.lit(1))})
     w = Window.partitionBy(*keys, "_slice").orderBy(*order, F.col("_tie"))
     return sliced.withColumn(name, F.row_number().over(w) + F.col("_before_n")).drop(
         "_before_n", "_slice", "_tie"

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from brightloom.functions.sales import PRODUCT_RULES
 from brightloom.operators import quality, sales, upsert
-from brightloom.session import cut
+from brightloom.session import stage
 
 NOT_NULL = ["invoice_no", "stock_code", "description", "invoice_ts", "quantity", "unit_price"]
 TABLES = ["dim_date", "dim_store", "dim_product", "fact_sales"]
@@ -45,17 +45,17 @@ def load_batch(raw: DataFrame, base: str, rules: Sequence = PRODUCT_RULES) -> in
 
     version, mark = current_state(spark, base)
     # Lines are numbered before the watermark filter: a line keeps its number in every run.
-    numbered = sales.number_lines(cut(sales.clean_sales(raw)))
-    batch = cut(sales.after_watermark(numbered, "invoice_ts", mark))
+    numbered = sales.number_lines(stage(sales.clean_sales(raw)))
+    batch = stage(sales.after_watermark(numbered, "invoice_ts", mark))
     if batch.isEmpty():
         return version
-    star = {n: cut(df) for n, df in sales.star_schema(batch, rules).items()}
-    stage = star["fact_sales_stage"]
+    star = {n: stage(df) for n, df in sales.star_schema(batch, rules).items()}
+    lines = star["fact_sales_stage"]
     quality.raise_on(quality.duplicate_keys({
         "dim_date": (star["dim_date"], ["date_key"]), "dim_store": (star["dim_store"], ["country"]),
-        "dim_product": (star["dim_product"], ["stock_code"]), "fact": (stage, ["invoice_no", "line_no"]),
+        "dim_product": (star["dim_product"], ["stock_code"]), "fact": (lines, ["invoice_no", "line_no"]),
     }).filter("duplicates > 0"), "duplicate keys")
-    quality.raise_on(quality.missing_references(stage, {
+    quality.raise_on(quality.missing_references(lines, {
         "dates": ("date_key", star["dim_date"], "date_key"), "stores": ("country", star["dim_store"], "country"),
         "products": ("stock_code", star["dim_product"], "stock_code")}).filter("missing_keys > 0"), "missing members")
 
@@ -72,7 +72,7 @@ def load_batch(raw: DataFrame, base: str, rules: Sequence = PRODUCT_RULES) -> in
     new = version + 1
     for name, df in (("dim_date", dates), ("dim_store", stores), ("dim_product", products)):
         df.write.mode("overwrite").parquet(f"{base}/{name}/v{new}")
-    fact = sales.resolve_fact(stage, table(spark, base, "dim_store", new), table(spark, base, "dim_product", new)).withColumn(
+    fact = sales.resolve_fact(lines, table(spark, base, "dim_store", new), table(spark, base, "dim_product", new)).withColumn(
         "source_updated_at", F.current_timestamp())
     merged = fact if old is None else upsert.upsert_rows(old["fact_sales"], fact, ["invoice_no", "line_no"])
     merged.write.mode("overwrite").parquet(f"{base}/fact_sales/v{new}")

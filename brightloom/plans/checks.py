@@ -8,7 +8,7 @@ from brightloom.operators import quality as q
 from brightloom.operators import sales
 from brightloom.plans.registry import query
 from brightloom.plans.retail import SALES, products, raw_sales, staged, stores
-from brightloom.session import cut
+from brightloom.session import cut, stage
 
 RAW_COLUMNS = ["invoice_no", "stock_code", "description", "invoice_ts", "quantity", "unit_price", "customer_id"]
 
@@ -63,7 +63,7 @@ UNION ALL SELECT 'null measures', count(*), count(*) = 0 FROM numbered
 def _(t):
     numbered = staged(t)
     dim_store, dim_product = cut(stores(numbered)), cut(products(numbered))
-    fact = cut(sales.resolve_fact(sales.fact_stage(numbered), dim_store, dim_product))
+    fact = stage(sales.resolve_fact(sales.fact_stage(numbered), dim_store, dim_product))
     return q.warehouse_suite(
         fact,
         {"dates": ("date_key", sales.date_dimension(numbered, "invoice_ts"), "date_key"),

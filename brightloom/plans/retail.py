@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from brightloom.operators import sales, upsert
 from brightloom.plans.registry import Tables, query
-from brightloom.session import cut
+from brightloom.session import cut, stage
 
 # Category words that occur in the given part names.
 PART_RULES = [
@@ -84,7 +84,7 @@ def clean(t: Tables) -> DataFrame:
 def staged(t: Tables) -> DataFrame:
     """Numbered sales lines, frozen between the stages: dimensions, fact and checks all
     read them, and the joins behind them run once."""
-    return cut(sales.number_lines(cut(clean(t))))
+    return stage(sales.number_lines(stage(clean(t))))
 
 
 def stores(lines: DataFrame) -> DataFrame:
@@ -110,7 +110,7 @@ def _(t):
 
 @query("retail_line_no", f"WITH {SALES} SELECT invoice_no, line_no, stock_code, quantity FROM numbered")
 def _(t):
-    return sales.number_lines(cut(clean(t))).select("invoice_no", "line_no", "stock_code", "quantity")
+    return sales.number_lines(stage(clean(t))).select("invoice_no", "line_no", "stock_code", "quantity")
 
 
 @query("retail_category", """
@@ -150,7 +150,7 @@ def _(t):
 SELECT invoice_no, line_no, CAST(strftime(invoice_ts, '%Y%m%d') AS INTEGER) AS date_key, country,
   stock_code, customer_id, quantity, unit_price, sales_amount FROM numbered""", money=["unit_price", "sales_amount"])
 def _(t):
-    return sales.fact_stage(sales.number_lines(cut(clean(t)))).drop("invoice_ts")
+    return sales.fact_stage(sales.number_lines(stage(clean(t)))).drop("invoice_ts")
 
 
 @query("retail_fact_resolved", f"""WITH {SALES}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,10 +43,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise once on the shared folder, so later steps neither recompute nor
-    depend on one executor staying alive."""
+    """Materialise a folded table once on the shared folder, so later steps neither
+    recompute it nor depend on one executor staying alive."""
     spark = df.sparkSession
     folder = shared_dir(spark)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """The same for row-level tables, as Parquet: later steps read only the columns they
+    use, and Spark plans with the table's real size."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -29,8 +29,8 @@ def test_clean_and_number(raw):
 
 
 def test_hot_invoice_is_numbered_in_slices(raw):
-    many = raw.filter("invoice_no = '1001'").crossJoin(raw.sparkSession.range(200).withColumnRenamed("id", "x")).withColumn(
-        "quantity", F.col("x").cast("int") + 1).drop("x")
+    copies = F.explode(F.sequence(F.lit(1), F.lit(200)))
+    many = raw.filter("invoice_no = '1001'").withColumn("quantity", copies)
     got = sales.number_lines(sales.clean_sales(many), group_rows=25)
     assert sorted(r["line_no"] for r in got.collect()) == list(range(1, 401))
 

@@ -2,10 +2,11 @@
 
 Ranks, running totals, row numbers and exact quantiles all need a total order.
 A plain window puts a whole group in one task, which fails when one key holds a
-large share of the rows. Every function here first looks at the size of the
-largest group. Groups within ``GROUP_ROWS`` take the plain window. Larger ones
-are cut into range slices; the slices' totals (one row per key and slice) give
-each slice its offset, and only the work inside a slice runs in one task.
+large share of the rows. Here rows are always cut in range slices of (keys,
+order); the slices' totals (one row per key and slice) give each slice its
+offset, and only the work inside a slice runs in one task. Spark's own
+partitioning decides the number of slices: adaptive execution folds a small
+table into one slice, so the plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -15,29 +16,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brightloom.session import cut, stage
+from brightloom.session import stage
 
-GROUP_ROWS = 1_000_000
 
-
-def _largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    if not keys:
-        return df.count()
-    top = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return top or 0
-
-
-def _slices(frozen: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Rows in range slices of (keys, order), frozen so that slice ids stay put.
+def _slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Rows in range slices of (keys, order), written once so that slice ids stay put.
 
     The random last key spreads rows that are equal in every other key; such rows are
-    interchangeable, so it does not change the result. It is drawn on frozen rows: a
-    task that runs again draws the same numbers.
+    interchangeable, so it does not change the result.
     """
-    parts = int(frozen.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = (
-        frozen.withColumn("_tie", F.rand(7))
-        .repartitionByRange(parts, *[F.col(k) for k in keys], *order, F.col("_tie"))
+        df.withColumn("_tie", F.rand(7))
+        .repartitionByRange(*[F.col(k) for k in keys], *order, F.col("_tie"))
         .withColumn("_slice", F.spark_partition_id())
     )
     return stage(spread)
@@ -64,16 +54,9 @@ def _with_offsets(sliced: DataFrame, keys: Sequence[str], totals: dict[str, Colu
     )
 
 
-def row_numbers(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str,
-    group_rows: int | None = None,
-) -> DataFrame:
+def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """1-based position within ``keys`` in ``order``."""
-    limit = GROUP_ROWS if group_rows is None else group_rows
-    if _largest_group(df.select(*keys) if keys else df, keys) <= limit:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(w).cast("long"))
-    sliced = _with_offsets(_slices(stage(df), keys, order), keys, {"n": F.count(F.lit(1))})
+    sliced = _with_offsets(_slices(df, keys, order), keys, {"n": F.count(F.lit(1))})
     w = Window.partitionBy(*keys, "_slice").orderBy(*order, F.col("_tie"))
     return sliced.withColumn(name, F.row_number().over(w) + F.col("_before_n")).drop(
         "_before_n", "_slice", "_tie"
@@ -82,17 +65,11 @@ def row_numbers(
 
 def running_totals(
     df: DataFrame, order: Sequence[Column], sums: dict[str, str], keys: Sequence[str] = (),
-    group_rows: int | None = None,
 ) -> DataFrame:
     """Add inclusive running sums ``{new: column}``. Rows must be unique in (keys, order):
     aggregate to distinct order values first. The input is materialised once."""
-    limit = GROUP_ROWS if group_rows is None else group_rows
-    frozen = cut(df)
-    if _largest_group(frozen, keys) <= limit:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return frozen.withColumns({new: F.sum(c).over(w) for new, c in sums.items()})
     sliced = _with_offsets(
-        _slices(frozen, keys, order), keys, {c: F.sum(c) for c in dict.fromkeys(sums.values())}
+        _slices(df, keys, order), keys, {c: F.sum(c) for c in dict.fromkeys(sums.values())}
     )
     w = (
         Window.partitionBy(*keys, "_slice").orderBy(*order)
@@ -106,7 +83,6 @@ def running_totals(
 
 def value_ranks(
     df: DataFrame, value: str, keys: Sequence[str] = (), descending: bool = False,
-    group_rows: int | None = None,
 ) -> DataFrame:
     """One row per distinct non-null value: ``ties``, ``rank_min``, ``rank_avg`` and the
     group's ``n``. Equal rows are folded into counts before anything is ordered."""
@@ -115,7 +91,7 @@ def value_ranks(
         .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("ties"))
     )
     order = F.col(value).desc() if descending else F.col(value).asc()
-    run = running_totals(folded, [order], {"_upto": "ties"}, keys, group_rows)
+    run = running_totals(folded, [order], {"_upto": "ties"}, keys)
     if keys:
         totals = run.groupBy(*keys).agg(F.sum("ties").alias("n"))
         run = run.join(totals, _null_safe(run, totals, keys)).select(run["*"], totals["n"])
@@ -130,14 +106,13 @@ def value_ranks(
 
 def quantiles(
     df: DataFrame, value: str, probs: dict[str, float], keys: Sequence[str] = (),
-    group_rows: int | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles ``{name: p}``, one row per key.
 
     ``percentile`` keeps all distinct values of a group in one buffer; this keeps
     them in slices and picks the two neighbours of each position.
     """
-    ranks = value_ranks(df, value, keys, group_rows=group_rows)
+    ranks = value_ranks(df, value, keys)
     first = F.col("rank_min") - 1
     last = F.col("rank_min") + F.col("ties") - 2
     aggs = [F.max("n").alias("n")]

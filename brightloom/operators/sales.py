@@ -39,10 +39,10 @@ def clean_sales(raw: DataFrame) -> DataFrame:
     )
 
 
-def number_lines(clean: DataFrame, group_rows: int | None = None) -> DataFrame:
+def number_lines(clean: DataFrame) -> DataFrame:
     """``line_no`` inside each invoice by time and stock code; the other columns break ties."""
     order = ["invoice_ts", "stock_code", "quantity", "unit_price", "description", "country", "customer_id"]
-    return row_numbers(clean, ["invoice_no"], [F.col(c) for c in order], "line_no", group_rows)
+    return row_numbers(clean, ["invoice_no"], [F.col(c) for c in order], "line_no")
 
 
 def with_category(df: DataFrame, rules: Sequence = PRODUCT_RULES) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The order helpers give the same result through plain windows and through slices."""
+"""The order helpers give the same result in one slice and in many."""
 
 import random
 
@@ -20,34 +20,43 @@ def hot(spark):
     return spark.createDataFrame(rows, "k string, v int, i int").cache()
 
 
-@pytest.mark.parametrize("limit", [10**6, 20])
-def test_row_numbers(hot, limit):
-    got = o.row_numbers(hot, ["k"], [F.col("v"), F.col("i")], "n", limit).toPandas()
+@pytest.fixture(params=["one slice", "many slices"])
+def slices(spark, request):
+    """Small tables are folded into one slice unless adaptive execution may not fold."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    if request.param == "many slices":
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "9")
+    yield
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+def test_row_numbers(hot, slices):
+    got = o.row_numbers(hot, ["k"], [F.col("v"), F.col("i")], "n").toPandas()
     want = hot.toPandas().sort_values(["k", "v", "i"])
     want["n"] = want.groupby("k").cumcount() + 1
     assert sorted(map(tuple, got[["k", "v", "i", "n"]].values)) == sorted(map(tuple, want[["k", "v", "i", "n"]].values))
 
 
-def test_row_numbers_of_equal_rows(spark):
+def test_row_numbers_of_equal_rows(spark, slices):
     same = spark.createDataFrame([("a", 1)] * 300, "k string, v int")
-    got = o.row_numbers(same, ["k"], [F.col("v")], "n", 10).toPandas()
+    got = o.row_numbers(same, ["k"], [F.col("v")], "n").toPandas()
     assert sorted(got["n"]) == list(range(1, 301))
 
 
-@pytest.mark.parametrize("limit", [10**6, 5])
-def test_running_totals_with_null_key(spark, limit):
+def test_running_totals_with_null_key(spark, slices):
     rows = [(k, i, i % 7) for k in ("a", None) for i in range(40)]
     df = spark.createDataFrame(rows, "k string, i int, x int")
-    got = o.running_totals(df, [F.col("i")], {"s": "x"}, ["k"], limit).toPandas()
+    got = o.running_totals(df, [F.col("i")], {"s": "x"}, ["k"]).toPandas()
     for k in ("a", None):
         part = got[got["k"].isna()] if k is None else got[got["k"] == k]
         part = part.sort_values("i")
         assert part["s"].tolist() == np.cumsum([i % 7 for i in range(40)]).tolist()
 
 
-@pytest.mark.parametrize("limit", [10**6, 4])
-def test_value_ranks(hot, limit):
-    got = o.value_ranks(hot, "v", ["k"], descending=True, group_rows=limit).toPandas()
+def test_value_ranks(hot, slices):
+    got = o.value_ranks(hot, "v", ["k"], descending=True).toPandas()
     pdf = hot.toPandas()
     for k, part in pdf.groupby("k"):
         lo = part["v"].rank(ascending=False, method="min")
@@ -58,10 +67,9 @@ def test_value_ranks(hot, limit):
         assert (mine["n"] == len(part)).all()
 
 
-@pytest.mark.parametrize("limit", [10**6, 6])
-def test_quantiles(hot, limit):
+def test_quantiles(hot, slices):
     probs = {"lo": 0.0, "q1": 0.25, "p80": 0.8, "hi": 1.0}
-    got = o.quantiles(hot, "v", probs, ["k"], limit).toPandas().set_index("k")
+    got = o.quantiles(hot, "v", probs, ["k"]).toPandas().set_index("k")
     for k, part in hot.toPandas().groupby("k"):
         for name, p in probs.items():
             assert got.loc[k, name] == pytest.approx(part["v"].quantile(p))
@@ -71,5 +79,5 @@ def test_quantiles(hot, limit):
 @given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=40), st.floats(0, 1))
 def test_quantile_property(spark, values, p):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    got = o.quantiles(df, "v", {"q": p}, group_rows=3).first()["q"]
+    got = o.quantiles(df, "v", {"q": p}).first()["q"]
     assert got == pytest.approx(pd.Series(values).quantile(p), rel=1e-9, abs=1e-6)

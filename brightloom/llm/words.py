@@ -33,10 +33,11 @@ def multipliers(n: int, seed: int) -> np.ndarray:
 
 
 def text_column(values: pa.Array | pa.ChunkedArray) -> pa.Array:
-    """Whole texts as one array; null texts become empty."""
+    """Whole texts as one array of its own, as some functions misread slices; null texts
+    become empty."""
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()
-    return pc.fill_null(values.cast(pa.large_string()), "")
+    return pc.fill_null(values.cast(pa.large_string()).take(pa.array(np.arange(len(values)))), "")
 
 
 def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:

@@ -23,7 +23,7 @@ def _explain(df) -> str:
 
 def test_names():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert not [n for n in entry.queries() if n.startswith("op") or "llm" in n]
+    assert set(plans.QUERIES) <= set(entry.queries())
 
 
 def test_entry_is_one_row_per_entity(spark):

@@ -30,7 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from brightloom.llm.words import ROWS, mix, multipliers, shingle_sets, text_column
@@ -40,6 +40,8 @@ from brightloom.session import cut, stage
 BLOCK = 256
 #: Rows up to which the list of texts to read again is broadcast; beyond, Spark joins by shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Rows of a small table that one task takes on.
+TASK_ROWS = 200_000
 #: Rounds in which a bucket's members meet one leader, before blocks.
 LEADER_ROUNDS = 3
 
@@ -139,26 +141,37 @@ def _sets(docs: DataFrame, wanted: DataFrame, scheme: Scheme) -> DataFrame:
     return found.mapInArrow(run, "cid long, minima binary, windows array<long>")
 
 
+def _cut(df: DataFrame, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """The table written once, in as many partitions as its rows ask for, and figures that
+    are counted while it is written."""
+    seen = Observation()
+    kept = cut(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count(F.when(c, 1)).alias(n) for n, c in counts.items()]))
+    found = seen.get
+    return kept.coalesce(found["rows"] // TASK_ROWS + 1), found
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node in ``links`` (u, v), by alternating large-star and
     small-star steps. The root is a component's smallest node. Minima are folded before the
-    shuffle and joined back, so a node with very many links is no single group."""
-    edges = cut(links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    state = None
+    shuffle and joined back, so a node with very many links is no single group. The steps end
+    when none moves an edge: every node then hangs on a root that hangs on nothing."""
+    edges, _ = _cut(links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = cut(large)
+        large = both.join(least, "u").filter("v > u")
+        large, moved = _cut(large.select(F.col("v").alias("u"), F.col("m").alias("v"), (F.col("m") < F.col("u")).alias("new")), new=F.col("new"))
+        large = large.select("u", "v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_000_007)).first()
-        if now == state:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-                edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+        small = large.join(least, "u").select(F.when(F.col("v") != F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"), (F.col("v") != F.col("m")).alias("new"))
+        # a node whose parents differ keeps the least, which the row of that parent gives
+        edges, also = _cut(small, new=F.col("new"))
+        edges = edges.select("u", "v")
+        if not moved["new"] and not also["new"]:
+            tree = edges.distinct()
+            return tree.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+                tree.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             )
-        state = now
 
 
 def _estimated(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
@@ -243,13 +256,15 @@ def near_links(docs: DataFrame, described: DataFrame, scheme: Scheme) -> DataFra
     )
     sets = stage(_sets(docs, cut(wanted), scheme))
 
-    links, roots = None, None
+    roots = None
     for turn in range(LEADER_ROUNDS + 1):
         if roots is None:
             now = members.withColumn("root", F.col("cid"))
         else:
             now = members.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-        held = cut(_open_buckets(now))
+        held, open_ = _cut(_open_buckets(now))
+        if not open_["rows"]:
+            break
         if turn < LEADER_ROUNDS:
             # the smallest after a bijection, so that the leader can be read from the minimum
             salt = F.lit(int(multipliers(turn + 1, 404)[turn].astype(np.int64)))
@@ -260,13 +275,13 @@ def near_links(docs: DataFrame, described: DataFrame, scheme: Scheme) -> DataFra
             met = _estimated(met, sets, scheme)
         else:
             met = _blocks(held, sets, scheme)
-        found = cut(_confirmed(met, sets, scheme))
-        links = found if links is None else links.unionByName(found)
-        if not found.isEmpty():
+        met, _ = _cut(met)
+        found, new = _cut(_confirmed(met, sets, scheme))
+        if new["rows"]:
             grown = found if roots is None else found.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
-            roots = cut(components(grown))
+            roots, _ = _cut(components(grown))
     if roots is None:
-        roots = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        return members.select(F.col("cid").alias("node"), F.col("cid").alias("root")).limit(0)
     return roots
 
 

@@ -8,10 +8,12 @@ threshold; a component is what links connect. The steps:
 2. Texts that share a band key share a bucket. Only a bucket's *leader* is compared with its
    members: first minima, then the full sets. Links give components by alternating
    large-star and small-star steps; a bucket whose members are in one component is done.
-3. Two more rounds with other leaders shrink what is left. The remaining buckets are
-   compared in blocks of bounded size inside tasks, pairs of one component skipped; only
-   pairs whose minima agree come out, and the full sets confirm them. So no link between
-   texts that share a band is lost, and no group is expanded into all its pairs.
+3. The remaining buckets are compared in blocks of bounded size inside tasks, pairs of one
+   component skipped. A first pass lets out a forest, the likeliest pairs that join a block's
+   components, at most one per member; the full sets confirm them and components merge. The
+   last pass lets out every pair between components whose minima agree often enough to be a
+   link, and the full sets decide. So no link between texts that share a band is lost, and
+   no group is expanded into all its pairs.
 
 With 6 rows and 32 bands, two texts at similarity 0.85 share no band with a chance of
 3e-7; at 0.8, 38 bands of 5 rows, likewise.
@@ -42,8 +44,8 @@ BLOCK = 256
 BROADCAST_ROWS = 1_000_000
 #: Rows of a small table that one task takes on.
 TASK_ROWS = 200_000
-#: Rounds in which a bucket's members meet one leader, before blocks.
-LEADER_ROUNDS = 3
+#: Passes over the buckets, in order.
+PASSES = ("leader", "forest", "rest")
 
 
 @dataclass(frozen=True)
@@ -65,6 +67,12 @@ class Scheme:
         p = self.percent / 100
         return int(self.minima * p - 5 * (self.minima * p * (1 - p)) ** 0.5)
 
+    @property
+    def likely_agreeing(self) -> int:
+        """Minima that agree in a likely link: one deviation below."""
+        p = self.percent / 100
+        return int(self.minima * p - (self.minima * p * (1 - p)) ** 0.5)
+
 
 def signature(windows: np.ndarray, scheme: Scheme) -> np.ndarray:
     """Minimum of each universal hash (a x + b) over the set."""
@@ -205,8 +213,32 @@ def _open_buckets(members: DataFrame) -> DataFrame:
     return members.join(mixed.filter("x < y").select("bucket", "held"), "bucket")
 
 
-def _blocks(members: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
-    """Pairs (a, b) of one bucket and two components whose minima agree, found in blocks."""
+def _forest(root: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs (i, j, agreeing minima) those that join components, the likeliest first."""
+    if not pairs:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    i, j, agree = (np.concatenate(x) for x in zip(*pairs))
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = x = parent.get(parent[x], parent[x])
+        return x
+
+    taken = []
+    order = np.argsort(-agree, kind="stable")
+    for at, x, y in zip(order.tolist(), root[i[order]].tolist(), root[j[order]].tolist()):
+        x, y = find(x), find(y)
+        if x != y:
+            parent[x] = y
+            taken.append(at)
+    return i[taken], j[taken]
+
+
+def _blocks(members: DataFrame, sets: DataFrame, scheme: Scheme, forest: bool) -> DataFrame:
+    """Pairs (a, b) of one bucket and two components whose minima agree, found in blocks:
+    only a forest of likely ones, or all that may be links."""
+    enough = scheme.likely_agreeing if forest else scheme.least_agreeing
     n = F.ceil(F.col("held") / F.lit(BLOCK)).cast("int")
     placed = members.withColumn("n", n).withColumn("own", F.pmod(F.xxhash64("cid", "bucket"), F.col("n")).cast("int"))
     cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
@@ -219,13 +251,20 @@ def _blocks(members: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
         side = cell.column("side").to_numpy()
         cid, root = cell.column("cid").to_numpy(), cell.column("root").to_numpy()
         low = np.frombuffer(b"".join(cell.column("minima").to_pylist()), np.uint8).reshape(-1, scheme.minima)
+        found = []
         for i in np.flatnonzero(side != 1):
             rest = np.flatnonzero((side == 1) if side[i] == 0 else (np.arange(len(side)) > i))
             rest = rest[root[rest] != root[i]]
-            near = rest[(low[rest] == low[i]).sum(axis=1) >= scheme.least_agreeing]
-            if len(near):
-                a, b = np.minimum(cid[near], cid[i]), np.maximum(cid[near], cid[i])
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            agree = (low[rest] == low[i]).sum(axis=1)
+            near = agree >= enough
+            if near.any():
+                found.append((np.full(near.sum(), i), rest[near], agree[near]))
+        if forest:
+            i, j = _forest(root, found)
+        else:
+            i, j = (np.concatenate(x) for x in list(zip(*found))[:2]) if found else (np.empty(0, np.int64),) * 2
+        if len(i):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cid[i], cid[j])), pa.array(np.maximum(cid[i], cid[j]))], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -257,7 +296,7 @@ def near_links(docs: DataFrame, described: DataFrame, scheme: Scheme) -> DataFra
     sets = stage(_sets(docs, cut(wanted), scheme))
 
     roots = None
-    for turn in range(LEADER_ROUNDS + 1):
+    for step in PASSES:
         if roots is None:
             now = members.withColumn("root", F.col("cid"))
         else:
@@ -265,16 +304,12 @@ def near_links(docs: DataFrame, described: DataFrame, scheme: Scheme) -> DataFra
         held, open_ = _cut(_open_buckets(now))
         if not open_["rows"]:
             break
-        if turn < LEADER_ROUNDS:
-            # the smallest after a bijection, so that the leader can be read from the minimum
-            salt = F.lit(int(multipliers(turn + 1, 404)[turn].astype(np.int64)))
-            lead = held.groupBy("bucket").agg(F.min(F.struct(F.col("cid").bitwiseXOR(salt).alias("x"), "root")).alias("lead"))
-            met = held.join(lead, "bucket").filter("root <> lead.root").select(
-                F.least("cid", F.col("lead.x").bitwiseXOR(salt)).alias("a"), F.greatest("cid", F.col("lead.x").bitwiseXOR(salt)).alias("b")
-            ).distinct()
+        if step == "leader":
+            lead = held.groupBy("bucket").agg(F.min("cid").alias("lead"))
+            met = held.join(lead, "bucket").filter("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")).distinct()
             met = _estimated(met, sets, scheme)
         else:
-            met = _blocks(held, sets, scheme)
+            met = _blocks(held, sets, scheme, forest=step == "forest")
         met, _ = _cut(met)
         found, new = _cut(_confirmed(met, sets, scheme))
         if new["rows"]:

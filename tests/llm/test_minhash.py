@@ -53,9 +53,9 @@ def test_components_beside_all_pairs(spark):
     assert result(near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(5), SCHEME)) == want
 
 
-@pytest.mark.parametrize("rounds", [0, 1])
-def test_blocks_find_what_leaders_miss(spark, monkeypatch, rounds):
-    monkeypatch.setattr(minhash, "LEADER_ROUNDS", rounds)
+@pytest.mark.parametrize("passes", [("rest",), ("leader", "forest", "rest")])
+def test_blocks_find_what_leaders_miss(spark, monkeypatch, passes):
+    monkeypatch.setattr(minhash, "PASSES", passes)
     monkeypatch.setattr(minhash, "BLOCK", 8)
     monkeypatch.setattr(minhash, "BROADCAST_ROWS", 0)
     rng = random.Random(5)

@@ -19,9 +19,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words remembered by one Python worker; beyond, it forgets all and starts anew.
-WORDS = 250_000
-#: Longer words are not remembered.
+#: Words remembered by one Python worker, in two generations: when the younger is full, it
+#: becomes the older, and words that are met again move back.
+WORDS = 600_000
+#: Words with more bytes of ids are not remembered.
 WORD_BYTES = 120
 #: Texts encoded together.
 ROWS = 512
@@ -40,7 +41,8 @@ class Encoder:
 
         self.model = Tokenizer.from_file(path)
         self.by_word = by_word
-        self.known: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str, by_word: bool = True) -> Encoder:
@@ -62,12 +64,17 @@ class Encoder:
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        missing = [w for w in distinct if w not in self.known]
-        fresh = dict(zip(missing, self._plain(missing))) if missing else {}
-        parts = [fresh[w] if w in fresh else self.known[w] for w in distinct]
-        if len(self.known) + len(fresh) > WORDS:
-            self.known.clear()
-        self.known.update((w, x) for w, x in fresh.items() if len(w) <= WORD_BYTES)
+        parts = list(map(self.young.get, distinct))
+        for i, x in enumerate(parts):
+            if x is None and (x := self.old.get(distinct[i])) is not None:
+                parts[i] = self.young[distinct[i]] = x
+        missing = [i for i, x in enumerate(parts) if x is None]
+        for i, x in zip(missing, self._plain([distinct[i] for i in missing])):
+            parts[i] = x
+            if len(x) <= WORD_BYTES:
+                self.young[distinct[i]] = x
+        if len(self.young) > WORDS // 2:
+            self.old, self.young = self.young, {}
         lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         pool = np.frombuffer(b"".join(parts), np.uint32)
         begin = np.cumsum(lengths) - lengths

@@ -25,41 +25,46 @@ from brightloom.operators.ordering import row_numbers
 from brightloom.session import cut
 
 #: Samples of a fingerprint.
-SAMPLES = 32
+SAMPLES = 24
 #: Claims are kept to 2 ** -22.
 SCALE = 1 << 22
 
 _NONE = -(1 << 63)  # orders a null doc_id below all others
 
 
-def _unit(bits: Column) -> Column:
-    """32 bits as a number strictly between 0 and 1."""
-    return (bits.cast("double") + 0.5) / F.lit(float(1 << 32))
+def _unit(bits: Column, k: int) -> Column:
+    """The k-th 21 bits of a hash as a number strictly between 0 and 1."""
+    part = F.shiftrightunsigned(bits, 21 * k).bitwiseAND(F.lit((1 << 21) - 1))
+    return (part.cast("double") + 0.5) / F.lit(float(1 << 21))
 
 
-def claim(term: Column, weight: Column, sample: int) -> Column:
+def claim(term: Column, ln_weight: Column, sample: int) -> Column:
     """Claim (upper 32 bits) and sample (lower 32 bits) of a word, as one number to minimise."""
+    one, two = F.xxhash64(term, F.lit(sample)), F.xxhash64(F.lit(sample), term)
+    r = -F.ln(_unit(one, 0) * _unit(one, 1))
+    ln_c = F.ln(-F.ln(_unit(two, 0) * _unit(two, 1)))
+    b = _unit(one, 2)
+    t = F.floor(ln_weight / r + b)
+    claimed = F.floor((ln_c - r * (t - b + 1)) * SCALE) + (1 << 30)
+    return claimed * (1 << 32) + (two + t * 0x9E3779B1).bitwiseAND(F.lit((1 << 32) - 1))
+
+
+def fingerprints(words: DataFrame, keys: list[str], versions: int) -> DataFrame:
+    """(keys, word, version, times) to (keys, samples_0, samples_1, ...): per version of a text
+    an array of SAMPLES numbers, null without words. ``times`` says how often the table holds
+    each row. The keys should already partition the table; then nothing is shuffled. The
+    draws of a word serve all versions."""
+    counts = [F.sum((F.col("version") == v).cast("long")).alias(f"n{v}") for v in range(versions)]
+    terms = words.withColumn("term", F.xxhash64("word")).groupBy(*keys, "term").agg(*counts, F.first("times").alias("times"))
+    logs = [F.ln(F.when(F.col(f"n{v}") > 0, F.col(f"n{v}") / F.col("times"))).alias(f"w{v}") for v in range(versions)]
+    least = terms.select(*keys, "term", *logs).groupBy(*keys).agg(*[
+        F.min(claim(F.col("term"), F.col(f"w{v}"), i)).alias(f"s{v}_{i}") for i in range(SAMPLES) for v in range(versions)
+    ])
     low = F.lit((1 << 32) - 1)
-    one, two, three = (F.xxhash64(term, F.lit(sample), F.lit(k)) for k in (1, 2, 3))
-    r = -F.ln(_unit(one.bitwiseAND(low)) * _unit(F.shiftrightunsigned(one, 32)))
-    c = -F.ln(_unit(two.bitwiseAND(low)) * _unit(F.shiftrightunsigned(two, 32)))
-    b = _unit(three.bitwiseAND(low))
-    t = F.floor(F.ln(weight) / r + b)
-    ln_a = F.ln(c) - r * (t - b + 1)
-    return (F.round(ln_a * SCALE).cast("long") + (1 << 30)) * (1 << 32) + F.xxhash64(term, F.lit(sample), t).bitwiseAND(low)
-
-
-def fingerprints(texts: DataFrame, keys: list[str], times: str | None = None) -> DataFrame:
-    """(keys, text[, times]) to (keys, samples): an array of SAMPLES numbers, null without
-    words. ``times`` says how often the table holds each row. The keys should already
-    partition the table; then nothing is shuffled."""
-    word = F.explode(F.split("text", "[\\x20\\x09-\\x0D]+")).alias("word")
-    words = texts.select(*keys, *([times] if times else []), word).filter("word <> ''")
-    count = F.count(F.lit(1)).cast("double") / (F.first(times) if times else F.lit(1.0))
-    terms = words.withColumn("term", F.xxhash64("word")).groupBy(*keys, "term").agg(count.alias("weight"))
-    least = terms.groupBy(*keys).agg(*[F.min(claim(F.col("term"), F.col("weight"), i)).alias(f"s{i}") for i in range(SAMPLES)])
-    low = F.lit((1 << 32) - 1)
-    return least.select(*keys, F.array(*[F.col(f"s{i}").bitwiseAND(low) for i in range(SAMPLES)]).alias("samples"))
+    return least.select(*keys, *[
+        F.when(F.col(f"s{v}_0").isNotNull(), F.array(*[F.col(f"s{v}_{i}").bitwiseAND(low) for i in range(SAMPLES)])).alias(f"samples_{v}")
+        for v in range(versions)
+    ])
 
 
 def as_text(samples: Column) -> Column:
@@ -102,11 +107,11 @@ def edited_beside_next(docs: DataFrame) -> DataFrame:
     versions = both.withColumn("v", F.explode(F.array(
         F.struct(F.lit(0).alias("version"), F.col("text").alias("text")), F.struct(F.lit(1).alias("version"), F.col("edited").alias("text"))
     ))).select("key", "hash", "times", F.col("v.version").alias("version"), F.col("v.text").alias("text"))
-    prints = cut(fingerprints(versions, ["key", "hash", "version"], "times"))
-    own = prints.filter("version = 0").select("key", "hash", F.col("samples").alias("own"))
-    new = prints.filter("version = 1").select("key", "hash", F.col("samples").alias("new"))
-    following = prints.filter("version = 0").select(F.col("key").alias("next_key"), F.col("hash").alias("next_hash"), F.col("samples").alias("following"))
-    out = pairs.join(own, ["key", "hash"], "left").join(new, ["key", "hash"], "left").join(following, ["next_key", "next_hash"], "left")
+    words = versions.select("key", "hash", "times", "version", F.explode(F.split("text", "[\\x20\\x09-\\x0D]+")).alias("word")).filter("word <> ''")
+    prints = cut(fingerprints(words, ["key", "hash"], 2))
+    own = prints.select("key", "hash", F.col("samples_0").alias("own"), F.col("samples_1").alias("new"))
+    following = prints.select(F.col("key").alias("next_key"), F.col("hash").alias("next_hash"), F.col("samples_0").alias("following"))
+    out = pairs.join(own, ["key", "hash"], "left").join(following, ["next_key", "next_hash"], "left")
     return shas.join(out, ["key", "hash"]).select(
         F.when(F.col("key") != _NONE, F.col("key")).alias("doc_id"), F.col("n").alias("n_chars"), "edited_sha256",
         as_text(F.col("own")).alias("fingerprint"), as_text(F.col("new")).alias("edited_fingerprint"),

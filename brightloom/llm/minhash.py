@@ -39,7 +39,7 @@ from brightloom.llm.words import ROWS, mix, multipliers, shingle_sets, text_colu
 from brightloom.session import cut, stage
 
 #: Members of a bucket that are compared in one block; bounds a task's memory.
-BLOCK = 256
+BLOCK = 1024
 #: Rows up to which the list of texts to read again is broadcast; beyond, Spark joins by shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Rows of a small table that one task takes on.

@@ -11,9 +11,10 @@ threshold; a component is what links connect. The steps:
 3. The remaining buckets are compared in blocks of bounded size inside tasks, pairs of one
    component skipped. A first pass lets out a forest, the likeliest pairs that join a block's
    components, at most one per member; the full sets confirm them and components merge. The
-   last pass lets out every pair between components whose minima agree often enough to be a
-   link, and the full sets decide. So no link between texts that share a band is lost, and
-   no group is expanded into all its pairs.
+   last pass names the members that have a possible partner in another component, brings
+   their full sets to their blocks and compares all such pairs there; again a forest, now of
+   true links, comes out. So no link between texts that share a band is lost, and no group
+   is expanded into all its pairs. A pair that shares several bands is compared in its first.
 
 With 6 rows and 32 bands, two texts at similarity 0.85 share no band with a chance of
 3e-7; at 0.8, 38 bands of 5 rows, likewise.
@@ -26,7 +27,7 @@ its smallest doc_id that is not null. An empty table gives an empty result. Colu
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,7 +40,7 @@ from brightloom.llm.words import ROWS, mix, multipliers, shingle_sets, text_colu
 from brightloom.session import cut, stage
 
 #: Members of a bucket that are compared in one block; bounds a task's memory.
-BLOCK = 1024
+BLOCK = 512
 #: Rows up to which the list of texts to read again is broadcast; beyond, Spark joins by shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Rows of a small table that one task takes on.
@@ -235,50 +236,86 @@ def _forest(root: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray, np.ndarr
     return i[taken], j[taken]
 
 
-def _blocks(members: DataFrame, sets: DataFrame, scheme: Scheme, forest: bool) -> DataFrame:
-    """Pairs (a, b) of one bucket and two components whose minima agree, found in blocks:
-    only a forest of likely ones, or all that may be links."""
-    enough = scheme.likely_agreeing if forest else scheme.least_agreeing
+def _cells(members: DataFrame) -> DataFrame:
+    """Members of open buckets in cells: a block with itself (side 2) or two blocks (0 and 1)."""
     n = F.ceil(F.col("held") / F.lit(BLOCK)).cast("int")
     placed = members.withColumn("n", n).withColumn("own", F.pmod(F.xxhash64("cid", "bucket"), F.col("n")).cast("int"))
-    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
+    return placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
         F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "cid", "root",
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
     )
-    carried = cells.join(sets.select("cid", "minima"), "cid")
-
-    def pairs(cell: pa.Table) -> Iterator[pa.RecordBatch]:
-        side = cell.column("side").to_numpy()
-        cid, root = cell.column("cid").to_numpy(), cell.column("root").to_numpy()
-        low = np.frombuffer(b"".join(cell.column("minima").to_pylist()), np.uint8).reshape(-1, scheme.minima)
-        found = []
-        for i in np.flatnonzero(side != 1):
-            rest = np.flatnonzero((side == 1) if side[i] == 0 else (np.arange(len(side)) > i))
-            rest = rest[root[rest] != root[i]]
-            agree = (low[rest] == low[i]).sum(axis=1)
-            near = agree >= enough
-            if near.any():
-                found.append((np.full(near.sum(), i), rest[near], agree[near]))
-        if forest:
-            i, j = _forest(root, found)
-        else:
-            i, j = (np.concatenate(x) for x in list(zip(*found))[:2]) if found else (np.empty(0, np.int64),) * 2
-        if len(i):
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cid[i], cid[j])), pa.array(np.maximum(cid[i], cid[j]))], names=["a", "b"])
+
+
+def _candidates(cell: pa.Table, scheme: Scheme, enough: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs (i, j, agreeing minima) of a cell in two components that share no earlier band."""
+    side, root = cell.column("side").to_numpy(), cell.column("root").to_numpy()
+    low = np.frombuffer(b"".join(cell.column("minima").to_pylist()), np.uint8).reshape(-1, scheme.minima)
+    banded = low.reshape(-1, scheme.bands, scheme.rows)
+    here = int((banded == banded[0]).all(axis=(0, 2)).argmax())  # the band whose bucket this is
+    found = []
+    for i in np.flatnonzero(side != 1):
+        rest = np.flatnonzero((side == 1) if side[i] == 0 else (np.arange(len(side)) > i))
+        rest = rest[root[rest] != root[i]]
+        agree = (low[rest] == low[i]).sum(axis=1)
+        rest, agree = rest[agree >= enough], agree[agree >= enough]
+        if len(rest):
+            first = (banded[rest] == banded[i]).all(axis=2).argmax(axis=1) == here
+            found.append((np.full(first.sum(), i), rest[first], agree[first]))
+    return found
+
+
+def _over_cells(carried: DataFrame, schema: str, body: Callable[[pa.Table], pa.RecordBatch]) -> DataFrame:
+    """``body`` on every cell; rows come in the order of cells, and one cell is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
-        for batch in batches:  # rows come in the order of cells; one cell is held at a time
+        for batch in batches:
             table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
             cell = table.column("cell").to_numpy()
             edge = np.flatnonzero(np.diff(cell)) + 1
             for x, y in zip([0, *edge[:-1]], edge):
-                yield from pairs(table.slice(x, y - x))
+                yield body(table.slice(x, y - x))
             held = table.slice(edge[-1]) if len(edge) else table
         if held is not None and held.num_rows:
-            yield from pairs(held)
+            yield body(held)
+
+    return carried.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, schema)
+
+
+def _likely(cells: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
+    """A forest of likely pairs (a, b) between the components of each cell."""
+
+    def body(cell: pa.Table) -> pa.RecordBatch:
+        i, j = _forest(cell.column("root").to_numpy(), _candidates(cell, scheme, scheme.likely_agreeing))
+        cid = cell.column("cid").to_numpy()
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(cid[i], cid[j])), pa.array(np.maximum(cid[i], cid[j]))], names=["a", "b"])
+
+    return _over_cells(cells.join(sets.select("cid", "minima"), "cid"), "a long, b long", body).distinct()
+
+
+def _links(cells: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
+    """A forest of true links (u, v) between the components of each cell, from all its pairs."""
+
+    def name(cell: pa.Table) -> pa.RecordBatch:
+        pairs = _candidates(cell, scheme, scheme.least_agreeing)
+        named = np.unique(np.concatenate([x for i, j, _ in pairs for x in (i, j)])) if pairs else np.empty(0, np.int64)
+        columns = ["cell", "cid", "root", "side"]
+        return pa.RecordBatch.from_arrays([pa.array(cell.column(c).to_numpy()[named]) for c in columns], names=columns)
+
+    def compare(cell: pa.Table) -> pa.RecordBatch:
+        windows = [np.sort(w.values.to_numpy()) for w in cell.column("windows").combine_chunks()]
+        true = []
+        for i, j, agree in _candidates(cell, scheme, scheme.least_agreeing):
+            for x, y, n in zip(i.tolist(), j.tolist(), agree.tolist()):
+                both = len(np.intersect1d(windows[x], windows[y], assume_unique=True))
+                if 100 * both >= scheme.percent * (len(windows[x]) + len(windows[y]) - both):
+                    true.append((x, y, n))
+        i, j = _forest(cell.column("root").to_numpy(), [tuple(np.array(true).T)] if true else [])
+        cid = cell.column("cid").to_numpy()
+        return pa.RecordBatch.from_arrays([pa.array(cid[i]), pa.array(cid[j])], names=["u", "v"])
 
-    return carried.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long").distinct()
+    named, _ = _cut(_over_cells(cells.join(sets.select("cid", "minima"), "cid"), "cell long, cid long, root long, side int", name))
+    return _over_cells(named.join(sets.select("cid", "minima", "windows"), "cid"), "u long, v long", compare)
 
 
 def near_links(docs: DataFrame, described: DataFrame, scheme: Scheme) -> DataFrame:
@@ -307,11 +344,12 @@ def near_links(docs: DataFrame, described: DataFrame, scheme: Scheme) -> DataFra
         if step == "leader":
             lead = held.groupBy("bucket").agg(F.min("cid").alias("lead"))
             met = held.join(lead, "bucket").filter("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")).distinct()
-            met = _estimated(met, sets, scheme)
+            links = _confirmed(_estimated(met, sets, scheme), sets, scheme)
+        elif step == "forest":
+            links = _confirmed(_likely(_cells(held), sets, scheme), sets, scheme)
         else:
-            met = _blocks(held, sets, scheme, forest=step == "forest")
-        met, _ = _cut(met)
-        found, new = _cut(_confirmed(met, sets, scheme))
+            links = _links(_cells(held), sets, scheme)
+        found, new = _cut(links)
         if new["rows"]:
             grown = found if roots is None else found.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
             roots, _ = _cut(components(grown))

@@ -103,17 +103,19 @@ def edited_beside_next(docs: DataFrame) -> DataFrame:
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n") - F.col("third")).cast("int")), F.col("head"))
     both = table.join(kept, ["key", "hash"]).join(heads, ["key", "hash"]).withColumn("edited", edited)
 
-    shas = both.select("key", "hash", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
     versions = both.withColumn("v", F.explode(F.array(
         F.struct(F.lit(0).alias("version"), F.col("text").alias("text")), F.struct(F.lit(1).alias("version"), F.col("edited").alias("text"))
     ))).select("key", "hash", "times", F.col("v.version").alias("version"), F.col("v.text").alias("text"))
     words = versions.select("key", "hash", "times", "version", F.explode(F.split("text", "[\\x20\\x09-\\x0D]+")).alias("word")).filter("word <> ''")
-    prints = cut(fingerprints(words, ["key", "hash"], 2))
-    own = prints.select("key", "hash", F.col("samples_0").alias("own"), F.col("samples_1").alias("new"))
-    following = prints.select(F.col("key").alias("next_key"), F.col("hash").alias("next_hash"), F.col("samples_0").alias("following"))
-    out = pairs.join(own, ["key", "hash"], "left").join(following, ["next_key", "next_hash"], "left")
-    return shas.join(out, ["key", "hash"]).select(
+    shas = both.select("key", "hash", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    # one job, so that the texts are shuffled once for both
+    done = cut(shas.join(fingerprints(words, ["key", "hash"], 2), ["key", "hash"], "left"))
+    following = done.select(F.col("key").alias("next_key"), F.col("hash").alias("next_hash"), F.col("samples_0").alias("following"))
+    following = following.dropDuplicates(["next_key", "next_hash"])
+    out = done.join(pairs.select("key", "hash", "n", "next_key", "next_hash"), ["key", "hash"]).join(following, ["next_key", "next_hash"], "left")
+    own, new = F.col("samples_0"), F.col("samples_1")
+    return out.select(
         F.when(F.col("key") != _NONE, F.col("key")).alias("doc_id"), F.col("n").alias("n_chars"), "edited_sha256",
-        as_text(F.col("own")).alias("fingerprint"), as_text(F.col("new")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("new")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"),
+        as_text(own).alias("fingerprint"), as_text(new).alias("edited_fingerprint"),
+        likeness(own, new).alias("near_edited"), likeness(own, F.col("following")).alias("near_next"),
     )

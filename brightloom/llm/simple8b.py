@@ -34,7 +34,7 @@ from brightloom.llm.words import text_column
 from brightloom.session import shared_dir
 
 # Fixed values of the format: values and bits per word, by selector.
-COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
+COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int32)
 BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 MAGIC = b"S8B1"
 
@@ -68,15 +68,16 @@ def _code(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(values)
     blocks = -(-n // BLOCK)
     need = _bits(values)
-    end = np.minimum((np.arange(n) // BLOCK + 1) * BLOCK, n)
-    choice = np.full(n, 15)
-    fit = np.arange(n)
+    end = np.minimum((np.arange(n, dtype=np.int32) // BLOCK + 1) * BLOCK, n).astype(np.int32)
+    choice = np.full(n, 15, np.int8)
+    fit = np.arange(n, dtype=np.int32)
     for s in range(14, -1, -1):  # the smallest selector that fits holds the most values
         fit = fit[need[fit] <= BITS[s]]
         if not len(fit):
             break
-        last = np.append(np.flatnonzero(np.diff(fit) > 1), len(fit) - 1)  # of runs of narrow values
-        stop = np.repeat(fit[last] + 1, np.diff(np.append(-1, last)))
+        last = np.append(np.flatnonzero(fit[1:] != fit[:-1] + 1), len(fit) - 1)  # of runs of narrow values
+        run = np.diff(last, prepend=-1)
+        stop = np.repeat(fit[last] + 1, run)
         choice[fit[stop >= np.minimum(fit + COUNTS[s], end[fit])]] = s
     # from word to word, all blocks at once
     at, step = np.arange(blocks) * BLOCK, COUNTS[choice]

@@ -21,11 +21,11 @@ import pyarrow.compute as pc
 
 #: Words remembered by one Python worker, in two generations: when the younger is full, it
 #: becomes the older, and words that are met again move back.
-WORDS = 600_000
+WORDS = 1_000_000
 #: Words with more bytes of ids are not remembered.
 WORD_BYTES = 120
 #: Texts encoded together.
-ROWS = 512
+ROWS = 2048
 
 _LOADED: dict[tuple[str, bool], Encoder] = {}
 
@@ -65,10 +65,12 @@ class Encoder:
         coded = split.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         parts = list(map(self.young.get, distinct))
-        for i, x in enumerate(parts):
-            if x is None and (x := self.old.get(distinct[i])) is not None:
+        missing = []
+        for i in [i for i, x in enumerate(parts) if x is None]:
+            if (x := self.old.get(distinct[i])) is not None:
                 parts[i] = self.young[distinct[i]] = x
-        missing = [i for i, x in enumerate(parts) if x is None]
+            else:
+                missing.append(i)
         for i, x in zip(missing, self._plain([distinct[i] for i in missing])):
             parts[i] = x
             if len(x) <= WORD_BYTES:
@@ -81,5 +83,6 @@ class Encoder:
         codes = coded.indices.to_numpy(zero_copy_only=False)
         per_word = lengths[codes]
         upto = np.concatenate([[0], np.cumsum(per_word)])
-        ids = pool[np.arange(upto[-1]) + np.repeat(begin[codes] - upto[:-1], per_word)]
+        place = np.int32 if upto[-1] < 1 << 30 else np.int64  # half the memory to move
+        ids = pool[np.arange(upto[-1], dtype=place) + np.repeat((begin[codes] - upto[:-1]).astype(place), per_word)]
         return ids, upto[split.offsets.to_numpy()]

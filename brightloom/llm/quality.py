@@ -151,21 +151,20 @@ def fit(texts: pa.Array, good: np.ndarray, held_out: np.ndarray, steps: int = 60
             cell, count = np.unique(owner.astype(np.int64) * BUCKETS + bucket, return_counts=True)
             row = cell // BUCKETS
             total = np.bincount(row, count, len(some))
-            rows.append(row + at)
-            columns.append(cell % BUCKETS + kind * BUCKETS)
-            values.append(count / total[row])
-    row, column, value = (np.concatenate(x) for x in (rows, columns, values))
-    used = ~held_out[row]
-    r, c, v = row[used], column[used], value[used]
+            rows.append((row + at).astype(np.int32))
+            columns.append((cell % BUCKETS + kind * BUCKETS).astype(np.int32))
+            values.append((count / total[row]).astype(np.float32))
+    row, column, value = np.concatenate(rows), np.concatenate(columns), np.concatenate(values)
+    del rows, columns, values
     share = good[train].mean()
     balance = np.where(good, 0.5 / share, 0.5 / (1 - share)) / len(train)  # both kinds weigh the same
     weights, shift = np.zeros(KINDS * BUCKETS), 0.0
     square, shift_square = np.full(KINDS * BUCKETS, 1e-8), 1e-8
     for _ in range(steps):  # full batches, a step size of its own for every weight
-        z = np.bincount(r, weights[c] * v, len(texts)) + shift
+        z = np.bincount(row, weights[column] * value, len(texts)) + shift
         slope = (_sigmoid(z) - good) * balance
         slope[held_out] = 0
-        change = np.bincount(c, slope[r] * v, len(weights)) + 1e-7 * weights
+        change = np.bincount(column, slope[row] * value, len(weights)) + 1e-7 * weights
         square += change**2
         weights -= 0.5 * change / np.sqrt(square)
         shift_square += slope.sum() ** 2

@@ -61,14 +61,17 @@ def shares(df: DataFrame, edges: dict[str, list[float]], categorical: Sequence[s
     return counts.join(totals, "feature").select("feature", "kind", "bucket", (F.col("n") / F.col("t")).alias("share"))
 
 
-def psi(reference: DataFrame, current: DataFrame, expected: dict[str, str] | None = None) -> DataFrame:
+def psi(
+    reference: DataFrame, current: DataFrame, expected: dict[str, str] | None = None, present: Sequence[str] = (),
+) -> DataFrame:
     """Stability index and status per feature. ``expected`` ({feature: kind}) names the
-    features that must be there; absent ones get status ``missing``."""
+    features that must be there; absent ones get status ``missing``. ``present`` names the
+    current table's columns: a column that is there but all null has drifted, not gone."""
     r, c = reference.alias("r"), current.alias("c")
     both = r.join(c, ["feature", "kind", "bucket"], "full_outer").select(
         "feature", "kind", F.greatest(F.coalesce("r.share", F.lit(0.0)), F.lit(EPSILON)).alias("e"),
         F.greatest(F.coalesce("c.share", F.lit(0.0)), F.lit(EPSILON)).alias("a"),
-        F.col("c.share").isNotNull().alias("seen"))
+        (F.col("c.share").isNotNull() | F.col("feature").isin(list(present))).alias("seen"))
     per = both.groupBy("feature", "kind").agg(
         F.sum((F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e"))).alias("psi"), F.max("seen").alias("seen"))
     status = F.when(~F.col("seen"), "missing").when(F.col("psi") >= DRIFT_PSI, "drift").when(

@@ -70,8 +70,8 @@ def attribute_history(changes: DataFrame, entity: str, ts: str, value: str, tie:
     neighbours are merged, the newest range is open."""
     day = changes.groupBy(entity, F.to_date(ts).alias("valid_from")).agg(F.max_by(value, F.struct(ts, tie)).alias(value))
     w = Window.partitionBy(entity).orderBy("valid_from")
-    before = F.lag(value).over(w)
-    changed = day.withColumn("_new", before.isNull() | (before != F.col(value))).filter("_new").drop("_new")
+    first = F.lag("valid_from").over(w).isNull()  # a null value is a value of its own
+    changed = day.withColumn("_new", first | ~F.lag(value).over(w).eqNullSafe(F.col(value))).filter("_new").drop("_new")
     return changed.withColumn("valid_to", F.lead("valid_from").over(w)).withColumn("is_current", F.col("valid_to").isNull())
 
 
@@ -213,10 +213,11 @@ def inventory_advice(demand: DataFrame, months: int = 3, margin: float = 0.1) ->
 # Prices --------------------------------------------------------------------------
 
 
-def daily_prices(df: DataFrame, ticker: str, ts: str, price: str) -> DataFrame:
-    """Close (last price), high, low and volume per ticker and day."""
+def daily_prices(df: DataFrame, ticker: str, ts: str, price: str, tie: str) -> DataFrame:
+    """Close (last price, ``tie`` deciding between equal times), high, low and volume per
+    ticker and day."""
     return df.groupBy(F.col(ticker).alias("ticker"), F.to_date(ts).alias("day")).agg(
-        F.max_by(price, ts).alias("close"), F.max(price).alias("high"), F.min(price).alias("low"), F.count(F.lit(1)).alias("volume"))
+        F.max_by(price, F.struct(ts, tie)).alias("close"), F.max(price).alias("high"), F.min(price).alias("low"), F.count(F.lit(1)).alias("volume"))
 
 
 def price_features(prices: DataFrame, fast: int = 3, slow: int = 10) -> DataFrame:
@@ -283,7 +284,10 @@ def categorize(text: Column, rules: Sequence[tuple[str, str]], default: str = "o
 
 
 def month_over_month(monthly: DataFrame, key: str, value: str) -> DataFrame:
-    prev = F.lag(value).over(Window.partitionBy(key).orderBy("month"))
+    """Change against the month before; null where that month has no row."""
+    w = Window.partitionBy(key).orderBy("month")
+    adjacent = F.to_date(F.lag("month").over(w)) == F.add_months(F.to_date("month"), -1)
+    prev = F.when(adjacent, F.lag(value).over(w))
     return monthly.withColumn("previous", prev).withColumns({
         "change": F.col(value) - F.col("previous"),
         "change_pct": (F.col(value) - F.col("previous")).cast("double") / F.nullif(F.col("previous").cast("double"), F.lit(0.0)) * 100})

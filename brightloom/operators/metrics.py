@@ -102,8 +102,9 @@ def brier(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def reliability(df: DataFrame, label: str, score: str, bins: int = 10) -> DataFrame:
-    """Equal-width bins: mean score and share of positives; empty bins have no row."""
-    b = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int")
+    """Equal-width bins, closed on the right (the first also on the left): mean score and
+    share of positives; empty bins have no row."""
+    b = sum(((F.col(score) > F.lit(k * (1.0 / bins))).cast("int") for k in range(1, bins)), F.lit(0))
     return df.groupBy(b.alias("bin")).agg(
         F.avg(score).alias("mean_predicted"), F.avg(label).alias("fraction_positive"), F.count(F.lit(1)).alias("n"))
 

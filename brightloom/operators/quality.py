@@ -4,6 +4,7 @@ per check and leave as small aggregates."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -11,16 +12,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brightloom.operators.ordering import quantiles
+from brightloom.session import shared_dir
 
 
 class QualityError(ValueError):
-    """A check failed; the message lists every finding."""
-
-
-def raise_on(violations: DataFrame, title: str, shown: int = 100) -> None:
-    rows = violations.limit(shown).collect()
-    if rows:
-        raise QualityError(f"{title}:\n" + "\n".join(f"  - {r}" for r in rows))
+    """A check failed; the message says how many findings there are and where all of them are."""
+
+
+def raise_on(violations: DataFrame, title: str) -> None:
+    """Raise if there is any violation. All are written to the shared folder; the message has
+    their exact number, that place and, to read at once, the first few."""
+    path = f"{shared_dir(violations.sparkSession)}/violations-{uuid.uuid4().hex}"
+    violations.write.parquet(path)
+    found = violations.sparkSession.read.schema(violations.schema).parquet(path)
+    if n := found.count():
+        first = "\n".join(f"  - {r}" for r in found.take(20))
+        raise QualityError(f"{title}: {n} findings, all in {path}; the first:\n{first}")
 
 
 def require_columns(df: DataFrame, required: Sequence[str]) -> None:

@@ -11,14 +11,25 @@ from pyspark.sql import functions as F
 from brightloom.operators.sales import surrogate_keys
 
 
+def one_per_key(incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The batch folded to one row per key: of several, the largest in its columns' order."""
+    rest = [c for c in incoming.columns if c not in keys]
+    if not rest:
+        return incoming.distinct()
+    last = incoming.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in incoming.columns])
+
+
 def insert_absent(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows already there stay untouched."""
-    new = incoming.dropDuplicates(list(keys)).join(target, list(keys), "left_anti")
+    new = one_per_key(incoming, keys).join(target, list(keys), "left_anti")
     return target.unionByName(new)
 
 
 def upsert_members(target: DataFrame, incoming: DataFrame, natural: str, key: str) -> DataFrame:
-    """Overwrite attributes of known members and keep their keys; number the new ones."""
+    """Overwrite attributes of known members and keep their keys; number the new ones. A key
+    that the batch repeats counts once."""
+    incoming = one_per_key(incoming, [natural])
     attrs = [c for c in target.columns if c not in (natural, key)]
     fresh = surrogate_keys(incoming.join(target, natural, "left_anti"), natural, key, target)
     t, i = target.alias("t"), incoming.alias("i")

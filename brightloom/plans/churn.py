@@ -283,7 +283,7 @@ def _(t):
     return rounded(metrics.brier(lines(t), "y", "p"))
 
 
-@query("ml_reliability", f"WITH {LINES} SELECT CAST(least(floor(p * 10), 9) AS INTEGER) AS bin, round(avg(p), 6) AS mean_predicted, round(avg(y), 6) AS fraction_positive, count(*) AS n FROM sl GROUP BY 1")
+@query("ml_reliability", f"WITH {LINES} SELECT CAST(list_sum(list_transform(range(1, 10), lambda k: CASE WHEN p > k * 0.1e0 THEN 1 ELSE 0 END)) AS INTEGER) AS bin, round(avg(p), 6) AS mean_predicted, round(avg(y), 6) AS fraction_positive, count(*) AS n FROM sl GROUP BY 1")
 def _(t):
     return rounded(metrics.reliability(lines(t), "y", "p"))
 

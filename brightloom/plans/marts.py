@@ -170,7 +170,7 @@ def _(t):
     return rounded(m.inventory_advice(demand(t)))
 
 
-PRICES = """px AS (SELECT event_type AS ticker, CAST(ts AS DATE) AS day, arg_max(value, ts) AS close, max(value) AS high, min(value) AS low, count(*) AS volume FROM events GROUP BY 1, 2),
+PRICES = """px AS (SELECT event_type AS ticker, CAST(ts AS DATE) AS day, arg_max(value, (ts, event_id)) AS close, max(value) AS high, min(value) AS low, count(*) AS volume FROM events GROUP BY 1, 2),
 rt AS (SELECT *, close / lag(close) OVER w - 1 AS ret FROM px WINDOW w AS (PARTITION BY ticker ORDER BY day)),
 ft AS (SELECT ticker, day, close, volume, ret, CASE WHEN row_number() OVER w >= 10 THEN avg(close) OVER (w ROWS 2 PRECEDING) / avg(close) OVER (w ROWS 9 PRECEDING) - 1 END AS trend,
   close / lag(close, 10) OVER w - 1 AS momentum, CASE WHEN row_number() OVER w > 10 THEN CAST(close > max(high) OVER (w ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS INTEGER) END AS breakout,
@@ -182,7 +182,7 @@ rk AS (SELECT ticker, day, score, CAST(dense_rank() OVER (PARTITION BY day ORDER
 
 
 def prices(t: Tables) -> DataFrame:
-    return cut(m.daily_prices(t.events, "event_type", "ts", "value"))
+    return cut(m.daily_prices(t.events, "event_type", "ts", "value", "event_id"))
 
 
 @query("px_features", f"WITH {PRICES} SELECT ticker, day, " + ", ".join(f"round({c}, 6) AS {c}" for c in ("ret", "trend", "momentum", "volume_ratio", "volatility")) + ", breakout FROM ft", days=["day"])
@@ -226,7 +226,7 @@ def _(t):
     return month_text(ledger(t), "month")
 
 
-@query("exp_mom", f"""WITH {LEDGER}, p AS (SELECT *, lag(spend) OVER (PARTITION BY category ORDER BY month) AS previous FROM led)
+@query("exp_mom", f"""WITH {LEDGER}, p AS (SELECT *, CASE WHEN CAST(lag(month) OVER w AS DATE) = CAST(CAST(month AS DATE) - INTERVAL 1 MONTH AS DATE) THEN lag(spend) OVER w END AS previous FROM led WINDOW w AS (PARTITION BY category ORDER BY month))
 SELECT CAST(month AS VARCHAR) AS month, category, spend, previous, CAST(spend - previous AS DECIMAL(21,2)) AS change, round(CAST(spend - previous AS DOUBLE) / CAST(previous AS DOUBLE) * 100, 6) AS change_pct FROM p""", money=["spend", "previous", "change"])
 def _(t):
     return month_text(m.month_over_month(ledger(t), "category", "spend"), "month")

@@ -53,7 +53,7 @@ def test_forecasts(frame):
 
 def test_prices(frame):
     df = frame([("t", datetime(2024, 1, d, 9), float(p)) for d, p in enumerate([10, 12, 9, 6, 12], 1)], "k string, ts timestamp_ntz, p double")
-    px = m.daily_prices(df, "k", "ts", "p")
+    px = m.daily_prices(df, "k", "ts", "p", "p")
     assert m.drawdown(px).first()["max_drawdown"] == pytest.approx(-0.5)
     scored = px.select("ticker", "day", F.lit("A").alias("tier"))
     one = m.forward_returns(scored, px, [1]).first()
@@ -94,3 +94,16 @@ def test_top_k(frame, q_rows, p_rows):
     sims = unit(q) @ unit(p).T
     want = {(i, j, n + 1) for i in range(9) for n, j in enumerate(sorted(range(60), key=lambda j: (-round(sims[i, j], 12), j))[:4])}
     assert {(x["query_id"], x["passage_id"], x["position"]) for x in got.collect()} == want
+
+
+def test_history_keeps_changes_to_and_from_null(spark):
+    rows = [("a", f"2024-01-0{d}", v, d) for d, v in ((1, "x"), (2, None), (3, None), (4, "x"))]
+    df = spark.createDataFrame(rows, "e string, ts string, v string, t int")
+    got = [(r.v, str(r.valid_from)) for r in m.attribute_history(df, "e", "ts", "v", "t").orderBy("valid_from").collect()]
+    assert got == [("x", "2024-01-01"), (None, "2024-01-02"), ("x", "2024-01-04")]
+
+
+def test_missing_month_has_no_change(spark):
+    df = spark.createDataFrame([("c", "2024-01-01", 1.0), ("c", "2024-02-01", 3.0), ("c", "2024-04-01", 9.0)], "k string, month string, s double")
+    df = df.withColumn("month", F.to_date("month"))
+    assert [r.change for r in m.month_over_month(df, "k", "s").orderBy("month").collect()] == [None, 2.0, None]

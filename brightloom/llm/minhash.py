@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from brightloom.llm.words import ROWS, mix, multipliers, shingle_sets, text_column
+from brightloom.llm.words import ROWS, mix, multipliers, release, shingle_sets, text_column
 from brightloom.session import cut, stage
 
 #: Members of a bucket that are compared in one block; bounds a task's memory.
@@ -122,6 +122,7 @@ def describe(docs: DataFrame, scheme: Scheme) -> DataFrame:
                     ],
                     names=["doc_id", "text_hash", "cid", "n", "bands", "minima"],
                 )
+        release()
 
     slim = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
     return slim.mapInArrow(run, "doc_id long, text_hash long, cid long, n long, bands array<long>, minima binary")
@@ -139,6 +140,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, scheme: Scheme) -> DataFrame:
                     [part.column("cid"), part.column("minima"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
                     names=["cid", "minima", "windows"],
                 )
+        release()
 
     texts = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
     size = wanted.agg(F.count(F.lit(1)), F.max("rows")).first()

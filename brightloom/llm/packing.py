@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brightloom.llm.tokens import ROWS, Encoder
-from brightloom.llm.words import text_column
+from brightloom.llm.words import release, text_column
 from brightloom.session import stage
 
 #: Pieces a group holds on average; bounds the memory of a task.
@@ -112,6 +112,7 @@ def pieces(docs: DataFrame, path: str, end: int, capacity: int, piece_tokens: in
                 types = [pa.int64()] * 6 + [pa.bool_(), pa.binary()]
                 names = ["piece", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "whole", "ids"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+        release()
 
     schema = "piece long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, whole boolean, ids binary"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightloom.llm.words import ROWS, hash_words, mix, multipliers, text_column, word_codes
+from brightloom.llm.words import ROWS, hash_words, mix, multipliers, release, text_column, word_codes
 
 #: Labelled rows the classifier is fitted on, at most. Bounds memory of the one fitting task.
 SAMPLE = 4096
@@ -144,32 +144,38 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 def fit(texts: pa.Array, good: np.ndarray, held_out: np.ndarray, steps: int = 60) -> tuple[np.ndarray, float, float]:
     """Weights, and slope and shift that turn a score into a calibrated log odds."""
     train = np.flatnonzero(~held_out)
-    rows, columns, values = [], [], []
+    chunks = []  # (first row, rows, row, column, value) of each part; never joined, to save memory
     for at in range(0, len(texts), ROWS):
         some = texts.slice(at, ROWS)
         for kind, (owner, bucket) in enumerate(grams(some)):
             cell, count = np.unique(owner.astype(np.int64) * BUCKETS + bucket, return_counts=True)
             row = cell // BUCKETS
             total = np.bincount(row, count, len(some))
-            rows.append((row + at).astype(np.int32))
-            columns.append((cell % BUCKETS + kind * BUCKETS).astype(np.int32))
-            values.append((count / total[row]).astype(np.float32))
-    row, column, value = np.concatenate(rows), np.concatenate(columns), np.concatenate(values)
-    del rows, columns, values
+            column = (cell % BUCKETS + kind * BUCKETS).astype(np.int32)
+            chunks.append((at, len(some), row.astype(np.int16), column, (count / total[row]).astype(np.float32)))
+
+    def score(weights: np.ndarray) -> np.ndarray:
+        z = np.zeros(len(texts))
+        for at, n, row, column, value in chunks:
+            z[at : at + n] += np.bincount(row, weights[column] * value, n)
+        return z
+
     share = good[train].mean()
     balance = np.where(good, 0.5 / share, 0.5 / (1 - share)) / len(train)  # both kinds weigh the same
     weights, shift = np.zeros(KINDS * BUCKETS), 0.0
     square, shift_square = np.full(KINDS * BUCKETS, 1e-8), 1e-8
     for _ in range(steps):  # full batches, a step size of its own for every weight
-        z = np.bincount(row, weights[column] * value, len(texts)) + shift
+        z = score(weights) + shift
         slope = (_sigmoid(z) - good) * balance
         slope[held_out] = 0
-        change = np.bincount(column, slope[row] * value, len(weights)) + 1e-7 * weights
+        change = 1e-7 * weights
+        for at, _, row, column, value in chunks:
+            change += np.bincount(column, slope[row + np.int64(at)] * value, len(weights))
         square += change**2
         weights -= 0.5 * change / np.sqrt(square)
         shift_square += slope.sum() ** 2
         shift -= 0.1 * slope.sum() / np.sqrt(shift_square)
-    scores = np.bincount(row, weights[column] * value, len(texts))
+    scores = score(weights)
     # Platt: two parameters by Newton steps on the held-out rows, with his smoothed targets
     z, y = scores[held_out], good[held_out]
     high, low = (y.sum() + 1) / (y.sum() + 2), 1 / ((~y).sum() + 2)
@@ -205,6 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
         if any(not len(g) or g.all() or not g.any() for g in both):
             return pa.table({"weights": pa.array([], pa.binary()), "slope": pa.array([], pa.float64()), "shift": pa.array([], pa.float64())})
         weights, slope, shift = fit(text_column(rows.column("text")), good, held_out)
+        release()
         return pa.table({"weights": [weights.astype("<f4").tobytes()], "slope": [slope], "shift": [shift]})
 
     found = texts.withColumn("_one", F.lit(1)).groupBy("_one").applyInArrow(run, "weights binary, slope double, shift double").collect()
@@ -230,6 +237,7 @@ def _over(docs: DataFrame, schema: str, body: Callable[[pa.RecordBatch], pa.Reco
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 yield body(batch.slice(at, ROWS))
+        release()
 
     return docs.mapInArrow(run, schema)
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brightloom.llm.tokens import ROWS, Encoder
-from brightloom.llm.words import text_column
+from brightloom.llm.words import release, text_column
 from brightloom.session import shared_dir
 
 # Fixed values of the format: values and bits per word, by selector.
@@ -160,6 +160,7 @@ def write(docs: DataFrame, path: str, folder: str, end: int = 2) -> None:
                 )
                 segment += 1
                 before += len(ids)
+        release()
 
     slim = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     coded = slim.mapInArrow(run, "shard long, segment long, before long, doc_ids array<long>, payload binary")

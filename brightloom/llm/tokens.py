@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 
 #: Words remembered by one Python worker, in two generations: when the younger is full, it
 #: becomes the older, and words that are met again move back.
-WORDS = 700_000
+WORDS = 400_000
 #: Words with more bytes of ids are not remembered.
 WORD_BYTES = 120
 #: Texts encoded together.

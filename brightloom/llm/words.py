@@ -6,6 +6,8 @@ A word is a run of characters other than space and tab to carriage return
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,6 +21,15 @@ ROWS = 512
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # only the GNU library has it
+        pass
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser on 64-bit integers (the splitmix one)."""
     x = x.astype(np.uint64) + _GOLDEN

@@ -9,8 +9,9 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.regression import IsotonicRegression
@@ -50,16 +51,33 @@ class HighValueFlagModel(Model, _FlagParams, DefaultParamsReadable, DefaultParam
         return dataset.withColumn(self.getOutputCol(), F.coalesce(above.cast("int"), F.lit(0)))
 
 
+class PopulationScaler(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Centres a vector and divides by the population deviation; the model is two stages of
+    Spark's own, so it can be saved."""
+
+    @keyword_only
+    def __init__(self, *, inputCol: str = None, outputCol: str = None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        halfway = f"{self.getOutputCol()}_sample"
+        scaler = StandardScaler(inputCol=self.getInputCol(), outputCol=halfway, withMean=True, withStd=True).fit(dataset)
+        n = dataset.count()
+        up = Vectors.dense([(n / max(n - 1, 1)) ** 0.5] * len(scaler.mean))
+        return PipelineModel([scaler, ElementwiseProduct(scalingVec=up, inputCol=halfway, outputCol=self.getOutputCol())])
+
+
 def encoder(numeric: Sequence[str], categorical: Sequence[str]) -> Pipeline:
     """Standardised numbers and one-hot categories in one vector; a category not seen in
-    training gets its own slot, which no training row uses."""
+    training is all zeros (the indexer's extra last index, which the encoder drops)."""
     indexed = [f"{c}_idx" for c in categorical]
     hot = [f"{c}_hot" for c in categorical]
     return Pipeline(stages=[
         StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True, handleInvalid="keep"),
+        OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True, handleInvalid="error"),
         VectorAssembler(inputCols=list(numeric), outputCol="numeric"),
-        StandardScaler(inputCol="numeric", outputCol="scaled", withMean=True, withStd=True),
+        PopulationScaler(inputCol="numeric", outputCol="scaled"),
         VectorAssembler(inputCols=["scaled", *hot], outputCol="features"),
     ])
 
@@ -67,8 +85,7 @@ def encoder(numeric: Sequence[str], categorical: Sequence[str]) -> Pipeline:
 def feature_names(model: PipelineModel, numeric: Sequence[str], categorical: Sequence[str]) -> list[str]:
     """Names of the vector's slots, in order."""
     labels = model.stages[0].labelsArray
-    encoded = [f"{c}_{v}" for c, values in zip(categorical, labels) for v in [*values, "(unseen)"]]
-    return [*numeric, *encoded]
+    return [*numeric, *[f"{c}_{v}" for c, values in zip(categorical, labels) for v in values]]
 
 
 def with_class_weight(df: DataFrame, label: str) -> DataFrame:
@@ -81,9 +98,9 @@ def with_class_weight(df: DataFrame, label: str) -> DataFrame:
 def candidates(label: str) -> dict[str, Estimator]:
     common = {"featuresCol": "features", "labelCol": label, "weightCol": "weight"}
     return {
-        "logistic_regression": LogisticRegression(maxIter=50, regParam=0.01, **common),
-        "random_forest": RandomForestClassifier(numTrees=30, maxDepth=6, seed=42, **common),
-        "gradient_boosting": GBTClassifier(maxIter=10, maxDepth=4, seed=42, **common),
+        "logistic_regression": LogisticRegression(maxIter=1000, regParam=0.01, **common),
+        "random_forest": RandomForestClassifier(numTrees=100, maxDepth=6, seed=42, **common),
+        "gradient_boosting": GBTClassifier(maxIter=20, maxDepth=5, seed=42, **common),
     }
 
 
@@ -102,7 +119,7 @@ def compare_models(df: DataFrame, label: str, fold: str, k: int = 5) -> DataFram
     return df.sparkSession.createDataFrame(rows, "model string, auc_mean double, auc_std double")
 
 
-def search(df: DataFrame, label: str, trials: int = 6, seed: int = 42) -> DataFrame:
+def search(df: DataFrame, label: str, trials: int = 30, seed: int = 42) -> DataFrame:
     """Seeded random sample of settings, each scored on a held-out part."""
     rng = random.Random(seed)
     est = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="weight", seed=seed)

@@ -48,15 +48,20 @@ def failing_rows(tests: dict[str, DataFrame]) -> DataFrame:
 def funnel_dropoff(events: DataFrame, user: str, ts: str, step: str, steps: Sequence[str], window: Column) -> DataFrame:
     """Users reaching each step in order inside a window, and the share of the step before.
 
-    First times per user, window and step are minima, so a busy user costs one row.
+    A step is reached at its first time after the step before, so an early click does not
+    hide a later one. Times are folded per user, window and step before they meet, and every
+    step joins on user and window, by which the rows lie already. Events without a user or
+    a window count for nobody.
     """
-    first = events.filter(F.col(step).isin(list(steps))).groupBy(F.col(user).alias("u"), window.alias("w")).agg(
-        *[F.min(F.when(F.col(step) == s, F.col(ts))).alias(f"t{i}") for i, s in enumerate(steps)])
-    reached, cond = [], None
-    for i in range(len(steps)):
-        here = F.col(f"t{i}").isNotNull()
-        cond = here if cond is None else cond & here & (F.col(f"t{i}") > F.col(f"t{i - 1}"))
-        reached.append(F.count_if(cond).alias(f"n{i}"))
+    times = events.filter(F.col(step).isin(list(steps))).groupBy(
+        F.col(user).alias("u"), window.alias("w"), F.col(step).alias("s"), F.col(ts).alias("t")).agg(F.count(F.lit(1)).alias("n"))
+    times = cut(times.filter("u is not null and w is not null").select("u", "w", "s", "t").repartition("u", "w"))
+    first = times.filter(F.col("s") == steps[0]).groupBy("u", "w").agg(F.min("t").alias("t0"))
+    for i, s in enumerate(steps[1:], 1):
+        before = first.select("u", "w", F.col(f"t{i - 1}").alias("before"))
+        later = times.filter(F.col("s") == s).join(before, ["u", "w"]).filter("t > before")
+        first = first.join(later.groupBy("u", "w").agg(F.min("t").alias(f"t{i}")), ["u", "w"], "left")
+    reached = [F.count(f"t{i}").alias(f"n{i}") for i in range(len(steps))]
     rows = [
         F.struct(F.lit(i + 1).alias("position"), F.lit(s).alias("step"), F.col(f"n{i}").alias("users"),
                  (F.lit(1.0) if i == 0 else F.col(f"n{i}") / F.nullif(F.col(f"n{i - 1}"), F.lit(0))).alias("conversion"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,12 +81,10 @@ def natural_breaks(df: DataFrame, score: str, classes: int = 4, fan: int = 256)
     i values in c classes, is the minimum over the split m of ``best(c-1, m)`` plus the
     cost of one class m+1 … i, and the best m never decreases with i. So it is solved
     for every ``fan``-th position first, whose splits bound the search of the positions
-    between: about fan x values candidates per round in place of values squared. Up to
-    ``fan`` distinct values are solved at once on the driver.
+    between: about fan x values candidates per round in place of values squared. One
+    path serves every number of values; of few, all positions are solved in one round.
     """
     folded = cut(df.filter(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias(score)).agg(F.count(F.lit(1)).alias("w")))
-    if folded.count() <= fan:
-        return _few_breaks(score, sorted((r[0], r[1]) for r in folded.collect()), classes)
     centre = folded.agg(F.sum(F.col(score) * F.col("w")) / F.sum("w")).scalar()
     c = F.col(score) - centre
     moments = folded.select(
@@ -114,30 +111,6 @@ def natural_breaks(df: DataFrame, score: str, classes: int = 4, fan: int = 256)
     return [values[i] for i in wanted]
 
 
-def _few_breaks(score: str, counted: list[tuple[float, int]], classes: int) -> list[float]:
-    """The same search over a short list of (value, count)."""
-    if len(counted) < classes:
-        raise ValueError(f"{score}: {len(counted)} distinct values, fewer than {classes} classes")
-    v = np.array([x for x, _ in counted])
-    w = np.array([n for _, n in counted], dtype=float)
-    c = v - np.average(v, weights=w)
-    cw, cs, cq = (np.concatenate([[0.0], np.cumsum(x)]) for x in (w, w * c, w * c * c))
-    n = len(v)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        one = cq[None, :] - cq[:, None] - (cs[None, :] - cs[:, None]) ** 2 / (cw[None, :] - cw[:, None])
-    one = np.where(np.arange(n + 1)[:, None] < np.arange(n + 1)[None, :], one, np.inf)  # class m+1 … i
-    best, splits = one[0], []
-    for _ in range(classes - 1):
-        total = best[:, None] + one
-        splits.append(total.argmin(axis=0))
-        best = total.min(axis=0)
-    edges, at = [], n
-    for s in reversed(splits):
-        at = int(s[at])
-        edges.append(float(v[at - 1]))
-    return [float(v[0]), *reversed(edges), float(v[-1])]
-
-
 def _split_round(prefix: DataFrame, before: DataFrame, total: int, c_no: int, fan: int, only: int | None) -> DataFrame:
     """Best last split for every position (or just one) with ``c_no`` classes."""
     ends = prefix.select("i", F.col("cw").alias("ew"), F.col("cs").alias("es"), F.col("cq").alias("eq"))

@@ -200,6 +200,23 @@ def _(t):
     return s.select("entity", ranking.near_boundary(F.col("npi"), ranking.natural_breaks(s, "npi")).alias("tier_boundary_flag"))
 
 
+# The same least cost by the recursion over classes; far too many values to try every triple.
+PRICE_BREAKS = """WITH dv AS (SELECT p_retailprice AS v, count(*) AS w FROM part GROUP BY 1), mu AS (SELECT avg(p_retailprice) AS mu FROM part),
+pre AS (SELECT v, row_number() OVER (ORDER BY v) AS i, sum(w) OVER o AS cw, sum(w * (v - mu)) OVER o AS cs, sum(w * (v - mu) * (v - mu)) OVER o AS cq FROM dv, mu WINDOW o AS (ORDER BY v)),
+c1 AS (SELECT i, cq - cs * cs / cw AS cost FROM pre)""" + "".join(f""",
+c{c} AS (SELECT z.i, min(b.cost + z.cq - x.cq - power(z.cs - x.cs, 2) / (z.cw - x.cw)) AS cost, arg_min(x.i, b.cost + z.cq - x.cq - power(z.cs - x.cs, 2) / (z.cw - x.cw)) AS m
+  FROM c{c - 1} b JOIN pre x ON x.i = b.i JOIN pre z ON z.i > x.i GROUP BY z.i)""" for c in (2, 3, 4)) + """,
+e AS (SELECT c4.m AS i3, c3.m AS i2, c2.m AS i1 FROM c4 JOIN c3 ON c3.i = c4.m JOIN c2 ON c2.i = c3.m WHERE c4.i = (SELECT max(i) FROM pre))
+SELECT position, v AS edge FROM (SELECT 0 AS position, min(v) AS v FROM pre UNION ALL SELECT 1, v FROM pre, e WHERE i = i1 UNION ALL SELECT 2, v FROM pre, e WHERE i = i2
+  UNION ALL SELECT 3, v FROM pre, e WHERE i = i3 UNION ALL SELECT 4, max(v) FROM pre)"""
+
+
+@query("part_price_breaks", PRICE_BREAKS)
+def _(t):
+    edges = ranking.natural_breaks(t.part, "p_retailprice")
+    return t.spark.createDataFrame(list(enumerate(edges)), "position int, edge double")
+
+
 def rankings(t: Tables) -> DataFrame:
     """The final table, best-known tier methods side by side, sorted by rank."""
     base = merged(t)
@@ -310,6 +327,12 @@ def _(t):
     return rounded(stability.leave_one_entity_out(scaled, "entity", index.SOCIO_COLUMNS))
 
 
+@query("npi_loo_summary")
+def _(t):
+    scaled = index.min_max(index.align(merged(t)), index.SOCIO_COLUMNS)
+    return rounded(stability.loo_summary(stability.leave_one_entity_out(scaled, "entity", index.SOCIO_COLUMNS)))
+
+
 @query("npi_tier_stability", f"""WITH {INDEX}, {PCA_SQL}, q AS (SELECT quantile_cont(npi, [0.25, 0.5, 0.75]) AS q, quantile_cont(npi_pca, [0.25, 0.5, 0.75]) AS k FROM scored JOIN pcn USING (entity)),
 c AS (SELECT (CASE WHEN npi <= q[1] THEN 1 WHEN npi <= q[2] THEN 2 WHEN npi <= q[3] THEN 3 ELSE 4 END) <> (CASE WHEN npi_pca <= k[1] THEN 1 WHEN npi_pca <= k[2] THEN 2 WHEN npi_pca <= k[3] THEN 3 ELSE 4 END) AS changed FROM scored JOIN pcn USING (entity), q)
 SELECT count(*) AS n_compared, count(*) FILTER (WHERE changed) AS n_changed, round(1 - count(*) FILTER (WHERE changed) / count(*), 6) AS stable_fraction FROM c""")
@@ -385,13 +408,22 @@ def _(t):
     return rounded(regions.anova(with_region(t), "region", "npi").drop("p_value"))
 
 
-@query("region_kruskal", f"""WITH {INDEX}, r AS (SELECT region, rank() OVER (ORDER BY npi) + (count(*) OVER (PARTITION BY npi) - 1) / 2.0 AS rk, npi FROM scored JOIN merged USING (entity)),
-g AS (SELECT region, count(*) AS n, sum(rk) AS s FROM r GROUP BY 1), t AS (SELECT sum(c * c * c - c) AS tie FROM (SELECT count(*)::DOUBLE AS c FROM r GROUP BY npi))
-SELECT count(*) AS k, sum(n)::BIGINT AS n, round((12 / (sum(n) * (sum(n) + 1)) * sum(s * s / n) - 3 * (sum(n) + 1)) / (1 - any_value(tie) / (power(sum(n), 3) - sum(n))), 6) AS h_statistic FROM g, t""")
+KRUSKAL = f"""WITH {INDEX}, r AS (SELECT region, rank() OVER (ORDER BY npi) + (count(*) OVER (PARTITION BY npi) - 1) / 2.0 AS rk, npi FROM scored JOIN merged USING (entity)),
+g AS (SELECT region, count(*) AS n, sum(rk) AS s FROM r GROUP BY 1), t AS (SELECT sum(c * c * c - c) AS tie FROM (SELECT count(*)::DOUBLE AS c FROM r GROUP BY npi)),
+kw AS (SELECT count(*) AS k, sum(n)::BIGINT AS n, (12 / (sum(n) * (sum(n) + 1)) * sum(s * s / n) - 3 * (sum(n) + 1)) / (1 - any_value(tie) / (power(sum(n), 3) - sum(n))) AS h FROM g, t)"""
+
+
+@query("region_kruskal", f"{KRUSKAL} SELECT k, n, round(h, 6) AS h_statistic FROM kw")
 def _(t):
     return rounded(regions.kruskal(with_region(t), "region", "npi").drop("p_value"))
 
 
+# The tail of chi-square with four degrees of freedom has a closed form; there are five regions.
+@query("region_kruskal_p", f"{KRUSKAL} SELECT n, round((1 + h / 2) * exp(-h / 2), 6) AS p_value FROM kw WHERE k = 5")
+def _(t):
+    return rounded(regions.kruskal(with_region(t), "region", "npi").filter("k = 5").select("n", "p_value"))
+
+
 @query("region_p_values")
 def _(t):
     s = cut(with_region(t))
@@ -401,18 +433,28 @@ def _(t):
 
 
 # Names, coverage and newest values.
-def nation_years(t: Tables, cond: str, value) -> DataFrame:
+def nation_years(t: Tables, value) -> DataFrame:
+    """One value per nation and year over all orders."""
     return (
-        t.orders.filter(cond)
+        t.orders
         .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
         .join(t.nation.select("n_nationkey", F.col("n_name").alias("entity")), F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy("entity", F.year("o_orderdate").alias("year")).agg(value)
     )
 
 
-def _ny(cond: str, value: str) -> str:
+def _ny(value: str) -> str:
     return f"""(SELECT n_name AS entity, CAST(year(o_orderdate) AS INTEGER) AS year, {value} FROM orders JOIN customer ON o_custkey = c_custkey
-  JOIN nation ON c_nationkey = n_nationkey WHERE {cond} GROUP BY ALL)"""
+  JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL)"""
+
+
+def _urgent():
+    """Cheap urgent orders, null where a nation and year has none."""
+    cheap = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") < 5000)
+    return F.nullif(F.count_if(cheap), F.lit(0)).alias("n")
+
+
+URGENT_SQL = "nullif(count(*) FILTER (WHERE o_orderpriority = '1-URGENT' AND o_totalprice < 5000), 0) AS n"
 
 
 def _revenue():
@@ -422,28 +464,28 @@ def _revenue():
 REVENUE_SQL = "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(20,2)) AS revenue"
 
 
-@query("npi_latest_value", f"""SELECT entity, revenue, year AS revenue_year FROM {_ny("o_totalprice > 480000", REVENUE_SQL)}
+@query("npi_latest_value", f"""SELECT entity, revenue, year AS revenue_year FROM {_ny(REVENUE_SQL)}
 QUALIFY row_number() OVER (PARTITION BY entity ORDER BY year DESC) = 1""", money=["revenue"])
 def _(t):
-    return names.latest_value(nation_years(t, "o_totalprice > 480000", _revenue()), "entity", "year", ["revenue"], "revenue")
+    return names.latest_value(nation_years(t, _revenue()), "entity", "year", ["revenue"], "revenue")
 
 
-@query("npi_merge_latest", f"""WITH a AS (SELECT entity, revenue AS big, year AS big_year FROM {_ny("o_totalprice > 480000", REVENUE_SQL)} QUALIFY row_number() OVER (PARTITION BY entity ORDER BY year DESC) = 1),
-b AS (SELECT entity, n AS urgent, year AS urgent_year FROM {_ny("o_orderpriority = '1-URGENT' AND o_totalprice < 5000", "count(*) AS n")} QUALIFY row_number() OVER (PARTITION BY entity ORDER BY year DESC) = 1)
+@query("npi_merge_latest", f"""WITH a AS (SELECT entity, revenue AS big, year AS big_year FROM {_ny(REVENUE_SQL)} QUALIFY row_number() OVER (PARTITION BY entity ORDER BY year DESC) = 1),
+b AS (SELECT entity, n AS urgent, year AS urgent_year FROM {_ny(URGENT_SQL)} WHERE n IS NOT NULL QUALIFY row_number() OVER (PARTITION BY entity ORDER BY year DESC) = 1)
 SELECT n_name AS entity, big, big_year, urgent, urgent_year FROM nation LEFT JOIN a ON a.entity = n_name LEFT JOIN b ON b.entity = n_name""", money=["big"])
 def _(t):
     return names.merge_latest(t.nation.select(F.col("n_name").alias("entity")), "entity", {
-        "big": (nation_years(t, "o_totalprice > 480000", _revenue()), "year", ["revenue"]),
-        "urgent": (nation_years(t, "o_orderpriority = '1-URGENT' AND o_totalprice < 5000", F.count(F.lit(1)).alias("n")), "year", ["n"]),
+        "big": (nation_years(t, _revenue()), "year", ["revenue"]),
+        "urgent": (nation_years(t, _urgent()).filter("n is not null"), "year", ["n"]),
     })
 
 
-@query("npi_coverage", f"""WITH d AS (SELECT DISTINCT entity, year FROM {_ny("o_orderpriority = '1-URGENT' AND o_totalprice < 5000", "count(*) AS n")})
+@query("npi_coverage", f"""WITH d AS (SELECT DISTINCT entity, year FROM {_ny(URGENT_SQL)} WHERE n IS NOT NULL)
 SELECT (SELECT count(DISTINCT entity) FROM d) AS n_present, count(*) AS n_missing, coalesce(string_agg(n_name, ',' ORDER BY n_name), '') AS missing_names,
   (SELECT string_agg(CAST(year AS VARCHAR), ',' ORDER BY year) FROM (SELECT DISTINCT year FROM d)) AS years_present
 FROM nation WHERE n_name NOT IN (SELECT entity FROM d)""")
 def _(t):
-    d = nation_years(t, "o_orderpriority = '1-URGENT' AND o_totalprice < 5000", F.count(F.lit(1)).alias("n"))
+    d = nation_years(t, _urgent()).filter("n is not null")
     return names.coverage(d, "entity", "year", t.nation.select(F.col("n_name").alias("entity")))
 
 

@@ -43,7 +43,7 @@ def _(t):
     x = enc.transform(p["train"]).select(vector_to_array("features").alias("x"))
     return rounded(
         x.select(F.posexplode("x").alias("slot", "value")).groupBy("slot").agg(
-            F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
+            F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
         .withColumn("feature", F.element_at(F.array(*[F.lit(n) for n in names]), F.col("slot") + 1)))
 
 

@@ -16,9 +16,14 @@ def month_text(df: DataFrame, *cols: str) -> DataFrame:
     return rounded(df).withColumns({c: F.col(c).cast("string") for c in cols})
 
 
-@query("funnel_dropoff", """WITH f AS (SELECT user_id, CAST(ts AS DATE) AS d, min(ts) FILTER (WHERE event_type = 'view') AS a, min(ts) FILTER (WHERE event_type = 'click') AS b,
-  min(ts) FILTER (WHERE event_type = 'signup') AS c, min(ts) FILTER (WHERE event_type = 'purchase') AS e FROM events WHERE event_type <> 'error' GROUP BY 1, 2),
-n AS (SELECT count(a) AS n1, count(*) FILTER (WHERE b > a) AS n2, count(*) FILTER (WHERE b > a AND c > b) AS n3, count(*) FILTER (WHERE b > a AND c > b AND e > c) AS n4 FROM f)
+def _later(step: str, before: str) -> str:
+    return f"""(SELECT e.user_id, CAST(e.ts AS DATE) AS d, min(e.ts) AS t FROM events e JOIN {before} b ON b.user_id = e.user_id AND b.d = CAST(e.ts AS DATE) AND e.ts > b.t
+  WHERE e.event_type = '{step}' GROUP BY 1, 2)"""
+
+
+@query("funnel_dropoff", f"""WITH s1 AS (SELECT user_id, CAST(ts AS DATE) AS d, min(ts) AS t FROM events WHERE event_type = 'view' GROUP BY 1, 2),
+s2 AS {_later('click', 's1')}, s3 AS {_later('signup', 's2')}, s4 AS {_later('purchase', 's3')},
+n AS (SELECT (SELECT count(*) FROM s1) AS n1, (SELECT count(*) FROM s2) AS n2, (SELECT count(*) FROM s3) AS n3, (SELECT count(*) FROM s4) AS n4)
 SELECT 1 AS position, 'view' AS step, n1 AS users, 1.0::DOUBLE AS conversion FROM n UNION ALL SELECT 2, 'click', n2, round(n2 / n1, 6) FROM n
 UNION ALL SELECT 3, 'signup', n3, round(n3 / n2, 6) FROM n UNION ALL SELECT 4, 'purchase', n4, round(n4 / n3, 6) FROM n""")
 def _(t):
@@ -26,41 +31,35 @@ def _(t):
 
 
 def stage(t: Tables) -> dict[str, DataFrame]:
-    """One staging view per source table, renamed only."""
-    views = {
+    """One staging frame per source table, renamed only; the SQL models take them as arguments."""
+    return {
         "stg_orders": t.orders.selectExpr("o_orderkey AS order_id", "o_custkey AS customer_id", "o_orderstatus AS status", "o_orderdate AS ordered_at"),
         "stg_lines": t.lineitem.selectExpr("l_orderkey AS order_id", "l_partkey AS product_id", "l_linenumber AS line_no", "l_quantity AS quantity",
                                            "CAST(l_extendedprice AS DECIMAL(14,2)) AS amount", "CAST(l_discount AS DECIMAL(4,2)) AS discount"),
         "stg_customers": t.customer.selectExpr("c_custkey AS customer_id", "c_name AS name", "c_mktsegment AS segment"),
         "stg_products": t.part.selectExpr("p_partkey AS product_id", "p_name AS name", "p_type AS type"),
     }
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return views
 
 
 @query("mart_fct_orders", """SELECT l_orderkey AS order_id, l_linenumber AS line_no, l_partkey AS product_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_day, o_orderstatus AS status,
   l_quantity AS quantity, CAST(CAST(l_extendedprice AS DECIMAL(14,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS net_amount FROM lineitem JOIN orders ON l_orderkey = o_orderkey""", money=["net_amount"], days=["order_day"])
 def _(t):
-    stage(t)
     return t.spark.sql("""SELECT l.order_id, l.line_no, l.product_id, o.customer_id, CAST(o.ordered_at AS DATE) AS order_day, o.status, l.quantity,
-      CAST(l.amount * (1 - l.discount) AS DECIMAL(18,4)) AS net_amount FROM stg_lines l JOIN stg_orders o USING (order_id)""")
+      CAST(l.amount * (1 - l.discount) AS DECIMAL(18,4)) AS net_amount FROM {stg_lines} l JOIN {stg_orders} o USING (order_id)""", **stage(t))
 
 
 @query("mart_dim_customers", """SELECT c_custkey AS customer_id, c_name AS name, c_mktsegment AS segment, CAST(min(o_orderdate) AS DATE) AS first_order, CAST(max(o_orderdate) AS DATE) AS last_order, count(o_orderkey) AS orders
 FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY ALL""", days=["first_order", "last_order"])
 def _(t):
-    stage(t)
-    return t.spark.sql("""WITH o AS (SELECT customer_id, CAST(min(ordered_at) AS DATE) AS first_order, CAST(max(ordered_at) AS DATE) AS last_order, count(*) AS orders FROM stg_orders GROUP BY customer_id)
-      SELECT c.customer_id, c.name, c.segment, o.first_order, o.last_order, coalesce(o.orders, 0L) AS orders FROM stg_customers c LEFT JOIN o USING (customer_id)""")
+    return t.spark.sql("""WITH o AS (SELECT customer_id, CAST(min(ordered_at) AS DATE) AS first_order, CAST(max(ordered_at) AS DATE) AS last_order, count(*) AS orders FROM {stg_orders} GROUP BY customer_id)
+      SELECT c.customer_id, c.name, c.segment, o.first_order, o.last_order, coalesce(o.orders, 0L) AS orders FROM {stg_customers} c LEFT JOIN o USING (customer_id)""", **stage(t))
 
 
 @query("mart_dim_products", """SELECT p_partkey AS product_id, p_name AS name, p_type AS type, count(l_orderkey) AS lines, coalesce(CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT), 0) AS units
 FROM part LEFT JOIN lineitem ON p_partkey = l_partkey GROUP BY ALL""")
 def _(t):
-    stage(t)
-    return t.spark.sql("""WITH l AS (SELECT product_id, count(*) AS lines, CAST(sum(quantity) AS BIGINT) AS units FROM stg_lines GROUP BY product_id)
-      SELECT p.product_id, p.name, p.type, coalesce(l.lines, 0L) AS lines, coalesce(l.units, 0L) AS units FROM stg_products p LEFT JOIN l USING (product_id)""")
+    return t.spark.sql("""WITH l AS (SELECT product_id, count(*) AS lines, CAST(sum(quantity) AS BIGINT) AS units FROM {stg_lines} GROUP BY product_id)
+      SELECT p.product_id, p.name, p.type, coalesce(l.lines, 0L) AS lines, coalesce(l.units, 0L) AS units FROM {stg_products} p LEFT JOIN l USING (product_id)""", **stage(t))
 
 
 @query("mart_tests", """SELECT 'unique order' AS test, count(*) AS failures FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)

@@ -97,22 +97,23 @@ def _(t):
     })
 
 
-def trainings(t: Tables, flag: str) -> DataFrame:
+def trainings(t: Tables, sheet: bool) -> DataFrame:
+    """Lines with flag A stand for the sheet, all others for the form."""
     parts = t.part.select("p_partkey", "p_name", "p_brand")
-    return t.lineitem.filter(F.col("l_returnflag") == flag).join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+    return t.lineitem.filter((F.col("l_returnflag") == "A") == sheet).join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         "l_suppkey", F.col("p_name").alias("name"), F.year("l_shipdate").alias("year"), F.col("p_brand").alias("provider"),
         F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").alias("pos"))
 
 
 @query("cv_training_dedupe", """
 WITH u AS (SELECT l_suppkey, p_name AS name, CAST(year(l_shipdate) AS VARCHAR) AS y, p_brand AS provider, l_returnflag = 'A' AS src, l_orderkey, l_linenumber, l_partkey, l_quantity
-  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag IN ('R', 'A'))
+  FROM lineitem JOIN part ON l_partkey = p_partkey)
 SELECT l_suppkey, name AS name_key, y AS year, CASE WHEN src THEN name || ' Certificate' ELSE name END AS name, provider, CASE WHEN src THEN 'certification' ELSE 'training' END AS type
 FROM (SELECT l_suppkey, CASE WHEN src THEN name || ' certificate' ELSE name END AS k, * FROM u) QUALIFY row_number() OVER (PARTITION BY l_suppkey, k, y ORDER BY src, l_orderkey, l_linenumber, l_partkey, l_quantity) = 1""".replace(
     "name AS name_key", "k AS name_key"))
 def _(t):
-    form = trainings(t, "R").withColumn("name", F.concat(F.lit("  "), F.upper("name")))
-    sheet = trainings(t, "A").select("l_suppkey", F.concat("name", F.lit(" Certificate")).alias("name"), "year", F.col("provider").alias("output"), "pos")
+    form = trainings(t, False).withColumn("name", F.concat(F.lit("  "), F.upper("name")))
+    sheet = trainings(t, True).select("l_suppkey", F.concat("name", F.lit(" Certificate")).alias("name"), "year", F.col("provider").alias("output"), "pos")
     out = pp.merge_trainings(form, sheet, "l_suppkey")
     return out.withColumn("name", F.when(F.col("type") == "training", F.lower(F.trim("name"))).otherwise(F.col("name")))
 

@@ -256,7 +256,7 @@ def _(t):
 @query("upsert_scd1", """
 WITH old AS (SELECT p_brand AS brand, min(p_name) AS label, row_number() OVER (ORDER BY p_brand) AS brand_key
              FROM part WHERE p_size <= 10 GROUP BY p_brand),
-new AS (SELECT p_brand AS brand, max(p_name) AS label FROM part WHERE p_size > 25 GROUP BY p_brand),
+new AS (SELECT p_brand AS brand, max(p_name) AS label FROM part WHERE p_size > 10 GROUP BY p_brand),
 fresh AS (SELECT brand, label, row_number() OVER (ORDER BY brand) + (SELECT max(brand_key) FROM old) AS brand_key
           FROM new WHERE brand NOT IN (SELECT brand FROM old))
 SELECT old.brand, coalesce(new.label, old.label) AS label, brand_key FROM old LEFT JOIN new USING (brand)
@@ -264,7 +264,7 @@ UNION ALL SELECT brand, label, brand_key FROM fresh""")
 def _(t):
     old = t.part.filter("p_size <= 10").groupBy(F.col("p_brand").alias("brand")).agg(
         F.min("p_name").alias("label"))
-    new = t.part.filter("p_size > 25").groupBy(F.col("p_brand").alias("brand")).agg(
+    new = t.part.filter("p_size > 10").groupBy(F.col("p_brand").alias("brand")).agg(
         F.max("p_name").alias("label"))
     return upsert.upsert_members(
         sales.surrogate_keys(old, "brand", "brand_key"), new, "brand", "brand_key"

@@ -35,6 +35,9 @@ def test_funnel(frame):
     df = frame([("u", t(1), "view"), ("u", t(2), "click"), ("v", t(3), "click"), ("v", t(4), "view"), ("w", t(1), "view")], "user string, ts timestamp_ntz, step string")
     got = rows(m.funnel_dropoff(df, "user", "ts", "step", ["view", "click", "purchase"], F.to_date("ts")).select("step", "users", "conversion"), "users")
     assert got == [("purchase", 0, 0.0), ("click", 1, pytest.approx(1 / 3)), ("view", 3, 1.0)]
+    early = frame([("u", t(1), "click"), ("u", t(2), "view"), ("u", t(3), "click"), (None, t(1), "view")], "user string, ts timestamp_ntz, step string")
+    got = rows(m.funnel_dropoff(early, "user", "ts", "step", ["view", "click"], F.to_date("ts")).select("step", "users"))
+    assert sorted(got) == [("click", 1), ("view", 1)]  # the click before the view hides nothing
 
 
 def test_forecasts(frame):

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import random
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
+from statistics import fmean, pstdev
 
-from pyspark import keyword_only
+from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -15,7 +17,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +26,9 @@ from brightloom.operators.metrics import class_weight
 from brightloom.operators.ordering import quantiles
 from brightloom.session import cut
 
+#: Fits that run side by side.
+PARALLEL = 8
+
 
 class _FlagParams(HasInputCol, HasOutputCol):
     share = Param(Params._dummy(), "share", "quantile above which the flag is set", TypeConverters.toFloat)
@@ -109,13 +114,18 @@ def _auc(label: str) -> BinaryClassificationEvaluator:
 
 
 def compare_models(df: DataFrame, label: str, fold: str, k: int = 5) -> DataFrame:
-    """Mean and deviation of the cross-validated area under the curve per learner."""
-    rows = []
-    for name, est in candidates(label).items():
-        cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(), evaluator=_auc(label),
-                            numFolds=k, foldCol=fold, parallelism=4)
-        fitted = cv.fit(df)
-        rows.append((name, float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0])))
+    """Mean and deviation of the cross-validated area under the curve per learner; the fits
+    of all learners and folds run side by side."""
+    def score(job: tuple[str, int]) -> float:
+        name, i = job
+        model = candidates(label)[name].fit(df.filter(F.col(fold) != i))
+        return _auc(label).evaluate(model.transform(df.filter(F.col(fold) == i)))
+
+    learners = list(candidates(label))
+    with ThreadPool(PARALLEL) as pool:
+        found = pool.map(inheritable_thread_target(df.sparkSession)(score), [(name, i) for name in reversed(learners) for i in range(k)])
+    areas = {name: found[j * k : (j + 1) * k] for j, name in enumerate(reversed(learners))}
+    rows = [(name, fmean(areas[name]), pstdev(areas[name])) for name in learners]
     return df.sparkSession.createDataFrame(rows, "model string, auc_mean double, auc_std double")
 
 
@@ -129,7 +139,7 @@ def search(df: DataFrame, label: str, trials: int = 30, seed: int = 42) -> DataF
         for _ in range(trials)
     ]
     fitted = TrainValidationSplit(estimator=est, estimatorParamMaps=maps, evaluator=_auc(label), trainRatio=0.8,
-                                  parallelism=4, seed=seed).fit(df)
+                                  parallelism=PARALLEL, seed=seed).fit(df)
     rows = [
         (i + 1, int(m[est.numTrees]), int(m[est.maxDepth]), int(m[est.minInstancesPerNode]), float(m[est.subsamplingRate]), float(v))
         for i, (m, v) in enumerate(zip(maps, fitted.validationMetrics))

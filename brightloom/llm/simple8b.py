@@ -8,7 +8,8 @@ value in a list of their own.
 
 The files are a Parquet table, so that any store Spark writes to will do and a lost task is
 written again as a whole. A row is a run of whole documents: ``shard`` (ascending ranges of
-doc_id), ``segment``, ``before`` (ids of the shard before it), ``doc_ids`` and ``payload``:
+doc_id), ``segment``, ``before`` (ids of the shard before it), ``ids`` (its own ids),
+``doc_ids`` and ``payload``:
 
     S8B1 | documents, ids, blocks, words, escapes (5 x u64) | ids per document (u64)
     | first word of each block (u64) | words (u64) | escape positions, escape values (u64)
@@ -153,17 +154,17 @@ def write(docs: DataFrame, path: str, folder: str, end: int = 2) -> None:
                 ids = np.insert(ids, upto[1:], end_id)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([shard]), pa.array([segment]), pa.array([before]), pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                        pa.array([to_payload(ids, np.diff(upto) + 1)], pa.binary()),
+                        pa.array([shard]), pa.array([segment]), pa.array([before]), pa.array([len(ids)]),
+                        pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([to_payload(ids, np.diff(upto) + 1)], pa.binary()),
                     ],
-                    names=["shard", "segment", "before", "doc_ids", "payload"],
+                    names=["shard", "segment", "before", "ids", "doc_ids", "payload"],
                 )
                 segment += 1
                 before += len(ids)
         release()
 
     slim = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    coded = slim.mapInArrow(run, "shard long, segment long, before long, doc_ids array<long>, payload binary")
+    coded = slim.mapInArrow(run, "shard long, segment long, before long, ids long, doc_ids array<long>, payload binary")
     coded.write.parquet(folder)
 
 
@@ -186,14 +187,13 @@ def read(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
                     names=["doc_id", "shard", "inside", "n_tokens", "ids_crc32", "ids"],
                 )
 
-    schema = "shard long, segment long, before long, doc_ids array<long>, payload binary"
+    schema = "shard long, segment long, before long, ids long, doc_ids array<long>, payload binary"
     files = spark.read.schema(schema).parquet(folder)
     rows = files.select("shard", "before", "doc_ids", "payload").mapInArrow(
         run, "doc_id long, shard long, inside long, n_tokens long, ids_crc32 long, ids binary"
     )
-    # a row per shard: its ids are those before its last segment and those of that segment
-    ids = F.conv(F.hex(F.reverse(F.substring("payload", 13, 8))), 16, 10).cast("long")
-    totals = files.groupBy("shard").agg(F.max(F.col("before") + ids).alias("total"))
+    # a row per shard
+    totals = files.groupBy("shard").agg(F.sum("ids").alias("total"))
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("shard", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("base"))
     return rows.join(bases, "shard").select("doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32", "ids")

@@ -59,6 +59,31 @@ def test_files_beside_brute_force(spark):
     assert simple8b.round_trip(df.limit(0), vocabulary()).count() == 0
 
 
+def test_starts_follow_over_many_shards(spark):
+    # 453, 115689 and 192673 ids have count bytes that open a sequence in UTF-8
+    sizes = [453, 115689, 192673, 197, 50000, 1, 70000, 453] * 2
+    df = spark.createDataFrame([(i, "the " * (n - 1)) for i, n in enumerate(sizes)], "doc_id long, text string")
+    model = Encoder.of(vocabulary()).model
+    tokens = {n: len(model.encode("the " * (n - 1), add_special_tokens=False).ids) + 1 for n in set(sizes)}
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        folder = f"{simple8b.shared_dir(spark)}/ids-many-shards-{random.randrange(2**60)}"
+        simple8b.write(df, vocabulary(), folder)
+        shards = spark.read.parquet(folder).select("shard").distinct().count()
+        got = sorted(tuple(r)[:3] for r in simple8b.read(spark, folder).collect())
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    want, before = [], 0
+    for i, n in enumerate(sizes):
+        want.append((i, before, tokens[n]))
+        before += tokens[n]
+    assert shards > 4 and {453, 115689, 192673} <= set(tokens.values())
+    assert got == want
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(1, 64), min_size=1, max_size=80), st.integers(64, 100))
 def test_windows_hold_their_capacity(sizes, capacity):

@@ -14,7 +14,8 @@ threshold; a component is what links connect. The steps:
    last pass names the members that have a possible partner in another component, brings
    their full sets to their blocks and compares all such pairs there; again a forest, now of
    true links, comes out. So no link between texts that share a band is lost, and no group
-   is expanded into all its pairs. A pair that shares several bands is compared in its first.
+   is expanded into all its pairs. A pair that shares several bands is compared in its first,
+   as told by the full keys that make the buckets.
 
 With 6 rows and 32 bands, two texts at similarity 0.85 share no band with a chance of
 3e-7; at 0.8, 38 bands of 5 rows, likewise.
@@ -243,7 +244,7 @@ def _cells(members: DataFrame) -> DataFrame:
     n = F.ceil(F.col("held") / F.lit(BLOCK)).cast("int")
     placed = members.withColumn("n", n).withColumn("own", F.pmod(F.xxhash64("cid", "bucket"), F.col("n")).cast("int"))
     return placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
-        F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "cid", "root",
+        F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "bucket", "cid", "root",
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
     )
 
@@ -252,8 +253,8 @@ def _candidates(cell: pa.Table, scheme: Scheme, enough: int) -> list[tuple[np.nd
     """Pairs (i, j, agreeing minima) of a cell in two components that share no earlier band."""
     side, root = cell.column("side").to_numpy(), cell.column("root").to_numpy()
     low = np.frombuffer(b"".join(cell.column("minima").to_pylist()), np.uint8).reshape(-1, scheme.minima)
-    banded = low.reshape(-1, scheme.bands, scheme.rows)
-    here = int((banded == banded[0]).all(axis=(0, 2)).argmax())  # the band whose bucket this is
+    keys = cell.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, scheme.bands)
+    bucket = cell.column("bucket").to_numpy()
     found = []
     for i in np.flatnonzero(side != 1):
         rest = np.flatnonzero((side == 1) if side[i] == 0 else (np.arange(len(side)) > i))
@@ -261,7 +262,8 @@ def _candidates(cell: pa.Table, scheme: Scheme, enough: int) -> list[tuple[np.nd
         agree = (low[rest] == low[i]).sum(axis=1)
         rest, agree = rest[agree >= enough], agree[agree >= enough]
         if len(rest):
-            first = (banded[rest] == banded[i]).all(axis=2).argmax(axis=1) == here
+            # minima are known by low bytes only, so the first shared band goes by its full key
+            first = keys[i][(keys[rest] == keys[i]).argmax(axis=1)] == bucket[i]
             found.append((np.full(first.sum(), i), rest[first], agree[first]))
     return found
 
@@ -284,7 +286,7 @@ def _over_cells(carried: DataFrame, schema: str, body: Callable[[pa.Table], pa.R
     return carried.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, schema)
 
 
-def _likely(cells: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
+def _likely(cells: DataFrame, signs: DataFrame, scheme: Scheme) -> DataFrame:
     """A forest of likely pairs (a, b) between the components of each cell."""
 
     def body(cell: pa.Table) -> pa.RecordBatch:
@@ -292,16 +294,16 @@ def _likely(cells: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
         cid = cell.column("cid").to_numpy()
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(cid[i], cid[j])), pa.array(np.maximum(cid[i], cid[j]))], names=["a", "b"])
 
-    return _over_cells(cells.join(sets.select("cid", "minima"), "cid"), "a long, b long", body).distinct()
+    return _over_cells(cells.join(signs, "cid"), "a long, b long", body).distinct()
 
 
-def _links(cells: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
+def _links(cells: DataFrame, sets: DataFrame, signs: DataFrame, scheme: Scheme) -> DataFrame:
     """A forest of true links (u, v) between the components of each cell, from all its pairs."""
 
     def name(cell: pa.Table) -> pa.RecordBatch:
         pairs = _candidates(cell, scheme, scheme.least_agreeing)
         named = np.unique(np.concatenate([x for i, j, _ in pairs for x in (i, j)])) if pairs else np.empty(0, np.int64)
-        columns = ["cell", "cid", "root", "side"]
+        columns = ["cell", "bucket", "cid", "root", "side"]
         return pa.RecordBatch.from_arrays([pa.array(cell.column(c).to_numpy()[named]) for c in columns], names=columns)
 
     def compare(cell: pa.Table) -> pa.RecordBatch:
@@ -316,8 +318,8 @@ def _links(cells: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
         cid = cell.column("cid").to_numpy()
         return pa.RecordBatch.from_arrays([pa.array(cid[i]), pa.array(cid[j])], names=["u", "v"])
 
-    named, _ = _cut(_over_cells(cells.join(sets.select("cid", "minima"), "cid"), "cell long, cid long, root long, side int", name))
-    return _over_cells(named.join(sets.select("cid", "minima", "windows"), "cid"), "u long, v long", compare)
+    named, _ = _cut(_over_cells(cells.join(signs, "cid"), "cell long, bucket long, cid long, root long, side int", name))
+    return _over_cells(named.join(signs, "cid").join(sets.select("cid", "windows"), "cid"), "u long, v long", compare)
 
 
 def near_links(docs: DataFrame, described: DataFrame, scheme: Scheme) -> DataFrame:
@@ -326,13 +328,15 @@ def near_links(docs: DataFrame, described: DataFrame, scheme: Scheme) -> DataFra
     buckets = rows.groupBy("bucket").agg(F.min("cid").alias("x"), F.max("cid").alias("y")).filter("x < y")
     members = stage(rows.join(buckets.select("bucket"), "bucket").distinct())
     named = members.select("cid").distinct()
-    wanted = described.filter("n > 0").groupBy("cid").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("minima").alias("minima"))
-    wanted = wanted.join(named, "cid").select("cid", "minima", "first.*")
+    wanted = described.filter("n > 0").groupBy("cid").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("minima").alias("minima"), F.first("bands").alias("bands"))
+    wanted = wanted.join(named, "cid").select("cid", "minima", "bands", "first.*")
     rows_of = described.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
     wanted = wanted.join(rows_of, wanted.doc_id.eqNullSafe(rows_of.doc_id) & (wanted.text_hash == rows_of.text_hash)).select(
         wanted["*"], rows_of["rows"]
     )
-    sets = stage(_sets(docs, cut(wanted), scheme))
+    wanted = cut(wanted)
+    signs = wanted.select("cid", "minima", "bands")
+    sets = stage(_sets(docs, wanted.drop("bands"), scheme))
 
     roots = None
     for step in PASSES:
@@ -348,9 +352,9 @@ def near_links(docs: DataFrame, described: DataFrame, scheme: Scheme) -> DataFra
             met = held.join(lead, "bucket").filter("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")).distinct()
             links = _confirmed(_estimated(met, sets, scheme), sets, scheme)
         elif step == "forest":
-            links = _confirmed(_likely(_cells(held), sets, scheme), sets, scheme)
+            links = _confirmed(_likely(_cells(held), signs, scheme), sets, scheme)
         else:
-            links = _links(_cells(held), sets, scheme)
+            links = _links(_cells(held), sets, signs, scheme)
         found, new = _cut(links)
         if new["rows"]:
             grown = found if roots is None else found.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))

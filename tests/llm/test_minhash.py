@@ -65,6 +65,23 @@ def test_blocks_find_what_leaders_miss(spark, monkeypatch, passes):
     assert result(near_duplicates(spark.createDataFrame(rows, SCHEMA), SCHEME)) == want
 
 
+def test_bands_that_agree_in_low_bytes_only_hide_no_link(spark, monkeypatch):
+    # 0 and 896 agree in band 3 by low bytes alone; in each band they share, another text meets them
+    def text(seed, changed):
+        gone = set(random.Random(seed).sample(range(120), changed))
+        return " ".join(f"x{seed}_{i}" if i in gone else f"w{i}" for i in range(120))
+
+    scheme = Scheme(1, 85, 6, 32)
+    rows = [(0, text(0, 0)), (896, text(896, 9)), *((i, text(i, 30)) for i in (10005, 10006, 10017, 10102, 10255))]
+    m = [minhash.signature(s, scheme) for s in shingle_sets(pa.array([t for _, t in rows], pa.large_string()), 1)]
+    low = [x.astype("uint8").reshape(32, 6) for x in m]
+    assert (low[0] == low[1]).all(axis=1).argmax() < (minhash.band_keys(m[0], scheme) == minhash.band_keys(m[1], scheme)).argmax()
+    monkeypatch.setattr(minhash, "PASSES", ("rest",))
+    want = sorted(brute.near_components(rows, 1, 85), key=repr)
+    assert len({w[2] for w in want}) == 6
+    assert result(near_duplicates(spark.createDataFrame(rows, SCHEMA), scheme)) == want
+
+
 def test_long_chain_is_one_component(spark):
     links = spark.createDataFrame([(i * 7919 % 200, (i + 1) * 7919 % 200) for i in range(150)], "u long, v long")
     found = components(links).collect()

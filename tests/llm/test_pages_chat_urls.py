@@ -29,6 +29,34 @@ def test_wrapper_tells_template_from_slots():
     assert wrapper.extract(pages[0], wrapper.induce([pages[0]] * 4)).startswith("Daily Site")  # equal pages teach nothing
 
 
+NOTICE = "This long notice stands in every article of the site and has many more than twelve words in it, as notices do."
+
+
+def test_long_template_inside_an_article_is_dropped():
+    page = "<html><body><article><h1>Head {0}</h1><div class=info>" + NOTICE + "</div><p>Story {0} is told here.</p></article></body></html>"
+    pages = [page.format(i) for i in range(2)]  # a single pair
+    assert wrapper.extract(pages[0], wrapper.induce(pages)) == "Head 0\nStory 0 is told here."
+    assert NOTICE in wrapper.extract(pages[0], wrapper.induce(pages[:1]))
+
+
+def test_class_words_do_not_empty_an_article():
+    page = "<html><body><div class='content has-sidebar no-comments'><article><p>Story {0}.</p><section id='search-results' class='related-work'><p>Results {0}.</p></section></article></div></body></html>"
+    pages = [page.format(i) for i in range(3)]
+    for known in (wrapper.induce([]), wrapper.induce(pages)):
+        assert wrapper.extract(pages[0], known) == "Story 0.\nResults 0."
+
+
+def test_every_layout_of_a_large_host_is_learned(spark):
+    old = "<html><body><div class=old><div class=info>{1}</div><p>Story {0} is told here at some length.</p></div></body></html>"
+    new = "<html><body><main class=new><div class=info>{1}</div><p>Story {0} is told here at some length.</p></main></body></html>"
+    rare = "<html><body><section class=rare><div class=info>{1}</div><p>Story {0} is told here at some length.</p></section></body></html>"
+    rows = [(i, f"http://hot/{i}", (rare if i % 40 == 0 else old if i % 2 else new).format(i, NOTICE + "rno"[(i % 40 == 0) + 2 * (i % 2)])) for i in range(120)]
+    rows += [(200 + i, f"http://two/{i}", old.format(i, NOTICE)) for i in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in wrapper.main_text(df).collect()}
+    assert got == {i: f"Story {i if i < 200 else i - 200} is told here at some length." for i, *_ in rows}
+
+
 def test_simple_tree_matching_keeps_order():
     one, two = wrapper.parse("<div><h1>a</h1><p>x</p><ul></ul></div>"), wrapper.parse("<div><p>y</p><table></table><ul></ul></div>")
     assert [a.tag for a, _ in wrapper.simple_tree_matching(one, two)] == ["", "div", "ul", "p"]

@@ -46,7 +46,8 @@ def claim(term: Column, ln_weight: Column, sample: int) -> Column:
     b = _unit(one, 2)
     t = F.floor(ln_weight / r + b)
     claimed = F.floor((ln_c - r * (t - b + 1)) * SCALE) + (1 << 30)
-    return claimed * (1 << 32) + (two + t * 0x9E3779B1).bitwiseAND(F.lit((1 << 32) - 1))
+    low = F.lit((1 << 32) - 1)
+    return claimed * (1 << 32) + (two.bitwiseAND(low) + t * 0x9E3779B1).bitwiseAND(low)  # a full hash could overflow
 
 
 def fingerprints(words: DataFrame, keys: list[str], versions: int) -> DataFrame:

@@ -157,6 +157,12 @@ def test_fingerprints_estimate_the_similarity(spark):
     assert cws.edited_beside_next(docs.limit(0)).count() == 0
 
 
+def test_samples_do_not_overflow(spark):
+    # sample 3 of this word hashes to almost 2 ** 63
+    row = spark.range(1).select(cws.claim(F.lit(2704277000).cast("long"), F.lit(30.0), 3).alias("c")).first()
+    assert row.c > 0
+
+
 def test_pipeline_stages_keep_the_columns(spark, tmp_path):
     import corpus_pipeline
 

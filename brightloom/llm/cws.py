@@ -25,7 +25,7 @@ from brightloom.operators.ordering import row_numbers
 from brightloom.session import cut
 
 #: Samples of a fingerprint.
-SAMPLES = 24
+SAMPLES = 32
 #: Claims are kept to 2 ** -22.
 SCALE = 1 << 22
 

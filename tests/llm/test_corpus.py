@@ -163,6 +163,12 @@ def test_samples_do_not_overflow(spark):
     assert row.c > 0
 
 
+def test_fingerprints_have_at_least_32_samples(spark):
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "e f")], "doc_id long, text string")
+    got = cws.edited_beside_next(docs).first()
+    assert len(got.fingerprint) >= 8 * 32 and len(got.edited_fingerprint) == len(got.fingerprint)
+
+
 def test_pipeline_stages_keep_the_columns(spark, tmp_path):
     import corpus_pipeline
 

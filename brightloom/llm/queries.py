@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightloom.llm import chat, cws, kdshard, minhash, mixing, packing, quality, simple8b, urlrules, wrapper
+from brightloom.llm import bpe, chat, cws, kdshard, minhash, mixing, packing, quality, simple8b, urlrules, wrapper
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 #: The word-level BPE vocabulary; its path is a parameter of the operators.
 VOCABULARY = "word_bpe_49k.json"
+#: The byte-level one.
+BYTE_VOCABULARY = "byte_bpe_50k.json"
 #: Three words and 85 in 100, as the query's contract says.
 NEAR = minhash.Scheme(width=3, percent=85, rows=6, bands=32)
 SITES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -157,3 +159,14 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document, read back from the files."""
     return simple8b.round_trip(_table(spark, folder, "documents"), vocabulary(), end=2).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@_query("op13_trie_bpe")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document and what they decode to."""
+    path = vocabulary(BYTE_VOCABULARY)
+    found = bpe.decode(bpe.encode(_table(spark, folder, "documents"), path), path)
+    return found.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
+    )

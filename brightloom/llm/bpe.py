@@ -42,12 +42,12 @@ from brightloom.llm.words import release, text_column
 # Fixed value: the words of byte-level pre-tokenizers.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Stretches remembered by one Python worker, in two generations, and pairs of neighbours.
-STRETCHES = 400_000
+STRETCHES = 300_000
 PAIRS = 500_000
 #: Stretches with more bytes of text are not remembered.
 STRETCH_BYTES = 100
 #: Bytes of text that are worked on together; a longer text is taken alone.
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 4 << 20
 
 _LOADED: dict[str, Bpe] = {}
 
@@ -60,6 +60,18 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def pieces_of(spec: dict) -> dict[int, bytes]:
+    """The bytes of every id of a tokenizer file, special tokens included."""
+    letters = byte_letters()
+    plain = {i: bytes(letters[c] for c in s) for s, i in spec["model"]["vocab"].items()}
+    return plain | {token["id"]: token["content"].encode() for token in spec["added_tokens"]}
+
+
+def text_of(ids: bytes, pieces: dict[int, bytes]) -> str:
+    """The text of little-endian 32-bit ids; bytes that are no UTF-8 become U+FFFD."""
+    return b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+
+
 def trie(words: list[bytes]) -> Iterator[tuple[bytes, int]]:
     """Distinct words in depth-first order, each with the depth at which its edge begins."""
     before = b""
@@ -80,9 +92,9 @@ class Bpe:
         model, before = spec["model"], spec["pre_tokenizer"]
         if before["type"] != "ByteLevel" or before["add_prefix_space"] or not before["use_regex"] or spec["normalizer"] or model["byte_fallback"] or model["ignore_merges"]:
             raise ValueError(f"{path}: not a plain byte-level BPE")
-        letters, vocab = byte_letters(), model["vocab"]
-        self.pieces: dict[int, bytes] = {i: bytes(letters[c] for c in s) for s, i in vocab.items()}
-        self.rank: dict[int, int] = dict.fromkeys(self.pieces, -1)
+        vocab = model["vocab"]
+        self.pieces = pieces_of(spec)
+        self.rank: dict[int, int] = dict.fromkeys(vocab.values(), -1)
         self.halves: dict[int, tuple[int, int]] = {}
         self.merged: dict[int, int] = {}  # rank of the merge of two neighbours
         for rank, merge in enumerate(model["merges"]):
@@ -96,7 +108,6 @@ class Bpe:
             if token["single_word"] or token["lstrip"] or token["rstrip"]:
                 raise ValueError(f"{path}: added tokens that take blanks or whole words only")
             self.special[token["content"]] = token["id"]
-            self.pieces[token["id"]] = token["content"].encode()
         self.cut = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
         self.follow: dict[int, int] = {}  # from a node of the reversed tokens by a byte to the next
         self.token_at = [-1]
@@ -256,10 +267,6 @@ class Bpe:
         bounds = np.searchsorted(begin, upto).tolist()
         return [b"".join(chosen[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
 
-    def decode(self, ids: bytes) -> str:
-        """The text of little-endian 32-bit ids; bytes that are no UTF-8 become U+FFFD."""
-        return b"".join(map(self.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
-
 
 def _parts(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
     """Slices of about ``TEXT_BYTES`` of text, of one row at least."""
@@ -288,10 +295,11 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, text) of rows (doc_id, ids); null ids are no ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe.of(path)
+        with open(path, encoding="utf-8") as file:
+            pieces = pieces_of(json.load(file))
         for batch in batches:
             for part in _parts(batch, "ids"):
-                texts = [bpe.decode(x or b"") for x in part.column("ids").to_pylist()]
+                texts = [text_of(x or b"", pieces) for x in part.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
         release()
 

@@ -37,7 +37,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightloom.llm.words import release, text_column
+from brightloom.llm.words import parts, release, text_column
 
 # Fixed value: the words of byte-level pre-tokenizers.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -268,23 +268,13 @@ class Bpe:
         return [b"".join(chosen[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
 
 
-def _parts(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """Slices of about ``TEXT_BYTES`` of text, of one row at least."""
-    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
-    at = 0
-    while at < batch.num_rows:
-        stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + TEXT_BYTES, side="right")))
-        yield batch.slice(at, stop - at)
-        at = stop
-
-
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids) of every document; ids are little-endian 32-bit numbers in one binary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe.of(path)
         for batch in batches:
-            for part in _parts(batch, "text"):
+            for part in parts(batch, "text", TEXT_BYTES):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(bpe.encode(text_column(part.column("text"))), pa.binary())], names=["doc_id", "ids"])
         release()
 
@@ -298,7 +288,7 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
         with open(path, encoding="utf-8") as file:
             pieces = pieces_of(json.load(file))
         for batch in batches:
-            for part in _parts(batch, "ids"):
+            for part in parts(batch, "ids", TEXT_BYTES):
                 texts = [text_of(x or b"", pieces) for x in part.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
         release()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightloom.llm import bpe, chat, cws, kdshard, minhash, mixing, packing, quality, simple8b, urlrules, wrapper
+from brightloom.llm import bpe, chat, cws, kdshard, lexical, minhash, mixing, packing, quality, simple8b, urlrules, wrapper
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -170,3 +170,27 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
     )
+
+
+@_query("op11_range_maximum_search", r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS v FROM documents
+), s AS (SELECT count(*)::BIGINT AS n, sum(len(v))::BIGINT AS l FROM t WHERE len(v) > 0),
+d AS (SELECT doc_id, 25 + (75 * len(v) * s.n) // s.l AS m FROM t, s WHERE len(v) > 0),
+q AS (
+  SELECT item_id, g, count(*) AS repeats FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS g FROM benchmark
+  ) GROUP BY 1, 2
+), p AS (
+  SELECT doc_id, g, count(*) AS tf FROM (SELECT doc_id, unnest(v) AS g FROM t) WHERE g IN (SELECT g FROM q) GROUP BY 1, 2
+), f AS (SELECT g, CAST(floor(1000 * ln((2 * s.n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM p, s GROUP BY g, s.n),
+r AS (
+  SELECT item_id, doc_id, CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM p JOIN q USING (g) JOIN f USING (g) JOIN d USING (doc_id) GROUP BY 1, 2
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY rank <= 10
+""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))

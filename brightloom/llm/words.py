@@ -7,6 +7,7 @@ A word is a run of characters other than space and tab to carriage return
 from __future__ import annotations
 
 import ctypes
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,18 @@ def text_column(values: pa.Array | pa.ChunkedArray) -> pa.Array:
     return pc.fill_null(values.cast(pa.large_string()).take(pa.array(np.arange(len(values)))), "")
 
 
+def parts(batch: pa.RecordBatch, column: str, size: int, rows: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``size`` bytes of one column and at most ``rows`` rows; a longer value
+    is a slice of its own."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    at = 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size, side="right")))
+        stop = min(stop, at + rows) if rows else stop
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Per word the number of its text and of its entry in the list of distinct words."""
     split = pc.ascii_split_whitespace(texts)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightloom.llm import bpe, chat, cws, kdshard, lexical, minhash, mixing, packing, quality, simple8b, urlrules, wrapper
+from brightloom.llm import bpe, chat, cws, kdshard, lexical, minhash, mining, mixing, packing, quality, simple8b, urlrules, wrapper
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -194,3 +194,29 @@ FROM r WHERE score > 0 QUALIFY rank <= 10
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     return lexical.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@_query("op12_zone_map_negatives", """
+WITH v AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+  other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector."""
+    table = _table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mining.mine(table.select("vec_id", label.alias("label"), F.col("embedding").alias("vector")), F.col("vec_id") % 50 == 0)

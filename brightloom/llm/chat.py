@@ -4,11 +4,12 @@ Grammar of the text, one turn after the other::
 
     turn := '<turn role="' NAME '" esc="' LEVEL '">' BODY '</turn>' NEWLINE
 
-At level 0 the body is the text as it is. The turn is parsed again; if the recovered role
-and text differ from the source, the next level is tried, until they are identical. Level 1
-puts a backslash before each backslash and each ``<``, so no body can hold a mark; NAME is
-always written that way, with ``"`` and line breaks included. The parser is deterministic:
-at level 0 a body ends at the first end mark, at level 1 at the first unescaped ``<``.
+At level 0 the body is the text as it is. The turn is parsed again; if that fails, or the
+recovered role and text differ from the source, the next level is tried, until they are
+identical. Level 1 writes ``<`` as ``\l`` and a backslash as two; NAME is always written that
+way, with ``"`` as ``\q``. The parser is deterministic: a body ends at the first end mark, at
+level 0 it must not hold ``<turn`` or ``</turn``, at level 1 no ``<`` at all. So no text can
+bring a mark of its own into the formatted text, forged turns included.
 
 ``render`` gives one row per turn, so a conversation of any length is spread over tasks, and
 marks the turns under the loss (those of the assistant). ``read_back`` streams the rendered
@@ -34,16 +35,24 @@ END = "</turn>\n"
 #: Turns under the loss mask.
 LEARNED = "assistant"
 
-_HEAD = re.compile(r'<turn role="((?:[^"\\]|\\.)*+)" esc="([01])">', re.S)
-_BODY = re.compile(r"((?:[^\\<]++|\\.)*+)</turn>\n", re.S)
+#: What the grammar writes; no body at level 0 may hold one.
+MARKS = ("<turn", "</turn")
+
+_HEAD = re.compile(r'<turn role="([^"<]*+)" esc="([01])">')
+_ESCAPES = {"\\": "\\\\", "<": "\\l", '"': "\\q"}
+_PLAIN = {v[1]: k for k, v in _ESCAPES.items()}
 
 
 def _escape(text: str, marks: str) -> str:
-    return re.sub(rf"([{marks}\\])", r"\\\1", text)
+    return re.sub(f"[{marks}\\\\]", lambda m: _ESCAPES[m[0]], text)
 
 
 def _unescape(text: str) -> str:
-    return re.sub(r"\\(.)", r"\1", text, flags=re.S)
+    """Raises ValueError on what no escape writes."""
+    try:
+        return re.sub(r"\\(.?)", lambda m: _PLAIN[m[1]], text, flags=re.S)
+    except KeyError:
+        raise ValueError("an unknown escape") from None
 
 
 def parse_turn(text: str, at: int = 0) -> tuple[str, str, int, tuple[int, int]]:
@@ -52,27 +61,25 @@ def parse_turn(text: str, at: int = 0) -> tuple[str, str, int, tuple[int, int]]:
     head = _HEAD.match(text, at)
     if not head:
         raise ValueError(f"no turn at {at}")
-    if head[2] == "0":
-        stop = text.find(END, head.end())
-        if stop < 0:
-            raise ValueError(f"turn at {at} does not end")
-        return _unescape(head[1]), text[head.end() : stop], stop + len(END), (head.end(), stop)
-    body = _BODY.match(text, head.end())
-    if not body:
+    stop = text.find(END, head.end())
+    if stop < 0:
         raise ValueError(f"turn at {at} does not end")
-    return _unescape(head[1]), _unescape(body[1]), body.end(), body.span(1)
+    body = text[head.end() : stop]
+    if any(mark in body for mark in (MARKS if head[2] == "0" else ("<",))):
+        raise ValueError(f"a mark inside the turn at {at}")
+    return _unescape(head[1]), body if head[2] == "0" else _unescape(body), stop + len(END), (head.end(), stop)
 
 
 def render_turn(role: str, text: str) -> tuple[str, int]:
     """The turn's text and the level of escapes it needed."""
     for level, body in enumerate((text, _escape(text, "<"))):
-        out = f'<turn role="{_escape(role, chr(34))}" esc="{level}">{body}{END}'
+        out = f'<turn role="{_escape(role, '<"')}" esc="{level}">{body}{END}'
         try:
             if parse_turn(out)[:3] == (role, text, len(out)):
                 return out, level
         except ValueError:
             pass
-    raise ValueError("the grammar does not round-trip")  # cannot happen: level 1 holds no mark
+    raise ValueError("the grammar does not round-trip")  # cannot happen: level 1 holds no <
 
 
 def parse(text: str) -> list[tuple[str, str]]:

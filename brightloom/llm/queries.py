@@ -69,8 +69,10 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 
 def _chat_sql() -> str:
     extra = EXTRA_CONVERSATION.replace("'", "''")
-    # level 0 unless the text holds the end mark; at level 1 backslashes and < take one more
-    body = "CASE WHEN contains(text || '</turn>' || chr(10), '</turn>' || chr(10)) AND strpos(text || '</turn>' || chr(10), '</turn>' || chr(10)) <= length(text) THEN length(text) + length(text) - length(replace(replace(text, '\\', ''), '<', '')) ELSE length(text) END"
+    # a text that holds a mark is escaped as a whole: each backslash and < takes one more
+    more = "length({0}) - length(replace(replace({0}, '\\', ''), '<', ''))"
+    body = f"length(text) + CASE WHEN contains(text, '<turn') OR contains(text, '</turn') THEN {more.format('text')} ELSE 0 END"
+    name = f"length(role) + {more.format('role')} + length(role) - length(replace(role, '\"', ''))"
     return f"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -80,7 +82,7 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
   sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn)) AS loss_sha256,
-  CAST(sum(length(role) + 30 + {body}) AS BIGINT) AS formatted_chars
+  CAST(sum(30 + {name} + {body}) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id
 """
 

@@ -37,6 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from brightloom.llm.columns import row_hash, spare
 from brightloom.llm.words import ROWS, mix, multipliers, release, shingle_sets, text_column
 from brightloom.session import cut, stage
 
@@ -383,15 +384,22 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
-    """The documents that stay, one row per component, all columns as they came. Rows
-    without any word have no component and all stay."""
+    """The documents that stay, one row per component, all columns as they came: the one of
+    least doc_id, of equal ones that of least hash. Rows without any word have no component
+    and all stay."""
     found = near_duplicates(docs, scheme)
-    pick = found.filter("component is not null").groupBy("component").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("pick")
-    ).select(F.col("pick.doc_id").alias("_id"), F.col("pick.text_hash").alias("_hash"))
-    empty = found.filter("component is null").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
-    same = hashed.doc_id.cast("long").eqNullSafe(F.col("_id")) & (hashed["_text_hash"] == F.col("_hash"))
-    blank = hashed.join(empty.distinct(), same, "left_semi").drop("_text_hash")
-    stays = hashed.join(pick, same, "left_semi").dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
-    return stays.unionByName(blank)
+    own_id, own_hash, text_hash, rows = spare(docs, "_id", "_hash", "_text_hash", "_row_hash")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    pick = found.filter("component is not null").groupBy("component").agg(least.alias("pick")).select(
+        F.col("pick.doc_id").alias(own_id), F.col("pick.text_hash").alias(own_hash))
+    empty = found.filter("component is null").select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash))
+    hashed = docs.withColumns({text_hash: F.xxhash64("text"), rows: row_hash(docs)})
+    same = hashed.doc_id.cast("long").eqNullSafe(F.col(own_id)) & (hashed[text_hash] == F.col(own_hash))
+    blank = hashed.join(empty.distinct(), same, "left_semi")
+    # of rows with the same doc_id and text one stays, told by the hash of all columns
+    picked = hashed.join(pick, same, "left_semi")
+    first = picked.groupBy("doc_id", text_hash).agg(F.min(rows).alias(own_hash)).select(F.col("doc_id").alias(own_id), own_hash)
+    alike = picked.doc_id.eqNullSafe(first[own_id]) & (picked[rows] == first[own_hash])
+    stays = picked.join(first, alike, "left_semi").dropDuplicates(["doc_id", text_hash])
+    columns = [f"`{c}`" for c in docs.columns]
+    return stays.select(*columns).unionByName(blank.select(*columns))

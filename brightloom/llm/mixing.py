@@ -29,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brightloom.llm.columns import row_hash, spare
 from brightloom.operators.ordering import row_numbers
 from brightloom.session import stage
 
@@ -105,7 +106,7 @@ def mix(sizes: DataFrame, most: float = 3.0, weights: tuple[int, ...] = WEIGHTS,
     joined = placed.join(aims, placed.source.eqNullSafe(aims.source)).select(placed["*"], "source_size", "docs", "target")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     joined = joined.withColumn("rate", rate).withColumn("whole", F.floor("rate").cast("long"))
-    mass = F.round((F.col("rate") - F.col("whole")) * UNIT).cast("long")
+    mass = F.floor((F.col("rate") - F.col("whole")) * UNIT).cast("long")
     joined = joined.withColumn("mass", mass).withColumn(
         "copies", F.col("whole") + pivotal(F.col("place") - 1, F.col("docs"), F.col("mass"), F.col("source"), seed)
     )
@@ -117,16 +118,16 @@ def mix(sizes: DataFrame, most: float = 3.0, weights: tuple[int, ...] = WEIGHTS,
 def sized(docs: DataFrame) -> DataFrame:
     """(doc_id, row_hash, source, size); equal rows have equal hashes."""
     return docs.select(
-        F.col("doc_id").cast("long"), F.xxhash64(*[docs[f"`{c}`"] for c in docs.columns]).alias("row_hash"), "source",
+        F.col("doc_id").cast("long"), row_hash(docs).alias("row_hash"), "source",
         word_count(F.col("text")).alias("size"),
     )
 
 
 def take(docs: DataFrame, most: float = 3.0, weights: tuple[int, ...] = WEIGHTS, seed: int = 9) -> DataFrame:
     """The mixed documents: each as often as its copies say, columns as they came."""
-    taken = mix(sized(docs), most, weights, seed).groupBy("doc_id", "row_hash").agg(F.sum("copies").cast("int").alias("_copies"))
-    taken = taken.filter("_copies > 0").select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_row"), "_copies")
-    hashed = docs.withColumn("_hash", F.xxhash64(*[docs[f"`{c}`"] for c in docs.columns]))
-    one = hashed.dropDuplicates(["doc_id", "_hash"])
-    met = one.join(taken, one.doc_id.cast("long").eqNullSafe(taken["_id"]) & (one["_hash"] == taken["_row"]))
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    taken = mix(sized(docs), most, weights, seed).groupBy("doc_id", "row_hash").agg(F.sum("copies").cast("int").alias("copies"))
+    own_id, own_hash, hashed, times, copy = spare(docs, "_id", "_row", "_hash", "_copies", "_copy")
+    taken = taken.filter("copies > 0").select(F.col("doc_id").alias(own_id), F.col("row_hash").alias(own_hash), F.col("copies").alias(times))
+    one = docs.withColumn(hashed, row_hash(docs)).dropDuplicates(["doc_id", hashed])
+    met = one.join(taken, one.doc_id.cast("long").eqNullSafe(taken[own_id]) & (one[hashed] == taken[own_hash]))
+    return met.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*[f"`{c}`" for c in docs.columns])

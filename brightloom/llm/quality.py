@@ -10,8 +10,8 @@ these held out from training. Scoring runs in Arrow batches over whole texts; a
 kept when its probability reaches ``THRESHOLD``.
 
 Nulls and odd input: a null text has no words and fails the rules, as an empty one does.
-Labels that are null, or whose document is missing, are not trained on; without labels of
-both kinds every text that passes the rules is kept. Equal rows get equal verdicts. An empty
+Labels that are null, that call a document both good and bad, or whose document is missing,
+are not trained on; without labels of both kinds every text that passes the rules is kept. Equal rows get equal verdicts. An empty
 table gives an empty result. Columns besides ``doc_id`` and ``text`` pass through unread.
 """
 

@@ -15,6 +15,8 @@ passes whole texts to any other tokenizer.
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,6 +26,9 @@ import pyarrow.compute as pc
 WORDS = 400_000
 #: Words with more bytes of ids are not remembered.
 WORD_BYTES = 120
+#: Stands between words that are encoded together, and how many are.
+BETWEEN = "|"
+JOINED = 256
 #: Texts encoded together.
 ROWS = 2048
 
@@ -41,6 +46,8 @@ class Encoder:
 
         self.model = Tokenizer.from_file(path)
         self.by_word = by_word
+        alone = self.model.encode(BETWEEN, add_special_tokens=False).ids
+        self.between = alone[0] if len(alone) == 1 else None
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -51,7 +58,26 @@ class Encoder:
         return _LOADED[path, by_word]
 
     def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, np.uint32).tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of single words: many in one call, with a word of one id between them that none
+        of them holds. Where that word comes out another number of times, one by one."""
+        out: list[bytes | None] = [None] * len(words)
+        calm = [i for i, w in enumerate(words) if BETWEEN not in w] if self.between is not None else []
+        groups = [calm[at : at + JOINED] for at in range(0, len(calm), JOINED)]
+        coded = self.model.encode_batch_fast([f" {BETWEEN} ".join([words[i] for i in g]) for g in groups], add_special_tokens=False)
+        for group, encoding in zip(groups, coded):
+            ids = np.array(encoding.ids, np.uint32)
+            cuts = np.flatnonzero(ids == self.between)
+            if len(cuts) == len(group) - 1:
+                raw = ids.tobytes()
+                for i, a, b in zip(group, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
+                    out[i] = raw[4 * a : 4 * b]
+        left = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(left, self._plain([words[i] for i in left])):
+            out[i] = x
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids and, per text, where its ids begin (one more entry for the end)."""
@@ -71,7 +97,7 @@ class Encoder:
                 parts[i] = self.young[distinct[i]] = x
             else:
                 missing.append(i)
-        for i, x in zip(missing, self._plain([distinct[i] for i in missing])):
+        for i, x in zip(missing, self._words([distinct[i] for i in missing])):
             parts[i] = x
             if len(x) <= WORD_BYTES:
                 self.young[distinct[i]] = x

@@ -182,3 +182,94 @@ def test_pipeline_stages_keep_the_columns(spark, tmp_path):
         now = stage(spark, now, str(tmp_path))
         assert now.columns == docs.columns
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+
+
+def _shingles(text, width):
+    w = brute.words(text.translate({c: c + 32 for c in range(65, 91)}))
+    return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set())
+
+
+def _one_of_each_group(docs, width=5, percent=80):
+    """Plain near-dedup of (doc_id, text): the ids that stay."""
+    sets = {i: _shingles(t or "", width) for i, t in docs}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for x, a in enumerate(ids):
+        for b in ids[x + 1 :]:
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    return {i for i in ids if find(i) == i}
+
+
+def test_pipeline_beside_a_plain_version(spark, tmp_path):
+    """Both labels, copies, near copies, several sources, and columns named like helpers."""
+    import random
+
+    import corpus_pipeline
+    from brightloom.llm.queries import vocabulary
+    from tokenizers import Tokenizer
+
+    draw = random.Random(11)
+    good = ["".join(draw.choices("aeioulmnrst", k=draw.randint(2, 8))) for _ in range(300)]
+    junk = ["".join(draw.choices("qxzjkv0123", k=draw.randint(2, 8))) for _ in range(300)]
+    texts = [" ".join(draw.choices(good if i % 3 else junk, k=draw.randint(60, 240))) for i in range(150)]
+    texts += [texts[1]] * 3 + [texts[4] + " tail", texts[5].upper()]  # exact and near copies
+    texts += ["too short", "", None, "again and " * 60]  # the rules reject these
+    texts += [" ".join(draw.choices(good, k=3000))]  # more than one sequence
+    names = ["_id", "_hash", "_row", "_copies", "_copy", "_text_hash", "_row_hash", "component", "cid", "kept", "size", "place", "mass", "copies", "piece", "item"]
+    rows = [(i, t, "en", f"s{i % 3}", len(t or ""), *[f"{n}{i}" for n in names]) for i, t in enumerate(texts)]
+    schema = DOCS + ", " + ", ".join(f"{n} string" for n in names)
+    spark.createDataFrame(rows, schema).repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(120)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    docs, by_stage = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    labels = spark.read.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        columns, docs = docs.columns, spark.read.parquet(f"{tmp_path}/{name}")
+        if name != "pack":
+            assert docs.columns == columns
+        by_stage[name] = [tuple(r) for r in docs.collect()]
+
+    # the rules alone reject the last odd ones; the classifier tells junk from good
+    verdict = {r.doc_id: r for r in quality.scored(spark.read.parquet(f"{tmp_path}/documents.parquet"), labels).collect()}
+    want = [r for r in rows if verdict[r[0]].kept]
+    assert sorted(by_stage["quality"]) == sorted(want)
+    assert not {155, 156, 157, 158} & {r[0] for r in want}
+    told = [(i % 3 > 0) == verdict[i].kept for i in range(120, 150)]
+    assert sum(told) >= 27
+    # one of each group stays, as it came
+    stays = _one_of_each_group([r[:2] for r in want])
+    assert sorted(by_stage["near_duplicates"]) == sorted(r for r in want if r[0] in stays)
+    assert 1 in stays and not {150, 151, 152} & stays
+    # each document as often as the mix says, near the targets
+    before = spark.createDataFrame(by_stage["near_duplicates"], schema)
+    mixed = mixing.mix(mixing.sized(before)).collect()
+    times = Counter(r[0] for r in by_stage["mix"])
+    assert times == Counter({r.doc_id: r.copies for r in mixed if r.copies}) and set(by_stage["mix"]) <= set(by_stage["near_duplicates"])
+    for source in {r.source for r in mixed}:
+        own = [r for r in mixed if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 2 * max(r.size for r in own)
+    # every id of every copy lies in one piece, and sequences have no gaps
+    model = Tokenizer.from_file(vocabulary())
+    coded = {i: [*model.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+    packed, seen = by_stage["pack"], Counter()
+    for doc, start, length, crc, total, *_ in packed:
+        assert total == len(coded[doc]) and crc == zlib.crc32(np.array(coded[doc][start : start + length], "<u4").tobytes())
+        seen[doc] += length
+    assert seen == Counter({i: n * len(coded[i]) for i, n in times.items()})
+    held = {}
+    for *_, length, _, _, sequence, offset in packed:
+        held.setdefault(sequence, []).append((offset, length))
+    for parts in held.values():
+        ends = np.cumsum([0, *[n for _, n in sorted(parts)]])
+        assert [o for o, _ in sorted(parts)] == ends[:-1].tolist() and ends[-1] <= 2048
+    # and run() is these stages
+    got = Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    assert got == Counter(tuple(r[:5]) for r in packed)

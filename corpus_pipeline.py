@@ -43,7 +43,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("quality", quality_rules), ("near_duplicates", near_duplicates), ("mix", source_mix), ("pack", packed),
 ]
 
-#: SQL has neither the classifier nor the tokenizer; the stages together are not compared with brute force yet.
+#: SQL has neither the classifier nor the tokenizer; tests compare the stages with a plain version.
 ORACLE_SQL: str | None = None
 
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brightloom.functions.common import rounded
 from brightloom.operators import marts as m
 from brightloom.operators import retrieval as r
+from brightloom.operators import vector_index
 from brightloom.plans.registry import Tables, query
-from brightloom.session import cut
+from brightloom.session import cut, shared_dir
 
 
 def month_text(df: DataFrame, *cols: str) -> DataFrame:
@@ -271,3 +274,27 @@ def _(t):
     labels = t.embeddings.select(F.col("vec_id").alias("passage_id"), F.col("label").alias("passage_label"))
     queries = t.embeddings.select(F.col("label").cast("long").alias("query_id"), F.col("label").alias("query_label")).distinct()
     return rounded(r.hit_rate(top(t), queries, labels))
+
+
+NEIGHBOURS = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings),
+hit AS (SELECT q.vec_id AS query_id, p.vec_id AS passage_id, round(list_cosine_similarity(q.x, p.x), 6) AS cosine, CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.x, p.x), 12) DESC, p.vec_id) AS INTEGER) AS position
+  FROM v q JOIN v p ON q.vec_id <> p.vec_id WHERE q.vec_id % 50 = 0 QUALIFY position <= 5)"""
+
+
+def neighbours(t: Tables) -> DataFrame:
+    """Five nearest other passages of every fiftieth one, through the index."""
+    index = vector_index.build(t.embeddings, "vec_id", "embedding", f"{shared_dir(t.spark)}/vectors-{uuid.uuid4().hex}")
+    asked = t.embeddings.filter("vec_id % 50 = 0")
+    probes = vector_index.choose_probes(index, asked, "vec_id", "embedding", 5, 0.93, others=True)
+    return vector_index.search(index, asked, "vec_id", "embedding", 5, probes, others=True)
+
+
+@query("rag_index_topk", f"{NEIGHBOURS} SELECT query_id, passage_id, cosine, position FROM hit")
+def _(t):
+    return rounded(neighbours(t).drop("probed"))
+
+
+@query("rag_index_recall", f"{NEIGHBOURS} SELECT count(DISTINCT query_id) AS queries, count(*) AS hits, true AS recall_reached FROM hit")
+def _(t):
+    """What the lists read first find of the true hits: 0.9 at least."""
+    return neighbours(t).agg(F.countDistinct("query_id").alias("queries"), F.count(F.lit(1)).alias("hits"), (F.avg(F.col("probed").cast("int")) >= 0.9).alias("recall_reached"))

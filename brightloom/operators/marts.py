@@ -80,6 +80,46 @@ def attribute_history(changes: DataFrame, entity: str, ts: str, value: str, tie:
     return changed.withColumn("valid_to", F.lead("valid_from").over(w)).withColumn("is_current", F.col("valid_to").isNull())
 
 
+def _day_changes(changes: DataFrame, entity: str, ts: str, value: str, tie: str) -> DataFrame:
+    """(entity, day, at, tie, value): what counts of each day, its last change."""
+    last = F.max_by(F.struct(F.col(ts).alias("at"), F.col(tie).alias("tie"), F.col(value).alias("value")), F.struct(ts, tie))
+    return changes.groupBy(entity, F.to_date(ts).alias("day")).agg(last.alias("c")).select(entity, "day", "c.at", "c.tie", "c.value")
+
+
+def _ranges(days: DataFrame, entity: str, value: str) -> DataFrame:
+    """Validity ranges of day changes; ``seen`` keeps the days that each range was built from,
+    one entry a day, so that a late change can split it at the right place."""
+    w = Window.partitionBy(entity).orderBy("day")
+    first = F.lag("day").over(w).isNull()
+    new = first | ~F.lag("value").over(w).eqNullSafe(F.col("value"))
+    runs = days.withColumn("run", F.sum(new.cast("int")).over(w))
+    ranges = runs.groupBy(entity, "run").agg(
+        F.min("day").alias("valid_from"), F.min_by("value", "day").alias(value), F.array_sort(F.collect_list(F.struct("day", "at", "tie"))).alias("seen"))
+    after = F.lead("valid_from").over(Window.partitionBy(entity).orderBy("run"))
+    return ranges.withColumn("valid_to", after).select(entity, value, "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current"), "seen")
+
+
+def open_history(changes: DataFrame, entity: str, ts: str, value: str, tie: str) -> DataFrame:
+    """The history that ``merge_history`` keeps up to date: the ranges of
+    ``attribute_history`` and, in ``seen``, the days behind each."""
+    return _ranges(_day_changes(changes, entity, ts, value, tie), entity, value)
+
+
+def merge_history(history: DataFrame, changes: DataFrame, entity: str, ts: str, value: str, tie: str) -> DataFrame:
+    """A batch of changes, late and current ones, brought into a history: ranges are closed,
+    split, joined and opened as if all changes had come at once, in whatever order the batches
+    come and however often. Only entities of the batch are worked on, the others pass through;
+    rows without an entity are one entity."""
+    batch = _day_changes(changes, entity, ts, value, tie)
+    touched = batch.select(F.col(entity).alias("_touched")).distinct()
+    same = history[entity].eqNullSafe(touched["_touched"])
+    known = history.join(touched, same, "left_semi").select(entity, F.col(value).alias("value"), F.explode("seen").alias("s"))
+    both = known.select(entity, "s.day", "s.at", "s.tie", "value").unionByName(batch)
+    last = F.max_by(F.struct("at", "tie", "value"), F.struct("at", "tie"))
+    days = both.groupBy(entity, "day").agg(last.alias("c")).select(entity, "day", "c.at", "c.tie", "c.value")
+    return history.join(touched, same, "left_anti").unionByName(_ranges(days, entity, value))
+
+
 # Subscriptions -------------------------------------------------------------------
 
 

@@ -1,17 +1,21 @@
 """Incremental, repeatable load of sales batches into snapshot tables.
 
-Every load writes the next version of each table beside the current one, checks it, and
-only then writes the state row that makes it current. A load that dies half way leaves
-the current version as it was.
+Every load writes the next version of each dimension beside the current one, and of the fact
+only the months that its batch touches, each to a folder of its own; it checks them, and only
+then writes the state row that names these folders and makes them current. A load that dies
+half way leaves the current version as it was, and nothing that a state row names is ever
+written again.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from brightloom.functions.sales import PRODUCT_RULES
 from brightloom.operators import quality, sales, upsert
@@ -21,18 +25,25 @@ NOT_NULL = ["invoice_no", "stock_code", "description", "invoice_ts", "quantity",
 TABLES = ["dim_date", "dim_store", "dim_product", "fact_sales"]
 
 
+STATE = "version long, last_invoice_ts timestamp_ntz, folder string, fact_schema string, fact_parts map<string,string>"
+
+
+def _newest(spark: SparkSession, base: str):
+    return upsert.newest(spark, f"{base}/state/*", STATE)
+
+
 def current_state(spark: SparkSession, base: str):
     """(version, last_invoice_ts) of the newest complete load, or (0, None)."""
-    try:
-        rows = spark.read.parquet(f"{base}/state").agg(F.max_by(F.struct("version", "last_invoice_ts"), "version").alias("s"))
-    except AnalysisException:
-        return 0, None
-    s = rows.first()["s"]
-    return s["version"], s["last_invoice_ts"]
+    s = _newest(spark, base)
+    return (s["version"], s["last_invoice_ts"]) if s else (0, None)
 
 
 def table(spark: SparkSession, base: str, name: str, version: int) -> DataFrame:
-    return spark.read.parquet(f"{base}/{name}/v{version}")
+    """A table as it was after a load."""
+    found = spark.read.schema(STATE).parquet(f"{base}/state/v={version}").first()
+    if name == "fact_sales":
+        return upsert.read_partitions(spark, found["fact_parts"], StructType.fromJson(json.loads(found["fact_schema"])))
+    return spark.read.parquet(f"{found['folder']}/{name}")
 
 
 def load_batch(raw: DataFrame, base: str, rules: Sequence = PRODUCT_RULES) -> int:
@@ -43,7 +54,8 @@ def load_batch(raw: DataFrame, base: str, rules: Sequence = PRODUCT_RULES) -> in
     quality.require_columns(raw, [*NOT_NULL, "customer_id", "country"])
     quality.raise_on(quality.null_counts(raw, NOT_NULL).filter("null_count > 0"), "null checks")
 
-    version, mark = current_state(spark, base)
+    now = _newest(spark, base)
+    version, mark = (now["version"], now["last_invoice_ts"]) if now else (0, None)
     # Lines are numbered before the watermark filter: a line keeps its number in every run.
     numbered = sales.number_lines(stage(sales.clean_sales(raw)))
     batch = stage(sales.after_watermark(numbered, "invoice_ts", mark))
@@ -60,31 +72,34 @@ def load_batch(raw: DataFrame, base: str, rules: Sequence = PRODUCT_RULES) -> in
         "products": ("stock_code", star["dim_product"], "stock_code")}).filter("missing_keys > 0"), "missing members")
 
     if version:
-        old = {n: table(spark, base, n, version) for n in TABLES}
+        old = {n: spark.read.parquet(f"{now['folder']}/{n}") for n in TABLES[:3]}
         dates = upsert.insert_absent(old["dim_date"], star["dim_date"], ["date_key"])
         stores = upsert.upsert_members(old["dim_store"], star["dim_store"], "country", "store_key")
         products = upsert.upsert_members(old["dim_product"], star["dim_product"], "stock_code", "product_key")
     else:
-        old = None
         dates = star["dim_date"]
         stores = sales.surrogate_keys(star["dim_store"], "country", "store_key")
         products = sales.surrogate_keys(star["dim_product"], "stock_code", "product_key")
-    new = version + 1
-    for name, df in (("dim_date", dates), ("dim_store", stores), ("dim_product", products)):
-        df.write.mode("overwrite").parquet(f"{base}/{name}/v{new}")
-    fact = sales.resolve_fact(lines, table(spark, base, "dim_store", new), table(spark, base, "dim_product", new)).withColumn(
-        "source_updated_at", F.current_timestamp())
-    merged = fact if old is None else upsert.upsert_rows(old["fact_sales"], fact, ["invoice_no", "line_no"])
-    merged.write.mode("overwrite").parquet(f"{base}/fact_sales/v{new}")
-
-    loaded = {n: table(spark, base, n, new) for n in TABLES}
+    new, folder = version + 1, f"{base}/{uuid.uuid4().hex}"
+    dims = {"dim_date": dates, "dim_store": stores, "dim_product": products}
+    for name, df in dims.items():
+        df.write.parquet(f"{folder}/{name}")
+    dims = {name: spark.read.parquet(f"{folder}/{name}") for name in dims}
+    fact = sales.resolve_fact(lines, dims["dim_store"], dims["dim_product"]).withColumn("source_updated_at", F.current_timestamp())
+    # a line's date never changes, so its month hangs on its key
+    fact = fact.withColumn("month", (F.col("date_key") / 100).cast("int"))
+    keys = ["invoice_no", "line_no"]
+    parts = upsert.merge_partitions(now["fact_parts"] if now else {}, fact, keys, "month", f"{folder}/fact_sales")
+    schema = StructType.fromJson(json.loads(now["fact_schema"])) if now else fact.schema
+
     suite = quality.warehouse_suite(
-        loaded["fact_sales"],
-        {"dates": ("date_key", loaded["dim_date"], "date_key"), "stores": ("store_key", loaded["dim_store"], "store_key"),
-         "products": ("product_key", loaded["dim_product"], "product_key")},
-        ["invoice_no", "line_no"], ["quantity", "unit_price", "sales_amount"])
+        upsert.read_partitions(spark, parts, schema),
+        {"dates": ("date_key", dims["dim_date"], "date_key"), "stores": ("store_key", dims["dim_store"], "store_key"),
+         "products": ("product_key", dims["dim_product"], "product_key")},
+        keys, ["quantity", "unit_price", "sales_amount"])
     quality.raise_on(suite.filter("NOT ok"), "warehouse quality")
     state = spark.createDataFrame([(new, mark)], "version long, last_invoice_ts timestamp_ntz")
-    fresh = sales.next_watermark(batch, state, "invoice_ts").withColumn("version", F.lit(new).cast("long"))
-    fresh.write.mode("append").parquet(f"{base}/state")
+    last = sales.next_watermark(batch, state, "invoice_ts").first()["last_invoice_ts"]
+    row = spark.createDataFrame([(new, last, folder, schema.json(), parts)], STATE)
+    row.coalesce(1).write.mode("errorifexists").parquet(f"{base}/state/v={new}")
     return new

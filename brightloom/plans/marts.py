@@ -13,6 +13,7 @@ from brightloom.operators import retrieval as r
 from brightloom.operators import vector_index
 from brightloom.plans.registry import Tables, query
 from brightloom.session import cut, shared_dir
+from brightloom.session import stage as frozen
 
 
 def month_text(df: DataFrame, *cols: str) -> DataFrame:
@@ -76,13 +77,28 @@ def _(t):
         "events have suppliers": m.relationship_violations(t.events, "user_id", t.supplier, "s_suppkey")})
 
 
-@query("mart_scd2", """WITH d AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS valid_from, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS o_orderpriority FROM orders GROUP BY 1, 2),
+SCD2 = """WITH d AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS valid_from, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS o_orderpriority FROM orders GROUP BY 1, 2),
 c AS (SELECT *, lag(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS p FROM d)
-SELECT o_custkey, o_orderpriority, valid_from, lead(valid_from) OVER w AS valid_to, lead(valid_from) OVER w IS NULL AS is_current FROM c WHERE p IS NULL OR p <> o_orderpriority WINDOW w AS (PARTITION BY o_custkey ORDER BY valid_from)""", days=["valid_from", "valid_to"])
+SELECT o_custkey, o_orderpriority, valid_from, lead(valid_from) OVER w AS valid_to, lead(valid_from) OVER w IS NULL AS is_current FROM c WHERE p IS NULL OR p <> o_orderpriority WINDOW w AS (PARTITION BY o_custkey ORDER BY valid_from)"""
+
+
+@query("mart_scd2", SCD2, days=["valid_from", "valid_to"])
 def _(t):
     return m.attribute_history(t.orders, "o_custkey", "o_orderdate", "o_orderpriority", "o_orderkey")
 
 
+@query("mart_scd2_merge", SCD2, days=["valid_from", "valid_to"])
+def _(t):
+    """The same history from four batches in no order of time, one of them twice."""
+    share = F.pmod(F.col("o_orderkey"), F.lit(4))
+    batches = [t.orders.filter(share == i) for i in (2, 0, 3, 1)]
+    names = ("o_custkey", "o_orderdate", "o_orderpriority", "o_orderkey")
+    history = frozen(m.open_history(batches[0], *names))
+    for batch in (*batches[1:], batches[1]):
+        history = frozen(m.merge_history(history, batch, *names))
+    return history.drop("seen")
+
+
 @query("mart_monthly_revenue", """WITH f AS (SELECT o_custkey, date_trunc('month', min(o_orderdate)) AS f FROM orders GROUP BY 1)
 SELECT CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS month, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(20,2)) AS revenue, count(DISTINCT o_custkey) AS active_customers,
   count(DISTINCT o_custkey) FILTER (WHERE f = date_trunc('month', o_orderdate)) AS new_customers FROM orders JOIN f USING (o_custkey) GROUP BY 1""", money=["revenue"])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from brightloom.operators import sales, upsert
 from brightloom.plans.registry import Tables, query
 from brightloom.session import cut, stage
+from brightloom.sources.files import scratch
 
 # Category words that occur in the given part names.
 PART_RULES = [
@@ -279,11 +280,12 @@ batch AS (SELECT invoice_no, line_no, quantity, CAST(sales_amount * 2 AS DECIMAL
 SELECT * FROM batch UNION ALL
 SELECT * FROM loaded ANTI JOIN batch USING (invoice_no, line_no)""", money=["sales_amount"])
 def _(t):
-    lines = staged(t).select("invoice_no", "line_no", "invoice_ts", "quantity", "sales_amount")
+    lines = staged(t).select("invoice_no", "line_no", "quantity", "sales_amount", "invoice_ts")
+    lines = lines.withColumn("month", F.date_format("invoice_ts", "yyyyMM"))
     loaded = lines.filter(F.col("invoice_ts") < F.lit(CUT_DAY).cast("timestamp_ntz"))
     batch = lines.filter(F.col("invoice_ts") >= F.lit(OVERLAP_DAY).cast("timestamp_ntz")).withColumn(
         "sales_amount", (F.col("sales_amount") * 2).cast("decimal(14,4)"))
-    return upsert.upsert_rows(
-        loaded.drop("invoice_ts"), batch.drop("invoice_ts"), ["invoice_no", "line_no"],
-        stamp=F.current_timestamp(),
-    ).drop("source_updated_at")
+    fact = upsert.PartitionedTable(t.spark, scratch(t.spark, "fact"), ["invoice_no", "line_no"], "month")
+    fact.upsert(loaded)
+    fact.upsert(batch)
+    return fact.read().select("invoice_no", "line_no", "quantity", "sales_amount")

@@ -1,3 +1,4 @@
+import itertools
 from datetime import date, datetime
 from decimal import Decimal as D
 
@@ -110,3 +111,27 @@ def test_missing_month_has_no_change(spark):
     df = spark.createDataFrame([("c", "2024-01-01", 1.0), ("c", "2024-02-01", 3.0), ("c", "2024-04-01", 9.0)], "k string, month string, s double")
     df = df.withColumn("month", F.to_date("month"))
     assert [r.change for r in m.month_over_month(df, "k", "s").orderBy("month").collect()] == [None, 2.0, None]
+
+
+def test_history_from_batches_in_any_order(frame):
+    schema, d = "e string, ts timestamp_ntz, v string, k int", datetime
+    rows_ = [("a", d(2020, 1, 1, 9), "x", 1), ("a", d(2020, 1, 3), "x", 2), ("a", d(2020, 1, 5), "y", 3), ("a", d(2020, 1, 2), "z", 4), ("a", d(2020, 1, 1, 10), "w", 5),
+             ("a", d(2020, 1, 9), None, 6), ("b", d(2020, 1, 1), "x", 7), (None, d(2020, 1, 1), "x", 8), (None, d(2020, 1, 4), "y", 9), ("a", d(2020, 1, 3), "u", 0)]
+    names, cols = ("e", "ts", "v", "k"), ["e", "v", "valid_from", "valid_to", "is_current"]
+    want = sorted(map(tuple, m.attribute_history(frame(rows_, schema), *names).select(*cols).collect()), key=repr)
+    for order in itertools.islice(itertools.permutations([rows_[:3], rows_[3:6], rows_[6:]]), 0, 6, 2):
+        history = m.open_history(frame(order[0], schema), *names)
+        for batch in (*order[1:], order[0]):
+            history = m.merge_history(history, frame(batch, schema), *names)
+        assert sorted(map(tuple, history.select(*cols).collect()), key=repr) == want
+    same = m.merge_history(history, frame([], schema), *names)
+    assert sorted(map(tuple, same.select(*cols).collect()), key=repr) == want
+
+
+def test_late_change_splits_a_range(frame):
+    schema, d = "e string, ts timestamp_ntz, v string, k int", datetime
+    history = m.open_history(frame([("a", d(2020, 1, 1), "x", 1), ("a", d(2020, 1, 9), "x", 2)], schema), "e", "ts", "v", "k")
+    assert [(r.valid_from, r.valid_to) for r in history.collect()] == [(date(2020, 1, 1), None)]
+    split = m.merge_history(history, frame([("a", d(2020, 1, 4), "y", 3)], schema), "e", "ts", "v", "k")
+    got = [(r.v, r.valid_from.day, r.valid_to and r.valid_to.day, r.is_current) for r in split.orderBy("valid_from").collect()]
+    assert got == [("x", 1, 4, False), ("y", 4, 9, False), ("x", 9, None, True)]

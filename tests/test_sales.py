@@ -114,3 +114,43 @@ def test_loads_are_repeatable(raw, frame, spark, tmp_path):
     with pytest.raises(quality.QualityError, match="missing columns"):
         sl.load_batch(good.drop("country"), base)
     assert sl.current_state(spark, base)[0] == 2
+
+
+def test_partitioned_upsert_touches_what_changed(frame, spark, tmp_path):
+    schema = "invoice string, line int, month string, q int"
+    table = upsert.PartitionedTable(spark, f"{tmp_path}/t", ["invoice", "line"], "month")
+    first = frame([("1", 1, "200001", 5), ("1", 2, "200001", 6), ("2", 1, "200002", 7), ("3", 1, "200003", 8), ("4", 1, None, 9)], schema)
+    assert table.upsert(first) == 1
+    before = table._state()["parts"]
+    batch = frame([("1", 2, "200001", 60), ("1", 3, "200001", 61), ("1", 3, "200001", 62), ("5", 1, "200004", 1), ("4", 1, None, 90)], schema)
+    assert table.upsert(batch) == 2
+    want = [("1", 1, "200001", 5), ("1", 2, "200001", 60), ("1", 3, "200001", 62), ("2", 1, "200002", 7), ("3", 1, "200003", 8), ("4", 1, None, 90), ("5", 1, "200004", 1)]
+    assert rows(table.read(), "invoice", "line") == want
+    after = table._state()["parts"]
+    untouched = {k for k in before if before[k] == after[k]}
+    assert len(untouched) == 2 and len(after) == 5  # the second and third month stay where they are
+    # the same batch again gives the same table, an empty one changes nothing
+    assert table.upsert(batch) == 3 and rows(table.read(), "invoice", "line") == want
+    assert table.upsert(batch.filter("false")) == 3
+    with pytest.raises(ValueError):
+        table.upsert(batch.drop("q"))
+
+
+def test_partitioned_upsert_reads_touched_folders_only(frame, spark, tmp_path, monkeypatch):
+    schema = "k int, month int, v int"
+    table = upsert.PartitionedTable(spark, f"{tmp_path}/t", ["k"], "month")
+    table.upsert(frame([(i, i % 6, 0) for i in range(60)], schema))
+    seen = []
+    keep = type(spark.read).parquet
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, *p, **kw: seen.extend(p) or keep(self, *p, **kw))
+    table.upsert(frame([(2, 2, 1), (8, 2, 1), (61, 1, 1)], schema))
+    assert len([p for p in seen if "_part=" in p]) == 2
+    assert rows(table.read().groupBy("v").count(), "v") == [(0, 58), (1, 3)]
+
+
+def test_unreadable_state_is_no_first_load(spark, tmp_path):
+    assert upsert.newest(spark, f"{tmp_path}/none/*", upsert.STATE) is None
+    (tmp_path / "state" / "v=1").mkdir(parents=True)
+    (tmp_path / "state" / "v=1" / "part-0.parquet").write_bytes(b"broken")
+    with pytest.raises(Exception, match="Parquet"):
+        upsert.newest(spark, f"{tmp_path}/state/*", upsert.STATE)

@@ -8,9 +8,11 @@ from brightloom.operators import names, sales
 from brightloom.operators.quality import union_all
 from brightloom.plans.flood import FORECAST, forecast
 from brightloom.plans.indices import nation_years
-from brightloom.plans.registry import query
+from brightloom.plans.registry import Tables, query
 from brightloom.plans.retail import PART_RULES, SALES, staged
+from brightloom.session import stage as frozen
 from brightloom.sources import files, manifest
+from brightloom.streaming import batches
 from brightloom.streaming import events as ev
 
 
@@ -210,3 +212,41 @@ def _(t):
     ev.run_available(stream, out, f"{out}-checkpoint")
     ev.run_available(stream, out, f"{out}-checkpoint")  # a replay adds nothing
     return t.spark.read.parquet(out).select("event_id", "user_id", "event_type", "value")
+
+
+ARRIVALS = """e AS (SELECT *, epoch_us(ts) AS u FROM events), r AS (SELECT min(u) AS lo, max(u) AS hi FROM e),
+a AS (SELECT event_id, event_type, value, u, least(2, (3 * (u - lo)) // (hi - lo + 1)) + CASE WHEN event_id % 17 = 0 THEN 1 ELSE 0 END AS b FROM e, r),
+l AS (SELECT * FROM a UNION ALL SELECT event_id, event_type, value, u, b + 1 FROM a WHERE event_id % 13 = 0 AND b < 3),
+x AS (SELECT b, max(u) AS top FROM l GROUP BY b), w AS (SELECT y.b, (SELECT max(top) FROM x WHERE x.b < y.b) - 86400000000 AS mark FROM x y),
+j AS (SELECT l.*, coalesce(u < mark, false) AS late FROM l JOIN w USING (b)),
+k AS (SELECT *, NOT late AND row_number() OVER (PARTITION BY event_id, late ORDER BY b) > 1 AS again FROM j)"""
+
+
+def arrivals(t: Tables) -> batches.Sink:
+    """All events in four batches: thirds of the time span, some rows one batch later, some
+    in two batches; then the third batch comes once more."""
+    events = t.events.withColumn("ts", F.col("ts").cast("timestamp"))
+    micros = F.unix_micros("ts")
+    lo, hi = events.agg(F.min(micros)).scalar(), events.agg(F.max(micros)).scalar()
+    third = F.least(F.lit(2), F.floor((micros - lo) * 3 / (hi - lo + 1)))
+    own = events.withColumn("b", (third + F.when(F.col("event_id") % 17 == 0, 1).otherwise(0)).cast("int"))
+    landed = frozen(own.unionByName(own.filter("event_id % 13 = 0 AND b < 3").withColumn("b", F.col("b") + 1)))
+    folder = files.scratch(t.spark, "arrivals")
+    sink = batches.Sink(f"{folder}/out", events.schema, "event_id", "ts", "1 day")
+    for b in range(4):
+        landed.filter(F.col("b") == b).drop("b").write.mode("append").parquet(f"{folder}/in")
+        stream = t.spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+        sink.run(stream, f"{folder}/checkpoint")
+    sink.keep(landed.filter("b = 2").drop("b"), 2)
+    return sink
+
+
+@query("stream_batch_ledger", f"""WITH {ARRIVALS} SELECT CAST(b AS BIGINT) AS batch, count(*) AS n_rows, 0::BIGINT AS unplaced, count(*) FILTER (late) AS late,
+  count(*) FILTER (again) AS repeated, count(*) FILTER (NOT late AND NOT again) AS kept FROM k GROUP BY b""")
+def _(t):
+    return arrivals(t).ledger(t.spark).drop("latest")
+
+
+@query("stream_batch_target", f"WITH {ARRIVALS} SELECT event_id, event_type, value FROM k WHERE NOT late AND NOT again")
+def _(t):
+    return arrivals(t).target(t.spark).select("event_id", "event_type", "value")

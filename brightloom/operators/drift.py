@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brightloom.operators.ordering import quantiles
 from brightloom.operators.quality import union_all
+from brightloom.session import stage
 
 # Smallest share and the status limits.
 EPSILON = 1e-6
@@ -61,6 +62,38 @@ def shares(df: DataFrame, edges: dict[str, list[float]], categorical: Sequence[s
     return counts.join(totals, "feature").select("feature", "kind", "bucket", (F.col("n") / F.col("t")).alias("share"))
 
 
+PROFILE = "feature string, kind string, type string, edges array<double>, bucket string, share double"
+
+
+def save_profile(reference: DataFrame, numeric: Sequence[str], categorical: Sequence[str], path: str) -> None:
+    """Write what later batches are compared with, once, to a path that must not exist yet:
+    per feature its kind, type, edges, and the share of every bucket."""
+    kept = stage(reference.select(*numeric, *categorical))
+    edges = bin_edges(kept, numeric)
+    types = F.create_map(*[F.lit(x) for f in kept.schema for x in (f.name, f.dataType.simpleString())])
+    known = F.create_map(*[x for f, e in edges.items() for x in (F.lit(f), F.array(*[F.lit(v) for v in e]))]) if edges else F.lit(None).cast("map<string,array<double>>")
+    rows = shares(kept, edges, categorical).withColumns({"type": types[F.col("feature")], "edges": F.try_element_at(known, F.col("feature"))})
+    rows.select("feature", "kind", "type", "edges", "bucket", "share").write.mode("errorifexists").parquet(path)
+
+
+class Profile:
+    """A written profile: shares and edges of its features."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.shares = spark.read.schema(PROFILE).parquet(path)
+        found = self.shares.groupBy("feature", "kind").agg(F.first("edges").alias("edges")).collect()  # a row a feature
+        self.edges = {r["feature"]: list(r["edges"]) for r in found if r["kind"] == "numeric"}
+        self.categorical = [r["feature"] for r in found if r["kind"] == "categorical"]
+
+    def of(self, batch: DataFrame) -> DataFrame:
+        """The batch's shares of the profile's buckets, in one scan."""
+        return shares(batch, self.edges, self.categorical)
+
+    def compare(self, batch: DataFrame, expected: dict[str, str] | None = None) -> DataFrame:
+        """``psi`` of a batch; a column that is there but all null has drifted."""
+        return psi(self.shares.select("feature", "kind", "bucket", "share"), self.of(batch), expected, batch.columns)
+
+
 def psi(
     reference: DataFrame, current: DataFrame, expected: dict[str, str] | None = None, present: Sequence[str] = (),
 ) -> DataFrame:

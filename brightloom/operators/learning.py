@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import uuid
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 from statistics import fmean, pstdev
@@ -19,12 +20,12 @@ from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brightloom.operators.metrics import class_weight
 from brightloom.operators.ordering import quantiles
-from brightloom.session import cut
+from brightloom.session import cut, shared_dir
 
 #: Fits that run side by side.
 PARALLEL = 8
@@ -158,7 +159,8 @@ def probability(column: str = "probability") -> Column:
 def calibrate(validation: DataFrame, label: str, score: str, method: str = "sigmoid") -> Model:
     """Fit on validation scores; ``transform`` through ``apply_calibration``."""
     if method == "isotonic":
-        return IsotonicRegression(featuresCol=score, labelCol=label, predictionCol="calibrated").fit(validation)
+        fitted = IsotonicRegression(featuresCol=score, labelCol=label, predictionCol="calibrated").fit(validation)
+        return reloaded(fitted, validation.sparkSession)
     clipped = F.least(F.greatest(F.col(score), F.lit(1e-9)), F.lit(1 - 1e-9))
     logit = validation.withColumn("_z", F.log(clipped / (1 - clipped)))
     return Pipeline(stages=[
@@ -170,9 +172,10 @@ def calibrate(validation: DataFrame, label: str, score: str, method: str = "sigm
 def apply_calibration(model: Model, df: DataFrame, score: str) -> DataFrame:
     if not isinstance(model, PipelineModel):
         return model.transform(df)
+    fitted = model.stages[-1]  # two numbers, so the curve is an expression
     clipped = F.least(F.greatest(F.col(score), F.lit(1e-9)), F.lit(1 - 1e-9))
-    out = model.transform(df.withColumn("_z", F.log(clipped / (1 - clipped))))
-    return out.withColumn("calibrated", probability("_zp")).drop("_z", "_zv", "_zp", "_zr", "_zc")
+    z = F.log(clipped / (1 - clipped)) * float(fitted.coefficients[0]) + float(fitted.intercept)
+    return df.withColumn("calibrated", 1 / (1 + F.exp(-z)))
 
 
 def tree_importance(model, names: Sequence[str], spark, top_n: int = 5, lowering: Sequence[str] = ()) -> DataFrame:
@@ -190,9 +193,18 @@ def tree_importance(model, names: Sequence[str], spark, top_n: int = 5, lowering
 
 
 def fit_classifier(df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str], learner: str = "logistic_regression") -> tuple[PipelineModel, Model]:
-    enc = encoder(numeric, categorical).fit(df)
+    enc = reloaded(encoder(numeric, categorical).fit(df), df.sparkSession)
     ready = cut(with_class_weight(enc.transform(df), label).select("features", label, "weight"))
-    return enc, candidates(label)[learner].fit(ready)
+    return enc, reloaded(candidates(label)[learner].fit(ready), df.sparkSession)
+
+
+def reloaded(model: Model, spark: SparkSession) -> Model:
+    """The model saved to the shared folder and read again: it scores without anything that
+    fitting left in it (training summary, parent, their tables), which would travel with
+    every task."""
+    path = f"{shared_dir(spark)}/model-{uuid.uuid4().hex}"
+    model.write().save(path)
+    return type(model).load(path)
 
 
 def score_batch(df: DataFrame, enc: PipelineModel, model: Model) -> DataFrame:

@@ -188,5 +188,23 @@ def importance(df: DataFrame, coefficients: dict[str, float], top_n: int, entity
     return per.withColumn("position", F.row_number().over(w)).filter(F.col("position") <= top_n)
 
 
+def event_importance(df: DataFrame, flag: str, time: str, coefficients: dict[str, float], top_n: int = 10) -> DataFrame:
+    """What drove each event: (event_start, event_end, hours, feature, contribution,
+    direction, position). An event is a run of flagged hours; a feature's contribution is the
+    mean over the event of coefficient x (value - mean of all rows), the largest by size first.
+    One row per hour is ordered, so the calendar bounds the window."""
+    df = cut(df.select(time, flag, *coefficients))
+    means = df.agg(F.struct(*[F.avg(c).alias(c) for c in coefficients])).scalar()
+    hour = F.floor(F.unix_timestamp(F.col(time).cast("timestamp")) / 3600)
+    flagged = df.filter(F.col(flag) == 1).withColumn("_run", hour - F.row_number().over(Window.orderBy(time)))
+    span = flagged.groupBy("_run").agg(F.min(time).alias("event_start"), F.max(time).alias("event_end"), F.count(F.lit(1)).alias("hours"))
+    long = all_attributions(flagged.withColumn("_m", means), ["_run"], coefficients)
+    folded = long.groupBy("_run", "feature").agg(F.avg("attribution").alias("contribution"))
+    ranked = folded.withColumn("position", F.row_number().over(Window.partitionBy("_run").orderBy(F.abs("contribution").desc(), "feature")))
+    side = F.when(F.col("contribution") < 0, "down").otherwise("up")
+    return ranked.filter(F.col("position") <= top_n).join(span, "_run").select(
+        "event_start", "event_end", "hours", "feature", "contribution", side.alias("direction"), "position")
+
+
 def stack(parts: dict[str, DataFrame], name: str) -> DataFrame:
     return union_all([df.withColumn(name, F.lit(k)) for k, df in parts.items()])

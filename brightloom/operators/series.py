@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from brightloom.operators.quality import union_all
 from brightloom.session import cut
 
 
@@ -160,6 +161,23 @@ def time_split(df: DataFrame, ts: str, train_end: str, val_start: str, val_end:
         day.between(F.lit(val_start).cast("date"), F.lit(val_end).cast("date")))
 
 
+def known_by(df: DataFrame, ts: str, horizon: int) -> DataFrame:
+    """Rows whose label looks at hours that have all passed: those ``horizon`` hours before the
+    newest one and earlier. Later rows would be trained on labels cut off by the end."""
+    newest = df.agg(F.max(ts)).scalar()
+    return df.filter(F.col(ts) <= newest - F.make_dt_interval(hours=F.lit(horizon)))
+
+
+def training_frames(df: DataFrame, ts: str, labels: dict[int, str]) -> DataFrame:
+    """One row per horizon: the span that it is trained on, its rows and positives, and the
+    hour that is scored."""
+    newest = df.agg(F.max(ts)).scalar()
+    return union_all([
+        known_by(df, ts, h).agg(F.min(ts).alias("first_hour"), F.max(ts).alias("last_hour"), F.count(F.lit(1)).alias("n"), F.sum(F.col(c).cast("long")).alias("positives"))
+        .select(F.lit(h).alias("horizon"), "first_hour", "last_hour", "n", "positives", newest.alias("scored_hour"))
+        for h, c in labels.items()])
+
+
 def latest_row(df: DataFrame, entity: str, time: str) -> DataFrame:
     rest = [c for c in df.columns if c != entity]
     return df.groupBy(entity).agg(F.max_by(F.struct(*rest), F.col(time)).alias("_r")).select(entity, "_r.*")

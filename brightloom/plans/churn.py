@@ -10,6 +10,7 @@ from brightloom.functions.common import CHURN_BANDS, FLOOD_BANDS_REPORT, band, r
 from brightloom.operators import campaign, drift, metrics
 from brightloom.operators.ordering import quantiles
 from brightloom.plans.registry import Tables, query
+from brightloom.sources.files import scratch
 
 PROFILE = """
 agg AS (SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS spend, count(*) AS n, max(o_totalprice) AS top,
@@ -377,6 +378,14 @@ def _(t):
     return rounded(metrics.importance(engineered(scored(t)), COEFFICIENTS, 3, "Contract"))
 
 
+@query("ml_importance_overall", f"WITH {PROFILE}, {ENG_SQL}, long AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, abs({b!r} * ({c} - avg({c}) OVER ())) AS a FROM eng" for c, b in COEFFICIENTS.items())
+    + """), m AS (SELECT feature, avg(a) AS mean_abs FROM long GROUP BY ALL)
+SELECT feature, round(mean_abs, 6) AS mean_abs, CAST(row_number() OVER (ORDER BY m.mean_abs DESC, feature) AS INTEGER) AS position FROM m QUALIFY position <= 5""")
+def _(t):
+    return rounded(metrics.importance(engineered(scored(t)), COEFFICIENTS, 5))
+
+
 # Drift between order lines shipped before and after a day.
 DRIFT_DAY = "1999-01-01"
 NUMERIC = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -395,14 +404,14 @@ def _drift(t: Tables):
     df = t.lineitem.select(
         "l_quantity", (F.col("l_extendedprice") * F.when(late, 1.5).otherwise(1.0)).alias("l_extendedprice"), "l_discount", "l_returnflag",
         F.when(late & (F.col("l_tax") > 0.06), "AIR").otherwise(F.col("l_linestatus")).alias("shipped"), late.alias("cur"))
-    ref, cur = df.filter("NOT cur"), df.filter("cur")
-    edges = drift.bin_edges(ref, NUMERIC)
-    return drift.shares(ref, edges, CATEGORICAL), drift.shares(cur, edges, CATEGORICAL)
+    path = scratch(t.spark, "profile")
+    drift.save_profile(df.filter("NOT cur"), NUMERIC, CATEGORICAL, path)
+    return drift.Profile(t.spark, path), df.filter("cur")
 
 
 @query("drift_reference", f"WITH {DRIFT_ROWS} SELECT feature, kind, bucket, round(share, 9) AS share FROM sh WHERE NOT cur")
 def _(t):
-    return rounded(_drift(t)[0], 9)
+    return rounded(_drift(t)[0].shares.select("feature", "kind", "bucket", "share"), 9)
 
 
 PSI_SQL = f"""{DRIFT_ROWS}, j AS (SELECT feature, kind, greatest(coalesce(r.share, 0), 1e-6) AS e, greatest(coalesce(c.share, 0), 1e-6) AS a
@@ -414,16 +423,29 @@ rep AS (SELECT feature, kind, psi, CASE WHEN psi >= 0.25 THEN 'drift' WHEN psi >
 
 @query("drift_psi", f"WITH {PSI_SQL} SELECT * FROM rep")
 def _(t):
-    return drift.psi(*_drift(t), expected={"l_comment": "categorical"})
+    profile, batch = _drift(t)
+    return profile.compare(batch, expected={"l_comment": "categorical"})
 
 
 @query("drift_summary", f"""WITH {PSI_SQL} SELECT bool_or(status = 'drift') AS drift_detected, max(psi) AS max_psi,
   coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (WHERE status = 'drift'), '') AS drifted_features,
   coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (WHERE status = 'warning'), '') AS warning_features FROM rep""")
 def _(t):
-    return drift.summary(drift.psi(*_drift(t)))
+    profile, batch = _drift(t)
+    return drift.summary(profile.compare(batch))
 
 
 @query("drift_unseen", f"WITH {DRIFT_ROWS} SELECT feature, bucket AS category FROM sh WHERE cur AND kind = 'categorical' AND (feature, bucket) NOT IN (SELECT (feature, bucket) FROM sh WHERE NOT cur)")
 def _(t):
-    return drift.unseen(*_drift(t))
+    profile, batch = _drift(t)
+    return drift.unseen(profile.shares, profile.of(batch))
+
+
+# An all-null column of a batch has drifted, one that is not there is missing.
+@query("drift_null_column", f"""WITH {DRIFT_ROWS}, n AS (SELECT feature, kind, greatest(share, 1e-6) AS e FROM sh WHERE NOT cur AND feature = 'l_discount')
+SELECT feature, kind, round(sum((1e-6 - e) * ln(1e-6 / e)), 6) AS psi, 'drift' AS status FROM n GROUP BY ALL
+UNION ALL SELECT 'l_quantity', 'numeric', NULL, 'missing'""")
+def _(t):
+    profile, batch = _drift(t)
+    holed = batch.drop("l_quantity").withColumn("l_discount", F.lit(None).cast("double"))
+    return profile.compare(holed).filter("feature IN ('l_discount', 'l_quantity')")

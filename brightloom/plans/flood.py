@@ -295,6 +295,21 @@ def _(t):
     return _txt(series.gap_limited_fill(raw, "station", "level", 2).join(linear, ["station", "hour"]))
 
 
+# Fixed weights of a linear risk score.
+DRIVERS = {"rain_sum_6h": 0.04, "rain_mean_24h": 0.1, "rain_max_72h": -0.02, "antecedent_rain_72h": 0.01, "wl_max": 0.03, "wl_mean": 0.02, "error_level": -0.004,
+           "view_delta": 0.015, "wl_max_lag_12h": 0.006, "wl_max_roll_24h": -0.005, "wl_max_trend_6h": 0.02, "hours_above_warning": 0.05}
+
+
+@query("flood_event_importance", f"WITH {MATRIX}, f AS (SELECT *, hour - row_number() OVER (ORDER BY hour) * INTERVAL 1 HOUR AS run FROM shared WHERE any_flag = 1), c AS (" + " UNION ALL ".join(
+    f"SELECT run, '{c}' AS feature, avg({b!r} * ({c} - (SELECT avg({c}) FROM shared))) AS a FROM f GROUP BY run" for c, b in DRIVERS.items())
+    + """), s AS (SELECT run, CAST(min(hour) AS VARCHAR) AS event_start, CAST(max(hour) AS VARCHAR) AS event_end, count(*) AS hours FROM f GROUP BY run)
+SELECT event_start, event_end, hours, feature, round(a, 6) AS contribution, CASE WHEN a < 0 THEN 'down' ELSE 'up' END AS direction,
+  CAST(row_number() OVER (PARTITION BY run ORDER BY abs(a) DESC, feature) AS INTEGER) AS position FROM c JOIN s USING (run) QUALIFY position <= 10""")
+def _(t):
+    found = metrics.event_importance(shared_features(t).dropna("any"), "any_flag", "hour", DRIVERS)
+    return rounded(found).withColumns({c: F.col(c).cast("string") for c in ("event_start", "event_end")})
+
+
 @query("eda_heatmap", "SELECT CAST(day(ts) AS INTEGER) AS day, " + ", ".join(
     f"round(avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END) FILTER (WHERE hour(ts) = {h}), 6) AS \"{h}\"" for h in range(24))
     + " FROM events GROUP BY 1")

@@ -12,7 +12,7 @@ from brightloom.functions.common import CHURN_BANDS, FLOOD_BANDS, band, rounded
 from brightloom.operators import learning, metrics, series
 from brightloom.operators.quality import union_all
 from brightloom.plans.churn import cleaned, engineered
-from brightloom.plans.flood import HORIZONS, feature_matrix
+from brightloom.plans.flood import HORIZONS, MATRIX, feature_matrix
 from brightloom.plans.registry import Tables, query
 from brightloom.session import cut
 
@@ -99,6 +99,7 @@ FLOOD_FEATURES = ["rain_sum_6h", "rain_sum_24h", "rain_sum_72h", "wl_max", "wl_m
 
 @query("flood_forecast")
 def _(t):
+    """Per horizon a model of the hours whose outcome is known, applied to the newest hour."""
     from pyspark.ml.feature import VectorAssembler
 
     m = cut(feature_matrix(t).select("area", "hour", *FLOOD_FEATURES, *[f"flood_{h}h" for h in HORIZONS]))
@@ -107,7 +108,17 @@ def _(t):
     out = []
     for h in HORIZONS:
         label = f"flood_{h}h"
-        model = learning.candidates(label)["random_forest"].fit(learning.with_class_weight(ready, label))
+        known = learning.with_class_weight(series.known_by(ready, "hour", h), label)
+        model = learning.reloaded(learning.candidates(label)["random_forest"].fit(known), t.spark)
         prob = F.round(learning.probability(), 4)
         out.append(model.transform(newest).select("area", F.lit(h).alias("horizon"), prob.alias("probability"), band(prob, FLOOD_BANDS).alias("risk_level")))
     return union_all(out)
+
+
+@query("flood_forecast_frames", f"WITH {MATRIX}, top AS (SELECT max(hour) AS m FROM matrix) " + " UNION ALL ".join(
+    f"SELECT {h} AS horizon, CAST(min(hour) AS VARCHAR) AS first_hour, CAST(max(hour) AS VARCHAR) AS last_hour, count(*) AS n, CAST(sum(flood_{h}h) AS BIGINT) AS positives, CAST(max(m) AS VARCHAR) AS scored_hour FROM matrix, top WHERE hour <= m - INTERVAL {h} HOUR"
+    for h in HORIZONS))
+def _(t):
+    m = cut(feature_matrix(t).select("hour", *[f"flood_{h}h" for h in HORIZONS]))
+    frames = series.training_frames(m, "hour", {h: f"flood_{h}h" for h in HORIZONS})
+    return frames.withColumns({c: F.col(c).cast("string") for c in ("first_hour", "last_hour", "scored_hour")})

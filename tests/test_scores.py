@@ -148,3 +148,40 @@ def test_model_beats_chance(sample):
         fitted = learning.calibrate(out, "y", "churn_probability", method)
         cal = learning.apply_calibration(fitted, out, "churn_probability")
         assert metrics.brier(cal, "y", "calibrated").first()["brier"] <= metrics.brier(out, "y", "churn_probability").first()["brier"] + 0.01
+
+
+def test_profile_is_saved_once_and_read_back(frame, spark, tmp_path):
+    ref = frame([(float(i % 50), "a" if i % 3 else "b", None) for i in range(300)], "x double, c string, n double")
+    path = f"{tmp_path}/profile"
+    drift.save_profile(ref, ["x", "n"], ["c"], path)
+    profile = drift.Profile(spark, path)
+    assert profile.categorical == ["c"] and set(profile.edges) == {"x"}
+    assert {(r.feature, r.type) for r in profile.shares.select("feature", "type").distinct().collect()} == {("x", "double"), ("c", "string")}
+    same = {r.feature: r.status for r in profile.compare(ref).collect()}
+    assert same == {"x": "stable", "c": "stable"}
+    moved = {r.feature: r.status for r in profile.compare(ref.withColumn("x", F.col("x") + 100)).collect()}
+    assert moved["x"] == "drift" and moved["c"] == "stable"
+    holed = {r.feature: r.status for r in profile.compare(ref.withColumn("x", F.lit(None).cast("double")).drop("c")).collect()}
+    assert holed == {"x": "drift", "c": "missing"}
+    with pytest.raises(Exception, match="(?i)already exists"):
+        drift.save_profile(ref, ["x"], ["c"], path)
+
+
+def test_event_importance(frame):
+    from datetime import datetime as d
+
+    rows_ = [(d(2024, 1, 1, h), int(h in (2, 3, 7)), float(h), 10.0 if h == 7 else 0.0) for h in range(10)]
+    df = frame(rows_, "hour timestamp_ntz, flag int, a double, b double")
+    got = [tuple(r) for r in metrics.event_importance(df, "flag", "hour", {"a": -1.0, "b": 2.0}, 1).orderBy("event_start").collect()]
+    assert got == [(d(2024, 1, 1, 2), d(2024, 1, 1, 3), 2, "a", 2.0, "up", 1), (d(2024, 1, 1, 7), d(2024, 1, 1, 7), 1, "b", 18.0, "up", 1)]
+
+
+def test_rows_with_unknown_outcome_are_not_trained_on(frame):
+    from datetime import datetime as d
+
+    from brightloom.operators import series
+
+    df = frame([(d(2024, 1, 1, h), h % 2) for h in range(24)], "hour timestamp_ntz, y int")
+    assert series.known_by(df, "hour", 6).agg(F.max("hour")).first()[0] == d(2024, 1, 1, 17)
+    got = [tuple(r) for r in series.training_frames(df, "hour", {6: "y", 12: "y"}).orderBy("horizon").collect()]
+    assert got == [(6, d(2024, 1, 1), d(2024, 1, 1, 17), 18, 9, d(2024, 1, 1, 23)), (12, d(2024, 1, 1), d(2024, 1, 1, 11), 12, 6, d(2024, 1, 1, 23))]

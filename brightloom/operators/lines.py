@@ -30,6 +30,11 @@ TRAINING_DATES = r"^([A-Za-z]{2,9}\.?\s*\d{4})\s*[-–]\s*([A-Za-z]{2,9}\.?\s*\d
 TRAINING_PROVIDER = r"(?i)^On\s+(.+)$"
 JOB_LABEL = r"(?i)^Job\s+description\s*:?\s*$"
 TITLE = r"^(.+?)\s+[-–]\s+(.+)$"
+PROJECT_TITLE = r"^(.+?)\s*[-–,]\s*(.+)$"
+PROJECT_LABELS = {
+    "role": r"(?i)^Role\s*:", "description": r"(?i)^Description\s*:", "responsibility": r"(?i)^Responsibilit(?:y|ies)\s*:",
+    "tools": r"(?i)^Tools?\s*:", "team": r"(?i)^Team\s+members?\s*:",
+}
 KEY_VALUES = r"^(.+?)\s*:\s*(.*)$"
 
 
@@ -141,3 +146,66 @@ def row_records(rows: DataFrame, key: str, order: str, start: Column, measures:
     the first start have no record."""
     numbered = running_totals(rows.withColumn("_s", start.cast("int")), [F.col(order)], {"rec": "_s"}, [key])
     return numbered.filter("rec > 0").groupBy(key, "rec").agg(*[c.alias(n) for n, c in measures.items()])
+
+
+def _looks_like_period(line: Column) -> Column:
+    return line.rlike(r"\b\d{4}\b") & line.rlike("[-–]")
+
+
+def project_records(df: DataFrame, key: str, lines: str, sections: list[tuple[str, str]] = SECTIONS) -> DataFrame:
+    """Projects from the array of a document's lines: (key, position, name, client, period,
+    role, responsibility, tools).
+
+    The array is read once from front to back inside its row; what is carried along is the
+    open section, the open project and the finished ones, so lines are neither exploded nor
+    shuffled. In the project section a title line (two parts around a dash or comma) opens a
+    project; then come a period and labelled lines in any order; another line with a dash
+    closes the project and may open the next; any other line goes on with the description. A
+    header ends project and section. Null lines are skipped; null arrays have no projects.
+    """
+    texts = ["name", "client", "period", "role", "description", "responsibility", "tools"]
+
+    def told(line: Column) -> Column:
+        header = F.coalesce(*[F.when(line.rlike(p), F.lit(name)) for name, p in sections])
+        label = F.coalesce(*[F.when(line.rlike(p), F.lit(name)) for name, p in PROJECT_LABELS.items()])
+        return F.struct(line.alias("line"), header.alias("header"), label.alias("label"), line.rlike("[-–]").alias("dash"),
+                        _looks_like_period(line).alias("period"), line.rlike(PROJECT_TITLE).alias("title"),
+                        F.trim(F.regexp_extract(line, r"(?s)^[^:]*:(.*)$", 1)).alias("value"))
+
+    blank = F.struct(*[F.lit("").alias(c) for c in texts])
+    none = F.array().cast(f"array<struct<{','.join(f'{c}:string' for c in texts)}>>")
+    start = F.struct(F.lit(None).cast("string").alias("section"), F.lit(False).alias("open"), blank.alias("now"), none.alias("done"))
+
+    def step(acc: Column, x: Column) -> Column:
+        now, is_open = acc["now"], acc["open"]
+        inside = x["header"].isNull() & acc["section"].eqNullSafe(F.lit("PROJECT_EXPERIENCE"))
+        labelled = inside & x["label"].isNotNull()
+        takes_period = inside & is_open & ~labelled & x["period"] & (now["period"] == "")
+        turns = inside & ~labelled & ~takes_period & (~is_open | x["dash"])  # the project, if any, is over
+        opens = turns & x["title"]
+        goes_on = inside & is_open & ~labelled & ~takes_period & ~turns
+        closes = is_open & (turns | x["header"].isNotNull())
+        fields = {
+            "name": F.when(opens, F.trim(F.regexp_extract(x["line"], PROJECT_TITLE, 1))),
+            "client": F.when(opens, F.trim(F.regexp_extract(x["line"], PROJECT_TITLE, 2))),
+            "period": F.when(opens, "").when(takes_period, x["line"]),
+            "description": F.when(opens, "").when(goes_on, F.when(now["description"] == "", x["line"]).otherwise(F.concat(now["description"], F.lit(" "), x["line"]))),
+        }
+        for c in texts:
+            filled = fields.get(c, F.when(opens, ""))
+            if c in PROJECT_LABELS:
+                filled = filled.when(labelled & is_open & (x["label"] == c), x["value"])
+            fields[c] = filled.otherwise(now[c])
+        return F.struct(
+            F.coalesce(x["header"], acc["section"]).alias("section"), F.when(closes | turns, opens).otherwise(is_open).alias("open"),
+            F.struct(*[fields[c].alias(c) for c in texts]).alias("now"),
+            F.when(closes, F.array_append(acc["done"], now)).otherwise(acc["done"]).alias("done"))
+
+    def finish(acc: Column) -> Column:
+        return F.when(acc["open"], F.array_append(acc["done"], acc["now"])).otherwise(acc["done"])
+
+    known = F.transform(F.filter(lines, lambda x: x.isNotNull()), told)
+    found = df.select(key, F.aggregate(known, start, step, finish).alias("found"))
+    rows = found.select(key, F.posexplode("found").alias("at", "p"))
+    whole = F.concat_ws(" ", *[F.nullif(F.col(f"p.{c}"), F.lit("")) for c in ("description", "responsibility")])
+    return rows.select(key, (F.col("at") + 1).alias("position"), "p.name", "p.client", "p.period", "p.role", whole.alias("responsibility"), "p.tools")

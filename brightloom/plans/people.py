@@ -272,3 +272,45 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionke
 UNION ALL SELECT c_custkey, 2, '2007 - 2012', 'Clerk ' || c_name, '', '', '' FROM customer""")
 def _(t):
     return ln.work_entries(ln.tag_sections(cv_texts(t), "c_custkey"), "c_custkey").withColumn("bullets", F.array_join("bullets", "; "))
+
+
+#: Lines of a CV by the customer's values; both engines read these expressions. Null lines are left out.
+CV_LINES = [
+    "'BACKGROUND'", "'Name: ' || c_name", "CASE WHEN c_custkey % 7 <> 0 THEN 'PROJECT EXPERIENCE' END",
+    "c_mktsegment || CASE WHEN c_custkey % 2 = 0 THEN ' – ' ELSE ', ' END || c_name", "CASE WHEN c_custkey % 3 <> 0 THEN 'Mar 2017 – Now' END",
+    "CASE WHEN c_custkey % 4 <> 1 THEN 'Role : lead - ' || c_name END", "CASE WHEN c_acctbal > 3000 THEN 'Description: in ' || c_mktsegment END",
+    "CASE WHEN c_acctbal < 6000 THEN 'kept ' || c_name || ' going' END", "CASE WHEN c_custkey % 5 = 0 THEN 'Team Members: 4' END",
+    "CASE WHEN c_custkey % 3 = 1 THEN 'Responsibilities: all of ' || c_mktsegment END", "CASE WHEN c_custkey % 10 <> 4 THEN 'tools: Spark, SQL' END",
+    "CASE WHEN c_custkey % 2 = 1 THEN 'Second one - client ' || c_mktsegment END", "CASE WHEN c_custkey % 6 = 5 THEN '2010 - 2014' END",
+    "CASE WHEN c_custkey % 6 = 5 THEN '2015 - 2016' END", "CASE WHEN c_custkey % 9 = 2 THEN '- ' END", "CASE WHEN c_custkey % 9 = 2 THEN 'stray line' END",
+    "CASE WHEN c_custkey % 4 <> 2 THEN 'TECHNICAL SKILL' END", "'Spark - very good'", "CASE WHEN c_custkey % 8 = 3 THEN 'Project  Experience' END",
+    "CASE WHEN c_custkey % 8 = 3 THEN 'Back again, client' END",
+]
+
+
+def _either(patterns) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches(line, '{p}') THEN '{name}'" for name, p in patterns) + " END"
+
+
+# The rules again, line by line: what a line does hangs on the state that the lines before it left.
+PROJECTS = f"""WITH RECURSIVE cv AS (SELECT c_custkey, list_filter([{', '.join(CV_LINES)}], lambda x: x IS NOT NULL) AS ls FROM customer),
+l AS (SELECT c_custkey, unnest(ls) AS line, generate_subscripts(ls, 1) AS n FROM cv),
+k AS (SELECT *, {_either(ln.SECTIONS)} AS header, {_either(ln.PROJECT_LABELS.items())} AS label, regexp_matches(line, '[-–]') AS dash, regexp_matches(line, '{ln.PROJECT_TITLE}') AS title,
+  regexp_matches(line, '\\b\\d{{4}}\\b') AND regexp_matches(line, '[-–]') AS dated FROM l),
+s AS (SELECT c_custkey, 0::BIGINT AS n, ''::VARCHAR AS section, false AS op, false AS has, 0 AS rec, ''::VARCHAR AS act FROM cv UNION ALL
+  SELECT c_custkey, n, section, CASE act WHEN 'head' THEN false WHEN 'turn' THEN title ELSE op END, CASE act WHEN 'turn' THEN false WHEN 'period' THEN true ELSE has END,
+    CASE WHEN act = 'turn' AND title THEN rec + 1 ELSE rec END, CASE WHEN act = 'turn' AND title THEN 'open' WHEN act IN ('period', 'text', 'label') AND op THEN act ELSE '' END
+  FROM (SELECT k.c_custkey, k.n, coalesce(header, section) AS section, op, has, rec, title, CASE WHEN header IS NOT NULL THEN 'head' WHEN section <> 'PROJECT_EXPERIENCE' THEN '' WHEN label IS NOT NULL THEN 'label'
+    WHEN op AND NOT has AND dated THEN 'period' WHEN NOT op OR dash THEN 'turn' ELSE 'text' END AS act FROM s JOIN k ON k.c_custkey = s.c_custkey AND k.n = s.n + 1)),
+a AS (SELECT c_custkey, n, rec, act, line, label, trim(substr(line, strpos(line, ':') + 1)) AS value FROM s JOIN k USING (c_custkey, n) WHERE act <> '')
+SELECT c_custkey, CAST(rec AS INTEGER) AS position, max(CASE WHEN act = 'open' THEN trim(regexp_extract(line, '{ln.PROJECT_TITLE}', 1)) END) AS name, max(CASE WHEN act = 'open' THEN trim(regexp_extract(line, '{ln.PROJECT_TITLE}', 2)) END) AS client,
+  coalesce(max(CASE WHEN act = 'period' THEN line END), '') AS period, coalesce(max(CASE WHEN act = 'label' AND label = 'role' THEN value END), '') AS role,
+  coalesce(string_agg(CASE WHEN act = 'text' THEN line WHEN act = 'label' AND label IN ('description', 'responsibility') THEN value END, ' ' ORDER BY coalesce(label, '') = 'responsibility', n), '') AS responsibility,
+  coalesce(max(CASE WHEN act = 'label' AND label = 'tools' THEN value END), '') AS tools
+FROM a GROUP BY c_custkey, rec"""
+
+
+@query("cv_projects", PROJECTS)
+def _(t):
+    texts = t.customer.select("c_custkey", F.array(*[F.expr(x) for x in CV_LINES]).alias("lines"))
+    return ln.project_records(texts, "c_custkey", "lines")

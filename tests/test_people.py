@@ -142,3 +142,23 @@ def test_batch_outcome(frame):
     df = frame([("a", "SUCCESS", None), ("b", "FAILED", "no folder"), ("c", "FAILED", "bad date")], "who string, status string, error string")
     assert rows(pp.run_summary(df), "status") == [("FAILED", 2, "bad date"), ("SUCCESS", 1, None)]
     assert [r["who"] for r in pp.retain_newest(df, [F.desc("who")], 2).collect()] == ["c", "b"]
+
+
+def test_projects_are_read_by_one_pass(frame):
+    lines = [
+        "Title - before any section", "PROJECT EXPERIENCE", "no title here", "Dam – Water Board", "Mar 2017 – Now", "Role: lead - acting", "first words", "Description : set anew",
+        "more words", None, "Responsibility: all", "Tool: Spark", "Team members: 3", "Road, City", "2001 - 2002", "2003 - 2004", "Role:", "- ", "lost", "Bridge, Town",
+        "TECHNICAL SKILL", "Spark - good", "project experience", "Last - one",
+    ]
+    df = frame([(1, lines), (2, []), (3, None), (4, ["PROJECT EXPERIENCE"])], "id int, ls array<string>")
+    out = ln.project_records(df, "id", "ls")
+    got = [tuple(r) for r in out.orderBy("id", "position").collect()]
+    assert got == [
+        # a comma opens a project only where none is open, so the road goes on with the dam
+        (1, 1, "Dam", "Water Board", "Mar 2017 – Now", "lead - acting", "set anew more words Road, City all", "Spark"),
+        (1, 2, "2001", "2002", "2003 - 2004", "", "", ""),
+        (1, 3, "Bridge", "Town", "", "", "", ""),
+        (1, 4, "Last", "one", "", "", "", ""),
+    ]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan

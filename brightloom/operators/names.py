@@ -52,6 +52,13 @@ def standardize_strict(df: DataFrame, name: str, variants: DataFrame) -> DataFra
     return keyed.withColumn(name, known).drop("name_key", "canonical_name")
 
 
+def unknown_names(df: DataFrame, name: str, variants: DataFrame) -> DataFrame:
+    """What ``standardize_strict`` fails on: each unknown spelling and how many rows have it."""
+    spelled = df.groupBy(name).agg(F.count(F.lit(1)).alias("n")).withColumn("name_key", name_key(F.col(name)))
+    same = spelled["name_key"].eqNullSafe(variants["name_key"]) & spelled["name_key"].isNotNull()
+    return spelled.join(variants, same, "left_anti").select(name, "n")
+
+
 def cleaning_report(df: DataFrame, name: str, variants: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Row counts of a cleaning run: in, not an entity, exact repeats, out. Equal rows
     are folded to one with a count, so a heavily repeated row costs no more than one."""

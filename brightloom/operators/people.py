@@ -116,6 +116,29 @@ def run_summary(results: DataFrame) -> DataFrame:
     return results.groupBy("status").agg(F.count(F.lit(1)).alias("items"), F.min("error").alias("first_error"))
 
 
+def attempt(name: str, source: str, kind: str) -> tuple[Column, Column]:
+    """A value read from text as ``kind`` without stopping the batch, and why it failed (null
+    if it did not): a text that cannot be read gives null and an error, a null text is null."""
+    value = F.col(source).try_cast(kind)
+    failed = F.col(source).isNotNull() & value.isNull()
+    return value.alias(name), F.when(failed, F.concat(F.lit(f"{name}: cannot read '"), F.col(source), F.lit(f"' as {kind}")))
+
+
+def run_items(items: DataFrame, item: str, skip: Column, reads: dict[str, tuple[str, str]], required: Sequence[str] = ()) -> DataFrame:
+    """The log of a batch run, one row per item: its name, SUCCESS, FAILED or SKIPPED, the
+    error, and what was read. ``reads`` is {name: (text column, type)}; all errors of an item
+    are told, in that order, and so is every required value that is not there. One bad item
+    never stops the others; a failed or skipped one has no values."""
+    tries = {name: attempt(name, source, kind) for name, (source, kind) in reads.items()}
+    absent = [F.when(F.col(reads[name][0]).isNull(), F.lit(f"{name}: missing")) for name in required]
+    error = F.nullif(F.concat_ws("; ", *[e for _, e in tries.values()], *absent), F.lit(""))
+    skipped = F.coalesce(skip, F.lit(False))
+    logged = items.select(F.col(item), F.when(~skipped, error).alias("error"), skipped.alias("_skipped"), *[v for v, _ in tries.values()])
+    status = F.when(F.col("_skipped"), "SKIPPED").when(F.col("error").isNotNull(), "FAILED").otherwise("SUCCESS")
+    return logged.withColumn("status", status).select(
+        item, "status", "error", *[F.when(F.col("status") == "SUCCESS", F.col(name)).alias(name) for name in reads])
+
+
 def retain_newest(df: DataFrame, order: Sequence[Column], rows: int = LOG_ROWS) -> DataFrame:
     return df.orderBy(*order).limit(rows)
 

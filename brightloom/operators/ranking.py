@@ -70,6 +70,15 @@ def equal_count_tier(df: DataFrame, score: str, labels: Sequence[str], name: str
     return t.withColumn(name, tier_by(F.col(score), edges, labels)).drop("_e")
 
 
+def tier_on_edges_of(df: DataFrame, base: DataFrame, score: str, labels: Sequence[str], name: str) -> DataFrame:
+    """Tiers between the inner edges of another table's equal-count tiers; the outer tiers are
+    open, as scores may lie beyond all of that table's."""
+    n = len(labels)
+    t = df.withColumn("_e", equal_count_edges(base, score, n))
+    edges = [F.lit(-INF), *[F.col(f"_e.e{i}") for i in range(1, n)], F.lit(INF)]
+    return t.withColumn(name, tier_by(F.col(score), edges, labels)).drop("_e")
+
+
 def policy_tier(score: Column, cuts: Sequence[float] = POLICY_CUTS, labels: Sequence[str] = QUARTILE_LABELS) -> Column:
     return tier_by(score, [F.lit(-INF), *map(F.lit, cuts), F.lit(INF)], labels)
 

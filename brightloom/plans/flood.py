@@ -389,6 +389,14 @@ def _(t):
     return out.withColumn("r", F.when(F.col("r") == 0, 0.0).otherwise(F.col("r")))  # no negative zero
 
 
+@query("eda_top_with_target", f"WITH {MATRIX}, m2 AS (SELECT *, hour(hour) AS hour_of_day FROM matrix), c AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, abs(corr({c}, flood_6h)) AS r FROM m2" for c in CORR_COLS if c != "flood_6h")
+    + ") SELECT feature, CASE WHEN r < 1e-9 THEN 0.0 ELSE round(r, 6) END AS abs_r FROM c ORDER BY round(r, 9) DESC NULLS LAST, feature LIMIT 5")
+def _(t):
+    m = explore.correlation_matrix(feature_matrix(t).select(*CORR_COLS), CORR_COLS)
+    return rounded(explore.top_with_target(m, "flood_6h"))
+
+
 # A fixed score per area and horizon, so that bands and texts can be checked: the share of
 # its customers in debt, raised with the horizon.
 def forecast(t: Tables) -> DataFrame:

@@ -341,6 +341,16 @@ def _(t):
     return rounded(stability.tier_stability(stability.tier_changes(*tiers, "entity", "tier")))
 
 
+@query("npi_tier_stability_fixed", f"""WITH {INDEX}, {PCA_SQL}, q AS (SELECT quantile_cont(npi, [0.25, 0.5, 0.75]) AS q FROM scored),
+c AS (SELECT (CASE WHEN npi <= q[1] THEN 1 WHEN npi <= q[2] THEN 2 WHEN npi <= q[3] THEN 3 ELSE 4 END) <> (CASE WHEN npi_pca <= q[1] THEN 1 WHEN npi_pca <= q[2] THEN 2 WHEN npi_pca <= q[3] THEN 3 ELSE 4 END) AS changed FROM scored JOIN pcn USING (entity), q)
+SELECT count(*) AS n_compared, count(*) FILTER (WHERE changed) AS n_changed, round(1 - count(*) FILTER (WHERE changed) / count(*), 6) AS stable_fraction FROM c""")
+def _(t):
+    """Both forms in the tiers of the first one's edges."""
+    base, variant = _variants(t)
+    tiers = [ranking.tier_on_edges_of(s, base, "npi", ranking.QUARTILE_LABELS, "tier") for s in (base, variant)]
+    return rounded(stability.tier_stability(stability.tier_changes(*tiers, "entity", "tier")))
+
+
 @query("npi_outcome_corr", f"""WITH {INDEX}, j AS (SELECT npi, stunting_rate AS y, data_completeness, rank() OVER (ORDER BY npi) AS rx, rank() OVER (ORDER BY stunting_rate) AS ry FROM scored JOIN merged USING (entity)),
 f AS (SELECT npi, y, rank() OVER (ORDER BY npi) AS rx, rank() OVER (ORDER BY y) AS ry FROM j WHERE data_completeness = 'full')
 SELECT 'all' AS entities, count(*) AS n, round(corr(npi, y), 6) AS pearson_r, round(corr(rx, ry), 6) AS spearman_r FROM j
@@ -510,6 +520,19 @@ def _(t):
     return names.standardize(raw_names(t).drop("s_suppkey"), "entity", nation_variants(t))
 
 
+@query("npi_standardize_strict", f"WITH {RAW_NAMES} SELECT coalesce(n_name, entity) AS entity, year, v FROM raw LEFT JOIN nation ON lower(trim(entity)) = lower(trim(n_name))")
+def _(t):
+    """Every spelling is known here, the total included; an unknown one would fail the read."""
+    total = t.spark.createDataFrame([("ALL NATIONS", "ALL NATIONS", 1000)], "canonical_name string, variant string, pos long")
+    known = t.nation.select(F.col("n_name").alias("canonical_name"), F.col("n_name").alias("variant"), F.col("n_nationkey").cast("long").alias("pos"))
+    return names.standardize_strict(raw_names(t).drop("s_suppkey"), "entity", names.variant_map(known.unionByName(total), "pos"))
+
+
+@query("npi_unknown_names", f"WITH {RAW_NAMES} SELECT entity, count(*) AS n FROM raw WHERE lower(trim(entity)) NOT IN (SELECT lower(trim(n_name)) FROM nation) GROUP BY entity")
+def _(t):
+    return names.unknown_names(raw_names(t), "entity", nation_variants(t))
+
+
 @query("npi_cleaning_report", f"""WITH {RAW_NAMES}, m AS (SELECT n_name, year, v FROM raw LEFT JOIN nation ON lower(trim(entity)) = lower(trim(n_name))),
 k AS (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM m WHERE n_name IS NOT NULL))
 SELECT count(*) AS rows_in, count(*) FILTER (WHERE n_name IS NULL) AS rows_not_entity, count(n_name) - any_value(k.n) AS rows_repeated, any_value(k.n) AS rows_out FROM m, k""")

@@ -253,15 +253,17 @@ def _(t):
 FAQ = [("refund", "see the refund page"), (" und ", "see the German page"), (" les ", "see the French page"), ("with", "see the English page")]
 
 
-@query("triage_batch", """WITH u AS (SELECT conv_id, arg_min(text, turn) AS text FROM conversations WHERE role = 'user' GROUP BY 1),
-k AS (SELECT conv_id, lower(text) AS x, o_orderstatus AS s, date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-08-02') AS age FROM u LEFT JOIN (SELECT * FROM orders WHERE o_orderpriority <> '5-LOW') o ON o_orderkey = conv_id),
+@query("triage_batch", """WITH k AS (SELECT conv_id || '/' || turn AS ticket, lower(text) AS x, o_orderstatus AS s, date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-08-02') AS age
+  FROM conversations LEFT JOIN orders ON o_orderkey = conv_id WHERE role = 'user'),
 f AS (SELECT *, CASE WHEN contains(x, 'refund') THEN 'see the refund page' WHEN contains(x, ' und ') THEN 'see the German page' WHEN contains(x, ' les ') THEN 'see the French page' WHEN contains(x, 'with') THEN 'see the English page' ELSE '' END AS faq FROM k),
 a AS (SELECT *, CASE WHEN s = 'F' AND age <= 700 THEN 'return' WHEN s IS NOT NULL THEN 'status' WHEN faq <> '' THEN 'faq' ELSE 'escalate' END AS action FROM f)
-SELECT conv_id AS ticket, action, CASE action WHEN 'return' THEN 'return until day 700' WHEN 'status' THEN 'order is ' || s WHEN 'faq' THEN faq END AS answer FROM a""")
+SELECT ticket, action, CASE action WHEN 'return' THEN 'return until day 700' WHEN 'status' THEN 'order is ' || s WHEN 'faq' THEN faq END AS answer FROM a""")
 def _(t):
-    tickets = t.conversations.filter("role = 'user'").groupBy(F.col("conv_id").alias("ticket")).agg(F.min_by("text", "turn").alias("text")).withColumn("order_key", F.col("ticket"))
-    known = t.orders.filter("o_orderpriority <> '5-LOW'").select(F.col("o_orderkey").alias("order_key"), F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("ordered"))
-    return m.triage(tickets, known, FAQ, F.lit("2001-08-02").cast("date"), 700)
+    """Every user turn is a ticket; tickets without an order are answered from the FAQ."""
+    turns = t.conversations.filter("role = 'user'").select(
+        F.concat_ws("/", "conv_id", "turn").alias("ticket"), F.col("conv_id").alias("order_key"), "text")
+    known = t.orders.select(F.col("o_orderkey").alias("order_key"), F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("ordered"))
+    return m.triage(turns, known, FAQ, F.lit("2001-08-02").cast("date"), 700)
 
 
 @query("rag_chunks", """WITH c AS (SELECT doc_id, text, unnest(range(0, CAST(greatest(0, ceil((length(text) - 500) / 400.0)) AS BIGINT) + 1)) AS i FROM documents WHERE length(text) > 0)

@@ -162,6 +162,34 @@ def _(t):
         F.when(bad, F.concat(F.lit("negative balance for "), "c_name")).alias("error")))
 
 
+# Items as a sheet has them: texts, some of which cannot be read.
+RUN_TEXTS = {
+    "balance_text": "CASE WHEN c_custkey % 11 = 0 THEN 'n/a ' || c_name WHEN c_custkey % 17 <> 3 THEN CAST(c_acctbal AS STRING) END",
+    "since_text": "CASE WHEN c_custkey % 13 = 0 THEN '2020-13-01' ELSE '2020-0' || CAST(1 + c_custkey % 9 AS STRING) || '-15' END",
+}
+RUN_LOG = f"""r AS (SELECT c_name, {', '.join(f'{x} AS {n}' for n, x in RUN_TEXTS.items())}, NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) AS skip FROM customer),
+e AS (SELECT *, nullif(concat_ws('; ', CASE WHEN balance_text IS NOT NULL AND TRY_CAST(balance_text AS DOUBLE) IS NULL THEN 'balance: cannot read ''' || balance_text || ''' as double' END,
+  CASE WHEN TRY_CAST(since_text AS DATE) IS NULL THEN 'since: cannot read ''' || since_text || ''' as date' END, CASE WHEN balance_text IS NULL THEN 'balance: missing' END), '') AS err FROM r),
+log AS (SELECT c_name, CASE WHEN skip THEN 'SKIPPED' WHEN err IS NOT NULL THEN 'FAILED' ELSE 'SUCCESS' END AS status, CASE WHEN NOT skip THEN err END AS error,
+  CASE WHEN NOT skip AND err IS NULL THEN TRY_CAST(balance_text AS DOUBLE) END AS balance, CASE WHEN NOT skip AND err IS NULL THEN TRY_CAST(since_text AS DATE) END AS since FROM e)"""
+
+
+def run_log(t: Tables) -> DataFrame:
+    has = t.orders.select(F.col("o_custkey").alias("c_custkey")).distinct().withColumn("has", F.lit(True))
+    items = t.customer.join(has, "c_custkey", "left").select("c_name", "has", *[F.expr(x).alias(n) for n, x in RUN_TEXTS.items()])
+    return pp.run_items(items, "c_name", F.col("has").isNull(), {"balance": ("balance_text", "double"), "since": ("since_text", "date")}, ["balance"])
+
+
+@query("cv_run_items", f"WITH {RUN_LOG} SELECT * FROM log", days=["since"])
+def _(t):
+    return run_log(t)
+
+
+@query("cv_run_counts", f"WITH {RUN_LOG} SELECT status, count(*) AS items, min(error) AS first_error FROM log GROUP BY status")
+def _(t):
+    return pp.run_summary(run_log(t))
+
+
 @query("log_retention", "SELECT event_id, event_type, user_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 2000")
 def _(t):
     return pp.retain_newest(t.events, [F.desc("ts"), F.desc("event_id")]).select("event_id", "event_type", "user_id")

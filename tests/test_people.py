@@ -162,3 +162,12 @@ def test_projects_are_read_by_one_pass(frame):
     ]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_one_bad_item_does_not_stop_a_run(frame):
+    df = frame([("a", "1.5", "2020-01-02", None), ("b", "x", "2020-13-01", None), ("c", "y", None, True), ("d", None, "2020-01-02", False)], "item string, n string, d string, skip boolean")
+    log = pp.run_items(df, "item", F.col("skip"), {"number": ("n", "double"), "day": ("d", "date")}, ["number"])
+    assert rows(log, "item") == [
+        ("a", "SUCCESS", None, 1.5, date(2020, 1, 2)), ("b", "FAILED", "number: cannot read 'x' as double; day: cannot read '2020-13-01' as date", None, None),
+        ("c", "SKIPPED", None, None, None), ("d", "FAILED", "number: missing", None, None)]
+    assert rows(pp.run_summary(log), "status") == [("FAILED", 2, "number: cannot read 'x' as double; day: cannot read '2020-13-01' as date"), ("SKIPPED", 1, None), ("SUCCESS", 1, None)]

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brightloom.operators.ordering import row_numbers
-from brightloom.session import cut
+from brightloom.session import cut, stage
 
 # Fixed values of the published analysis.
 DEFAULT_K = 6
@@ -195,17 +195,47 @@ def moran_normal(weights: DataFrame, values: DataFrame) -> DataFrame:
         "n", "moran_i", "expected_i", "z_norm", _normal_tail(F.col("z_norm")).alias("p_norm"))
 
 
+# Fixed values of the shuffle's round function; every product stays below 2 ** 63.
+PRIME = 2147483647
+ROUNDS = 6
+#: Steps that a number may need to come back below n; each is needed with a chance below 1/2.
+WALK = 64
+
+
+def shuffled_place(place: Column, n: int, key: Column, seed: int = SEED) -> Column:
+    """A keyed bijection of 0 .. n-1: where ``place`` goes in the shuffle named by ``key``. A
+    Feistel network over the least power of two from n on, walked on until the number is below
+    n again; no rows are ordered for it."""
+    bits = max(1, (n - 1).bit_length())
+    low, high = bits - bits // 2, bits // 2
+
+    def turn(x: Column, i: Column) -> Column:
+        right = F.when(i % 2 == 0, F.lit(1 << low)).otherwise(F.lit(1 << high)).cast("long")
+        left = F.when(i % 2 == 0, F.lit(1 << high)).otherwise(F.lit(1 << low)).cast("long")
+        own = x % right
+        mixed = (own * 48271 + key * 69621 + i * 16807 + seed) % PRIME
+        mixed = (mixed * mixed % PRIME * 39373 + own) % PRIME
+        return own * left + F.floor(x / right).cast("long").bitwiseXOR(mixed % left)
+
+    rounds = F.array(*[F.lit(i).cast("long") for i in range(ROUNDS)])
+
+    def network(x: Column) -> Column:
+        return F.aggregate(rounds, x, turn)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), network(place.cast("long")), lambda x, _: F.when(x < n, x).otherwise(network(x)))
+
+
 def moran_permutations(weights: DataFrame, values: DataFrame, permutations: int = PERMUTATIONS, seed: int = SEED) -> DataFrame:
     """Pseudo p and z of I against random reassignments of the values.
 
-    Each permutation orders the entities by a hash of (seed, permutation, id) and deals
-    the values out in that order; the orders are cut in slices when they are long.
+    Each permutation is a keyed bijection of the entities' places, so values are dealt out by
+    an expression and an equal join; nothing is ordered per permutation.
     """
     z = cut(row_numbers(deviations(values), [], [F.col("id")], "place"))
-    perm = F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("perm")
-    hashed = z.select("id", perm).withColumn("_h", F.xxhash64(F.lit(seed), "perm", "id"))
-    dealt = row_numbers(hashed, ["perm"], [F.col("_h"), F.col("id")], "place").select("perm", "id", "place")
-    shuffled = cut(dealt.join(z.select("place", "z"), "place").select("perm", "id", "z"))
+    n = z.count()
+    perm = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(permutations).cast("long"))).alias("perm")
+    dealt = z.select("id", (F.col("place") - 1).alias("own"), perm).withColumn("place", shuffled_place(F.col("own"), n, F.col("perm"), seed) + 1)
+    shuffled = stage(dealt.select("perm", "id", "place").join(z.select("place", "z"), "place").select("perm", "id", "z"))
     a = shuffled.select("perm", F.col("id").alias("i"), F.col("z").alias("zi"))
     b = shuffled.select("perm", F.col("id").alias("j"), F.col("z").alias("zj"))
     per = weights.join(a, "i").join(b, ["perm", "j"]).groupBy("perm").agg(F.sum(F.col("w") * F.col("zi") * F.col("zj")).alias("zl"))

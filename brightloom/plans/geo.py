@@ -100,6 +100,28 @@ def _(t):
     return rounded(one.withColumn("_n", packed).select("*", "_n.*").drop("_n"))
 
 
+def _network(x: str) -> str:
+    """The shuffle's Feistel network in DuckDB's words, on columns lo, hi and perm."""
+    right, left = "CASE WHEN i % 2 = 0 THEN lo ELSE hi END", "CASE WHEN i % 2 = 0 THEN hi ELSE lo END"
+    own = f"(acc % ({right}))"
+    m1 = f"(({own} * 48271 + perm * 69621 + i * 16807 + {spatial.SEED}) % {spatial.PRIME})"
+    m2 = f"((({m1} * {m1}) % {spatial.PRIME} * 39373 + {own}) % {spatial.PRIME})"
+    return f"list_reduce({[*range(spatial.ROUNDS)]}::BIGINT[], lambda acc, i: {own} * ({left}) + xor(acc // ({right}), {m2} % ({left})), CAST({x} AS BIGINT))"
+
+
+@query("geo_moran_permuted", f"""WITH RECURSIVE {POINTS}, o AS (SELECT id, z, row_number() OVER (ORDER BY id) - 1 AS own FROM dev),
+b AS (SELECT n, CAST(1 AS BIGINT) << (bits - bits // 2) AS lo, CAST(1 AS BIGINT) << (bits // 2) AS hi FROM (SELECT count(*) AS n, CAST(floor(log2(count(*) - 1)) AS INTEGER) + 1 AS bits FROM o)),
+s AS (SELECT perm, own, {_network('own')} AS x FROM o, b, range(1, {spatial.PERMUTATIONS + 1}) p(perm) UNION ALL SELECT perm, own, {_network('x')} FROM s, b WHERE x >= n),
+d AS (SELECT perm, a.id, t.z FROM s JOIN b ON x < n JOIN o a ON a.own = s.own JOIN o t ON t.own = x),
+lag AS (SELECT perm, knn.i, avg(d.z) AS lag FROM knn JOIN d ON d.id = knn.j WHERE position <= 6 GROUP BY 1, 2),
+zz AS (SELECT sum(z * z) AS zz FROM dev), sims AS (SELECT perm, sum(z * lag) / any_value(zz) AS sim FROM lag JOIN d USING (perm), zz WHERE d.id = lag.i GROUP BY perm),
+obs AS (SELECT sum(a.z * l.lag) / any_value(zz) AS obs FROM (SELECT knn.i, avg(z) AS lag FROM knn JOIN dev ON dev.id = knn.j WHERE position <= 6 GROUP BY 1) l JOIN dev a ON a.id = l.i, zz),
+r AS (SELECT any_value(obs) AS obs, count(*) FILTER (WHERE sim >= obs) AS above, avg(sim) AS m, stddev_pop(sim) AS sd, count(*) AS perms FROM sims, obs)
+SELECT round(obs, 6) AS moran_i, round((least(above, perms - above) + 1) / (perms + 1), 6) AS p_sim, round((obs - m) / sd, 6) AS z_sim, CAST(perms AS INTEGER) AS permutations, (least(above, perms - above) + 1) / (perms + 1) < 0.05 AS significant FROM r""")
+def _(t):
+    return rounded(spatial.moran_permutations(knn_weights(t), points(t).select("id", "v")))
+
+
 @query("geo_local_clusters")
 def _(t):
     return rounded(spatial.local_clusters(knn_weights(t), points(t).select("id", "v")))

@@ -65,3 +65,16 @@ def test_isolated_cell(frame):
     far = frame([("far", 1.0, [(9.0, 9.0), (10.0, 9.0), (10.0, 10.0)])], "id string, v double, ring array<struct<x:double,y:double>>")
     both = g.unionByName(far)
     assert [r["i"] for r in spatial.isolates(both, "id", spatial.queen(both, "id", "ring")).collect()] == ["far"]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 8, 9, 1000])
+def test_shuffles_are_bijections(spark, n):
+    df = spark.range(n).select("id", F.explode(F.array(*[F.lit(k).cast("long") for k in range(1, 6)])).alias("key"))
+    got = df.select("id", "key", spatial.shuffled_place(F.col("id"), n, F.col("key")).alias("at"))
+    per = got.groupBy("key").agg(F.array_sort(F.collect_list("at")).alias("all"), F.collect_list(F.struct("id", "at")).alias("map")).collect()
+    assert len(per) == 5 and all(r["all"] == list(range(n)) for r in per)
+    if n == 1000:
+        maps = {tuple(a for _, a in sorted(map(tuple, r["map"]))) for r in per}
+        assert len(maps) == 5 and all(sum(i == a for i, a in enumerate(m)) < 10 for m in maps)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in plan and "Window" not in plan and "Exchange" not in plan

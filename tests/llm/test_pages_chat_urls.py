@@ -39,6 +39,19 @@ def test_long_template_inside_an_article_is_dropped():
     assert NOTICE in wrapper.extract(pages[0], wrapper.induce(pages[:1]))
 
 
+SHARED = "<html><body><div class=top>Daily Site</div><article><h1>{0}</h1><p>{1}</p><p>Own part {2}, <b>bold</b> as ever.</p></article><div class=end>All rights</div></body></html>"
+
+
+def test_shared_headline_and_paragraph_stay_in_the_article(spark):
+    """Two of three pages share headline and first paragraph; all have a bold word in common."""
+    pages = [SHARED.format("The and attion", "The same first paragraph.", "a"), SHARED.format("The and attion", "The same first paragraph.", "b"), SHARED.format("Other", "Another one.", "c")]
+    want = [f"{h}\n{p}\nOwn part {x}, bold as ever." for h, p, x in (("The and attion", "The same first paragraph.", "a"), ("The and attion", "The same first paragraph.", "b"), ("Other", "Another one.", "c"))]
+    known = wrapper.induce(pages)
+    assert [wrapper.extract(p, known) for p in pages] == want
+    df = spark.createDataFrame([(i, f"http://h/{i}", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    assert [r.text for r in wrapper.main_text(df).orderBy("page_id").collect()] == [wrapper.extract(p, known) for p in pages]
+
+
 def test_class_words_do_not_empty_an_article():
     page = "<html><body><div class='content has-sidebar no-comments'><article><p>Story {0}.</p><section id='search-results' class='related-work'><p>Results {0}.</p></section></article></div></body></html>"
     pages = [page.format(i) for i in range(3)]

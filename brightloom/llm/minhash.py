@@ -8,8 +8,11 @@ threshold; a component is what links connect. The steps:
 2. Texts that share a band key share a bucket. Only a bucket's *leader* is compared with its
    members: first minima, then the full sets. Links give components by alternating
    large-star and small-star steps; a bucket whose members are in one component is done.
+   Buckets larger than a block get new leaders, from outside their largest component, as
+   long as each round at least halves what is open in them.
 3. The remaining buckets are compared in blocks of bounded size inside tasks, pairs of one
-   component skipped. A first pass lets out a forest, the likeliest pairs that join a block's
+   component skipped. In a bucket larger than a block, members of its largest component are
+   never placed beside each other: they meet the blocks of the others only. A first pass lets out a forest, the likeliest pairs that join a block's
    components, at most one per member; the full sets confirm them and components merge. The
    last pass names the members that have a possible partner in another component, brings
    their full sets to their blocks and compares all such pairs there; again a forest, now of
@@ -43,12 +46,10 @@ from brightloom.session import cut, stage
 
 #: Members of a bucket that are compared in one block; bounds a task's memory.
 BLOCK = 512
-#: Rows up to which the list of texts to read again is broadcast; beyond, Spark joins by shuffle.
-BROADCAST_ROWS = 1_000_000
 #: Rows of a small table that one task takes on.
 TASK_ROWS = 200_000
 #: Passes over the buckets, in order.
-PASSES = ("leader", "forest", "rest")
+PASSES = ("leader", "again", "forest", "rest")
 
 
 @dataclass(frozen=True)
@@ -131,7 +132,8 @@ def describe(docs: DataFrame, scheme: Scheme) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, scheme: Scheme) -> DataFrame:
-    """Full sets and minima of the wanted classes, each read from one of its texts."""
+    """Full sets of the wanted classes (cid, doc_id, text_hash, rows), each read from one of
+    its texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,19 +141,16 @@ def _sets(docs: DataFrame, wanted: DataFrame, scheme: Scheme) -> DataFrame:
                 part = batch.slice(at, ROWS)
                 sets = shingle_sets(text_column(part.column("text")), scheme.width)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("cid"), part.column("minima"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                    names=["cid", "minima", "windows"],
+                    [part.column("cid"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["cid", "windows"],
                 )
         release()
 
     texts = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
-    size = wanted.agg(F.count(F.lit(1)), F.max("rows")).first()
-    side = F.broadcast(wanted) if size[0] <= BROADCAST_ROWS else wanted
-    same = texts.doc_id.eqNullSafe(side.doc_id) & (texts.text_hash == side.text_hash)
-    found = texts.join(side, same).select("cid", "minima", "text")
-    if (size[1] or 0) > 1:  # rows that are repeated in every column
+    same = texts.doc_id.eqNullSafe(wanted.doc_id) & (texts.text_hash == wanted.text_hash)
+    found = texts.join(wanted, same).select("cid", "text")
+    if (wanted.agg(F.max("rows")).first()[0] or 0) > 1:  # rows that are repeated in every column
         found = found.dropDuplicates(["cid"])
-    return found.mapInArrow(run, "cid long, minima binary, windows array<long>")
+    return found.mapInArrow(run, "cid long, windows array<long>")
 
 
 def _cut(df: DataFrame, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
@@ -187,7 +186,7 @@ def components(links: DataFrame) -> DataFrame:
             )
 
 
-def _estimated(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
+def _estimated(pairs: DataFrame, signs: DataFrame, scheme: Scheme) -> DataFrame:
     """Signature verification: pairs (a, b) whose minima agree often enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +195,7 @@ def _estimated(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
             two = np.frombuffer(b"".join(batch.column("two").to_pylist()), np.uint8).reshape(-1, scheme.minima)
             yield batch.select(["a", "b"]).filter(pa.array((one == two).sum(axis=1) >= scheme.least_agreeing))
 
-    slim = sets.select("cid", "minima")
+    slim = signs.select("cid", "minima")
     one = pairs.join(slim.select(F.col("cid").alias("a"), F.col("minima").alias("one")), "a")
     return one.join(slim.select(F.col("cid").alias("b"), F.col("minima").alias("two")), "b").mapInArrow(run, "a long, b long")
 
@@ -213,9 +212,21 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
 
 
 def _open_buckets(members: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one component."""
-    mixed = members.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("held"))
-    return members.join(mixed.filter("x < y").select("bucket", "held"), "bucket")
+    """Members of buckets that hold more than one component, with the bucket's size (held) and
+    its largest component (major) with the members of it (top)."""
+    sizes = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    largest = F.max(F.struct("n", "root"))
+    mixed = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("held"), largest.alias("l")).filter("parts > 1")
+    return members.join(mixed.select("bucket", "held", F.col("l.root").alias("major"), F.col("l.n").alias("top")), "bucket")
+
+
+def _met(held: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of a leader per bucket and its members in other components. The leader is
+    outside the largest component and another one in each turn."""
+    rank = F.xxhash64("cid", F.lit(turn))
+    lead = held.filter("root <> major").groupBy("bucket").agg(F.min(F.struct(rank.alias("rank"), "cid", "root")).alias("lead"))
+    met = held.join(lead, "bucket").filter("root <> lead.root")
+    return met.select(F.col("lead.cid").alias("a"), F.col("cid").alias("b")).distinct()
 
 
 def _forest(root: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -241,10 +252,18 @@ def _forest(root: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def _cells(members: DataFrame) -> DataFrame:
-    """Members of open buckets in cells: a block with itself (side 2) or two blocks (0 and 1)."""
-    n = F.ceil(F.col("held") / F.lit(BLOCK)).cast("int")
-    placed = members.withColumn("n", n).withColumn("own", F.pmod(F.xxhash64("cid", "bucket"), F.col("n")).cast("int"))
-    return placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
+    """Members of open buckets in cells: a block with itself (side 2) or two blocks (0 and 1).
+    Above one block, the largest component has blocks of its own, which come after those of
+    the others and meet only them."""
+    small = F.col("held") <= BLOCK
+    rest = F.when(small, 1).otherwise(F.ceil((F.col("held") - F.col("top")) / F.lit(BLOCK))).cast("int")
+    major = F.when(small, 0).otherwise(F.ceil(F.col("top") / F.lit(BLOCK))).cast("int")
+    hashed, apart = F.xxhash64("cid", "bucket"), (F.col("root") == F.col("major")) & ~small
+    placed = members.withColumns({"_rest": rest, "_major": major}).withColumns({
+        "own": F.when(apart, F.col("_rest") + F.pmod(hashed, F.col("_major"))).otherwise(F.pmod(hashed, F.col("_rest"))).cast("int"),
+        "last": F.when(apart, F.col("_rest")).otherwise(F.col("_rest") + F.col("_major")) - 1,
+    })
+    return placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last")))).select(
         F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "bucket", "cid", "root",
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
     )
@@ -335,23 +354,35 @@ def near_links(docs: DataFrame, described: DataFrame, scheme: Scheme) -> DataFra
     wanted = wanted.join(rows_of, wanted.doc_id.eqNullSafe(rows_of.doc_id) & (wanted.text_hash == rows_of.text_hash)).select(
         wanted["*"], rows_of["rows"]
     )
-    wanted = cut(wanted)
+    wanted = stage(wanted)
     signs = wanted.select("cid", "minima", "bands")
-    sets = stage(_sets(docs, wanted.drop("bands"), scheme))
+    # a table of its own, so that Spark measures these few columns when it picks the join
+    sets = stage(_sets(docs, stage(wanted.select("cid", "doc_id", "text_hash", "rows")), scheme))
 
     roots = None
-    for step in PASSES:
+    steps, turn, before = list(PASSES), 0, None
+    while steps:
         if roots is None:
             now = members.withColumn("root", F.col("cid"))
         else:
             now = members.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-        held, open_ = _cut(_open_buckets(now))
+        held, open_ = _cut(_open_buckets(now), large=F.col("held") > BLOCK)
         if not open_["rows"]:
             break
-        if step == "leader":
-            lead = held.groupBy("bucket").agg(F.min("cid").alias("lead"))
-            met = held.join(lead, "bucket").filter("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")).distinct()
-            links = _confirmed(_estimated(met, sets, scheme), sets, scheme)
+        step = steps[0]
+        if step == "again" and (not open_["large"] or (before is not None and 2 * open_["large"] > before)):
+            steps.pop(0)
+            if not steps:
+                break
+            step = steps[0]
+        if step == "again":
+            before = open_["large"]
+        else:
+            steps.pop(0)
+        if step in ("leader", "again"):
+            met = _met(held if step == "leader" else held.filter(F.col("held") > BLOCK), turn)
+            turn += 1
+            links = _confirmed(_estimated(met, signs, scheme), sets, scheme)
         elif step == "forest":
             links = _confirmed(_likely(_cells(held), signs, scheme), sets, scheme)
         else:

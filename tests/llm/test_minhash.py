@@ -53,11 +53,10 @@ def test_components_beside_all_pairs(spark):
     assert result(near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(5), SCHEME)) == want
 
 
-@pytest.mark.parametrize("passes", [("rest",), ("leader", "forest", "rest")])
+@pytest.mark.parametrize("passes", [("rest",), ("leader", "forest", "rest"), ("leader", "again", "forest", "rest")])
 def test_blocks_find_what_leaders_miss(spark, monkeypatch, passes):
     monkeypatch.setattr(minhash, "PASSES", passes)
     monkeypatch.setattr(minhash, "BLOCK", 8)
-    monkeypatch.setattr(minhash, "BROADCAST_ROWS", 0)
     rng = random.Random(5)
     rows = list(enumerate(family(rng, 80, 200, 14)))
     want = sorted(brute.near_components(rows, 3, 85), key=repr)
@@ -65,6 +64,26 @@ def test_blocks_find_what_leaders_miss(spark, monkeypatch, passes):
     assert result(near_duplicates(spark.createDataFrame(rows, SCHEMA), SCHEME)) == want
 
 
+def test_blocks_of_a_large_component_meet_only_the_others(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    rows = [(b, b * 1000 + i, b * 1000 if i < top else b * 1000 + i) for b, n, top in ((1, 6, 3), (2, 100, 90), (3, 40, 1)) for i in range(n)]
+    held = minhash._open_buckets(spark.createDataFrame(rows + [(4, 1, 1), (4, 2, 1)], "bucket long, cid long, root long"))
+    cells = {}
+    for r in minhash._cells(held).collect():
+        cells.setdefault((r.bucket, r.cell), []).append(r)
+    met = set()
+    for cell in cells.values():
+        for i, a in enumerate(cell):
+            for b in cell[i + 1 :]:
+                if a.root != b.root and (a.side == b.side == 2 or {a.side, b.side} == {0, 1}):
+                    assert (pair := frozenset((a.cid, b.cid))) not in met
+                    met.add(pair)
+    want = {frozenset((a[1], b[1])) for a in rows for b in rows if a[0] == b[0] and a[2] != b[2]}
+    assert met == want
+    # 90 of one component stand in the two blocks of the ten others, these in two and twelve
+    assert sum(len(c) for (b, _), c in cells.items() if b == 2) == 90 * 2 + 10 * 14
+
+
 def test_bands_that_agree_in_low_bytes_only_hide_no_link(spark, monkeypatch):
     # 0 and 896 agree in band 3 by low bytes alone; in each band they share, another text meets them
     def text(seed, changed):

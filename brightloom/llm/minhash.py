@@ -147,7 +147,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, scheme: Scheme) -> DataFrame:
 
     texts = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
     same = texts.doc_id.eqNullSafe(wanted.doc_id) & (texts.text_hash == wanted.text_hash)
-    found = texts.join(wanted, same).select("cid", "text")
+    # by shuffle at every size: the list grows with the input
+    found = texts.join(wanted.hint("merge"), same).select("cid", "text")
     if (wanted.agg(F.max("rows")).first()[0] or 0) > 1:  # rows that are repeated in every column
         found = found.dropDuplicates(["cid"])
     return found.mapInArrow(run, "cid long, windows array<long>")

@@ -150,3 +150,11 @@ def test_addresses(spark):
     ]
     assert got == dict(enumerate(want + want[:2]))
     assert urlrules.judge(df.limit(0), rules).count() == 0
+
+
+def test_dropped_elements_below_the_deepest_level_go_with_their_contents():
+    deep = "<div>" * 400
+    inner = "<p>one</p><div class='ad'>no<div>no</div>no<form>no</form></div><div>two</div>three<nav>no<ul><li>no</ul></nav><p>four"
+    page = f"<html><body><article>{deep}{inner}{'</div>' * 400}</article></body></html>"
+    assert wrapper.extract(page, wrapper.induce([])) == "one\ntwo\nthree\nfour"
+    assert wrapper.extract("<html><body>" + "<div>x" * 20_000 + "</p></b>" * 20_000, wrapper.induce([])) == "\n".join("x" * 20_000)

@@ -8,10 +8,12 @@ circle leaves its block, in the blocks it touches.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -225,20 +227,107 @@ def shuffled_place(place: Column, n: int, key: Column, seed: int = SEED) -> Colu
     return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), network(place.cast("long")), lambda x, _: F.when(x < n, x).otherwise(network(x)))
 
 
+def _unshuffled(at: np.ndarray, n: int, key: np.ndarray, seed: int) -> np.ndarray:
+    """The places that ``shuffled_place`` sends to ``at``: its network and walk backwards."""
+    bits = max(1, (n - 1).bit_length())
+    low, high = bits - bits // 2, bits // 2
+
+    def back(y: np.ndarray, k: np.ndarray) -> np.ndarray:
+        for i in reversed(range(ROUNDS)):
+            right, left = (low, high) if i % 2 == 0 else (high, low)
+            own = y >> left
+            mixed = (own * 48271 + (k * 69621 + i * 16807 + seed)) % PRIME
+            mixed = (mixed * mixed % PRIME * 39373 + own) % PRIME
+            y = (((y ^ mixed) & ((1 << left) - 1)) << right) + own
+        return y
+
+    x = back(at, key)
+    while (out := np.flatnonzero(x >= n)).size:
+        x[out] = back(x[out], key[out])
+    return x
+
+
+#: Permutations in one row's array, and places in one block of dealt values.
+LOT = 125
+DEALT_ROWS = 1024
+#: Values that one task deals out.
+DEALT_VALUES = 1 << 21
+
+
+def _deal(z: DataFrame, n: int, permutations: int, seed: int) -> DataFrame:
+    """(place, lot, zs): the values that each place gets in the permutations of a lot. Every
+    value works out the places it goes to and travels there in arrays, one for each block of
+    places; a task holds one batch of values or one block and lot."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lots = batch.column("lot").to_numpy()
+            for lot in np.unique(lots):
+                some = np.flatnonzero(lots == lot)
+                perms = np.arange(lot * LOT + 1, min((lot + 1) * LOT, permutations) + 1)
+                key = np.tile(perms, len(some))
+                to = _unshuffled(np.repeat(batch.column("place").to_numpy()[some] - 1, len(perms)), n, key, seed)
+                order = np.argsort(to, kind="stable")
+                blocks, first = np.unique(to[order] // DEALT_ROWS, return_index=True)
+                offsets = pa.array(np.append(first, len(to)), pa.int32())
+                zs = batch.column("z").take(pa.array(some[order // len(perms)]))
+                lists = [pa.ListArray.from_arrays(offsets, v) for v in (pa.array(to[order] % DEALT_ROWS), pa.array(key[order] - perms[0]), zs)]
+                yield pa.RecordBatch.from_arrays([pa.array(blocks), pa.array(np.full(len(blocks), lot)), *lists], names=["block", "lot", "at", "slot", "z"])
+
+    def receive(some: pa.Table) -> pa.Table:
+        block, lot = some["block"][0].as_py(), some["lot"][0].as_py()
+        size = min(DEALT_ROWS, n - block * DEALT_ROWS)
+        at, slot, v = (pc.list_flatten(some[c]).combine_chunks() for c in ("at", "slot", "z"))
+        width = min(LOT, permutations - lot * LOT)
+        order = np.empty(size * width, np.int64)
+        order[at.to_numpy() * width + slot.to_numpy()] = np.arange(len(at))
+        return pa.table({
+            "place": np.arange(size) + block * DEALT_ROWS + 1, "lot": np.full(size, lot),
+            "zs": pa.ListArray.from_arrays(pa.array(np.arange(size + 1) * width, pa.int32()), v.take(pa.array(order)))})
+
+    lots = F.explode(F.sequence(F.lit(0).cast("long"), F.lit((permutations - 1) // LOT).cast("long"))).alias("lot")
+    # few bytes and much work: the number of tasks follows from the values dealt
+    spread = z.select("place", "z", lots).repartition(max(1, math.ceil(n * permutations / DEALT_VALUES)), "place", "lot")
+    sent = spread.mapInArrow(send, "block long, lot long, at array<long>, slot array<long>, z array<double>")
+    return sent.groupBy("block", "lot").applyInArrow(receive, "place long, lot long, zs array<double>")
+
+
+def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of w * zi * zj and numbers of known products, per lot, in the order of its permutations."""
+    for batch in batches:
+        lots = batch.column("lot").to_numpy()
+        for lot in np.unique(lots):
+            some = batch.filter(pa.array(lots == lot))
+            w = some.column("w").to_numpy(zero_copy_only=False)
+            sides = [some.column(c).flatten() for c in ("zi", "zj")]
+            left, right = (v.fill_null(0.0).to_numpy().reshape(len(w), -1) for v in sides)
+            if sides[0].null_count or sides[1].null_count:
+                found = (pc.and_(sides[0].is_valid(), sides[1].is_valid())).to_numpy(zero_copy_only=False).reshape(len(w), -1).sum(axis=0)
+            else:
+                found = np.full(left.shape[1], len(w))
+            total = np.einsum("e,ep,ep->p", w, left, right)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lot]), pa.array([total], pa.list_(pa.float64())), pa.array([found], pa.list_(pa.int64()))], names=["lot", "total", "found"])
+
+
 def moran_permutations(weights: DataFrame, values: DataFrame, permutations: int = PERMUTATIONS, seed: int = SEED) -> DataFrame:
     """Pseudo p and z of I against random reassignments of the values.
 
-    Each permutation is a keyed bijection of the entities' places, so values are dealt out by
-    an expression and an equal join; nothing is ordered per permutation.
+    Each permutation is a keyed bijection of the entities' places, so nothing is ordered per
+    permutation. A row holds an entity's values of a whole lot of permutations, and an edge
+    meets its two ends once a lot instead of once a permutation.
     """
     z = cut(row_numbers(deviations(values), [], [F.col("id")], "place"))
     n = z.count()
-    perm = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(permutations).cast("long"))).alias("perm")
-    dealt = z.select("id", (F.col("place") - 1).alias("own"), perm).withColumn("place", shuffled_place(F.col("own"), n, F.col("perm"), seed) + 1)
-    shuffled = stage(dealt.select("perm", "id", "place").join(z.select("place", "z"), "place").select("perm", "id", "z"))
-    a = shuffled.select("perm", F.col("id").alias("i"), F.col("z").alias("zi"))
-    b = shuffled.select("perm", F.col("id").alias("j"), F.col("z").alias("zj"))
-    per = weights.join(a, "i").join(b, ["perm", "j"]).groupBy("perm").agg(F.sum(F.col("w") * F.col("zi") * F.col("zj")).alias("zl"))
+    dealt = stage(_deal(z, n, permutations, seed))
+    ends = z.select("id", "place")
+    edges = weights.filter("w is not null").join(ends.select(F.col("id").alias("i"), F.col("place").alias("a")), "i").join(
+        ends.select(F.col("id").alias("j"), F.col("place").alias("b")), "j").select("a", "b", "w")
+    pairs = edges.join(dealt.select(F.col("place").alias("b"), "lot", F.col("zs").alias("zj")), "b").join(
+        dealt.select(F.col("place").alias("a"), "lot", F.col("zs").alias("zi")), ["a", "lot"])
+    sums = pairs.select("lot", "w", "zi", "zj").mapInArrow(_cross, "lot long, total array<double>, found array<long>")
+    per = sums.select("lot", F.posexplode(F.arrays_zip("total", "found")).alias("slot", "s")).groupBy("lot", "slot").agg(
+        F.sum("s.total").alias("zl"), F.sum("s.found").alias("found")).filter("found > 0")
     size = z.agg(F.struct(F.count(F.lit(1)).alias("n"), F.sum(F.col("z") ** 2).alias("zz"))).scalar()
     s0 = weights.agg(F.sum("w")).scalar()
     sims = per.withColumn("_s", size).select(
@@ -266,33 +355,137 @@ def moran_local(weights: DataFrame, values: DataFrame) -> DataFrame:
         "i", "z", "lag", ((F.col("_s.n") - 1) * F.col("z") * F.col("lag") / F.col("_s.zz")).alias("local_i"), quadrant.alias("quadrant"))
 
 
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def _finished(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    return h ^ (h >> np.uint64(32))
+
+
+def hashed_int(seeds: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """``F.xxhash64`` of a row whose columns so far hash to ``seeds`` (uint64) and one more int."""
+    return _finished(_turned((seeds + (_P5 + np.uint64(4))) ^ (v.astype(np.uint64) * _P1), 23) * _P2 + _P3)
+
+
+def hashed_long(seeds: np.ndarray, v: int) -> np.ndarray:
+    """The same for one more long."""
+    mixed = _turned(np.array([v]).astype(np.uint64) * _P2, 31) * _P1
+    return _finished(_turned((seeds + (_P5 + np.uint64(8))) ^ mixed, 27) * _P1 + _P4)
+
+
+#: Rows of one group of entities, of one block of values, and of one array of values.
+GROUP_ROWS = 1024
+VALUE_ROWS = 1 << 20
+PACK_ROWS = 4096
+#: Draws that are held at a time.
+DRAWS = 1 << 17
+
+
+def _drawn_sums(bases: np.ndarray, owns: np.ndarray, k: int, m: int, start: int, values: np.ndarray, known: np.ndarray | None, permutations: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the values among ``values``, which begin at place ``start`` + 1, that the rows
+    draw in each permutation: k of m others; and whether any was known."""
+    if k > m:
+        raise ValueError(f"{k} neighbours of {m} others")
+    total, found = np.zeros((len(bases), permutations)), np.zeros((len(bases), permutations), bool)
+    rows = max(1, DRAWS // (k * permutations))
+    width = max(1, min(permutations, DRAWS // k))
+    for r in range(0, len(bases), rows):
+        for c in range(0, permutations, width):
+            part = np.s_[r : r + rows, c : c + width]
+            seeds = hashed_int(bases[r : r + rows, None], np.arange(c, min(c + width, permutations))[None] + 1)
+            picks: list[np.ndarray] = []
+            for step in range(m - k, m):
+                pick = hashed_long(seeds, step).view(np.int64) % (step + 1)
+                taken = np.zeros(pick.shape, bool)
+                for other in picks:
+                    taken |= pick == other
+                picks.append(np.where(taken, step, pick))
+            for pick in picks:
+                at = pick + (pick >= owns[r : r + rows, None] - 1) - start
+                if start or len(values) <= m:
+                    inside = (at >= 0) & (at < len(values))
+                    at = np.where(inside, at, 0)
+                else:
+                    inside = None
+                if known is not None:
+                    inside = known[at] if inside is None else inside & known[at]
+                total[part] += values[at] if inside is None else np.where(inside, values[at], 0.0)
+                if inside is None:
+                    found[part] = True
+                else:
+                    found[part] |= inside
+    return total, found
+
+
 def local_clusters(weights: DataFrame, values: DataFrame, permutations: int = PERMUTATIONS, seed: int = SEED) -> DataFrame:
     """Local I with a two-sided pseudo p from conditional permutations, and the cluster
     name where it is significant.
 
-    An entity's value stays; its neighbours are redrawn without repetition from all
-    others. A draw is an expression on hashes of (seed, entity, permutation, step), so
-    no list of entities is ever held: positions are drawn and then looked up by a join.
+    An entity's value stays; its neighbours are redrawn without repetition from all others.
+    A draw is a hash of (seed, entity, permutation, step), so groups of entities repeat their
+    draws beside each block of values and keep what falls into it: no draw is ever a row, and
+    a task holds one group and one block.
     """
     local = cut(moran_local(weights, values))
     z = cut(row_numbers(deviations(values), [], [F.col("id")], "place"))
-    n = z.agg(F.count(F.lit(1))).scalar()
+    n = z.count()
     degree = weights.groupBy("i").agg(F.count(F.lit(1)).alias("k"))
-    perm = F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("perm")
-    base = degree.join(z.select(F.col("id").alias("i"), "place"), "i").withColumn("m", n - 1).select("i", "k", "place", "m", perm)
-
-    def draw(acc: Column, step: Column) -> Column:
-        pick = F.pmod(F.xxhash64(F.lit(seed), F.col("i"), F.col("perm"), step), step + 1)
-        return F.array_append(acc, F.when(F.array_contains(acc, pick), step).otherwise(pick))
-
-    steps = F.sequence(F.col("m") - F.col("k"), F.col("m") - 1)
-    picks = F.aggregate(steps, F.array().cast("array<bigint>"), draw)
-    drawn = base.select("i", "perm", "k", F.col("place").alias("own"), F.explode(picks).alias("at")).select(
-        "i", "perm", "k", (F.col("at") + 1 + (F.col("at") + 1 >= F.col("own")).cast("int")).alias("place"))
-    sims = drawn.join(z.select("place", "z"), "place").groupBy("i", "perm").agg((F.sum("z") / F.max("k")).alias("sim_lag"))
-    counts = sims.join(local.select("i", "z", "lag"), "i").groupBy("i").agg(
-        F.count_if(F.col("z") * F.col("sim_lag") >= F.col("z") * F.col("lag")).alias("above"),
-        F.count_if(F.col("z") * F.col("sim_lag") <= F.col("z") * F.col("lag")).alias("below"))
+    # rows of one id share their draws; the first of them names the entity
+    entity = cut(z.filter("id is not null").groupBy(F.col("id").alias("i")).agg(F.min("place").alias("e"))
+                 .withColumn("g", F.floor((F.col("e") - 1) / GROUP_ROWS).cast("long")).join(degree, "i"))
+    block = F.floor((F.col("place") - 1) / VALUE_ROWS).cast("long").alias("block")
+
+    def up_to(last: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(0, last)).cast("long")))
+
+    base = entity.join(z.select(F.col("id").alias("i"), "place"), "i").select(
+        "g", "e", "k", F.col("place").alias("own"), F.xxhash64(F.lit(seed), F.col("i")).alias("base"), up_to((n - 1) // VALUE_ROWS).alias("block"))
+    packs = z.groupBy(block, F.floor((F.col("place") - 1) / PACK_ROWS).cast("long").alias("pack")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("place", "z"))), lambda p: p.z).alias("zs")).select(
+        "*", up_to((n - 1) // GROUP_ROWS).alias("g"))
+
+    def draw(rows: pa.Table, some: pa.Table) -> pa.Table:
+        flat = pc.list_flatten(some.sort_by("pack")["zs"]).combine_chunks()
+        known = flat.is_valid().to_numpy(zero_copy_only=False) if flat.null_count else None
+        held = flat.fill_null(0.0).to_numpy()
+        out, ks = [], rows["k"].to_numpy()
+        for k in np.unique(ks):
+            own = rows.filter(pa.array(ks == k))
+            start = own["block"][0].as_py() * VALUE_ROWS
+            total, found = _drawn_sums(
+                own["base"].to_numpy().view(np.uint64), own["own"].to_numpy(), int(k), n - 1, start, held, known, permutations)
+            sums = pa.array(total.ravel(), mask=None if found.all() else ~found.ravel())
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1) * permutations, pa.int32()), sums)
+            out.append(pa.table({"g": own["g"], "e": own["e"], "sums": lists}))
+        return pa.concat_tables(out) if out else pa.table({"g": pa.array([], pa.int64()), "e": pa.array([], pa.int64()), "sums": pa.array([], pa.list_(pa.float64()))})
+
+    def compare(some: pa.Table, own: pa.Table) -> pa.Table:
+        places, at = np.unique(some["e"].to_numpy(), return_inverse=True)
+        sums, found = np.zeros((len(places), permutations)), np.zeros((len(places), permutations), bool)
+        flat = pc.list_flatten(some["sums"]).combine_chunks()
+        np.add.at(sums, at, flat.fill_null(0.0).to_numpy().reshape(-1, permutations))
+        np.logical_or.at(found, at, flat.is_valid().to_numpy(zero_copy_only=False).reshape(-1, permutations))
+        above, below = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
+        for e, k, zi, lag in zip(*(own[c].to_pylist() for c in ("e", "k", "z", "lag"))):
+            if zi is not None and lag is not None:
+                r = np.searchsorted(places, e)
+                sim, seen = zi * (sums[r] / k), zi * lag
+                # as in Spark, NaN equals NaN and is above all else
+                above[r] += (((sim >= seen) | np.isnan(sim)) & found[r]).sum()
+                below[r] += (((sim <= seen) | math.isnan(seen)) & found[r]).sum()
+        return pa.table({"e": places, "above": above, "below": below})
+
+    sums = base.groupBy("g", "block").cogroup(packs.groupBy("g", "block")).applyInArrow(draw, "g long, e long, sums array<double>")
+    seen = local.select("i", "z", "lag").join(entity, "i").select("g", "e", "k", "z", "lag")
+    counted = sums.groupBy("g").cogroup(seen.groupBy("g")).applyInArrow(compare, "e long, above long, below long")
+    counts = counted.join(entity.select("e", "i"), "e").select("i", "above", "below")
     p = F.least(F.lit(1.0), 2 * (F.least("above", "below") + 1) / F.lit(permutations + 1))
     out = local.join(counts, "i").withColumn("p_sim", p)
     return out.select(

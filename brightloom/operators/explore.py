@@ -8,7 +8,7 @@ from itertools import combinations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -33,9 +33,18 @@ def imbalance(df: DataFrame, flag: str, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def _pearson(a: str, b: str) -> Column:
+    """r over rows that have both; NaN where one of the two is constant, null without rows.
+    ``F.corr`` divides by zero for a constant, which is an error."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x, y = (F.when(both, F.col(c).cast("double")) for c in (a, b))
+    r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    return F.when(F.count(x) > 0, F.coalesce(r, F.lit(math.nan)))
+
+
 def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Pearson r of column pairs, all in one pass."""
-    one = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    one = df.agg(*[_pearson(a, b).alias(f"{a}|{b}") for a, b in pairs])
     rows = [
         F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), F.col(f"`{a}|{b}`").alias("r"))
         for a, b in pairs
@@ -72,7 +81,8 @@ def lag_window_scan(
     df: DataFrame, rain: str, level: str, flag: str, windows: Sequence[int], steps: Sequence[int],
     keys: Sequence[str] = (), time: str = "hour",
 ) -> DataFrame:
-    """Correlation of rolling sums and lags with a flag; the best of each kind is marked."""
+    """Correlation of rolling sums and lags with a flag; the highest of each kind are marked
+    (as in SQL, NaN is above all else and equals itself, and null has no mark)."""
     w = Window.partitionBy(*keys).orderBy(time)
     sums = {f"sum_{n}h": F.sum(rain).over(w.rowsBetween(-(n - 1), 0)) for n in windows}
     lagged = {f"lag_{n}h": F.lag(level, n).over(w) for n in steps}
@@ -80,5 +90,5 @@ def lag_window_scan(
     kind = F.when(F.col("left").startswith("sum_"), "window").otherwise("lag")
     scan = correlations(wide, [(c, flag) for c in (*sums, *lagged)]).select(
         kind.alias("kind"), F.col("left").alias("feature"), "r")
-    best = scan.groupBy("kind").agg(F.max_by("feature", F.struct("r", "feature")).alias("best"))
-    return scan.join(best, "kind").select("kind", "feature", "r", (F.col("feature") == F.col("best")).alias("is_best"))
+    best = scan.groupBy("kind").agg(F.max("r").alias("best"))
+    return scan.join(best, "kind").select("kind", "feature", "r", (F.col("r") == F.col("best")).alias("is_best"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from brightloom.functions.advisory import advisory_text
 from brightloom.functions.calendar import calendar_features
 from brightloom.functions.common import CHURN_BANDS, FLOOD_BANDS, band, right_closed
-from brightloom.operators import series
+from brightloom.operators import explore, series
 
 T0 = datetime(2024, 1, 1)
 
@@ -96,3 +96,17 @@ def test_advisory(frame):
     assert got[0] == "Wilayah X dalam status AMAN (15% risiko) untuk 6 jam ke depan. Tetap pantau update."
     assert got[1].startswith("PRIORITAS AWAS: Y, probabilitas banjir 86%") and got[1].endswith("Window aksi: 2 jam.")
     assert "status WASPADA banjir (30%)" in got[2]
+
+
+def test_lag_scan_of_constants(frame):
+    """A constant column has r NaN, which counts as highest as in SQL; no pairs have null."""
+    rows = [(T0 + timedelta(hours=i), float(i % 4), 7.0, int(i % 5 == 0), 0) for i in range(40)]
+    df = frame(rows, "hour timestamp_ntz, rain double, level double, flag int, calm int")
+    got = {r["feature"]: (r["r"], r["is_best"]) for r in explore.lag_window_scan(df, "rain", "level", "calm", [1, 2], [0, 3]).collect()}
+    assert len(got) == 4 and all(np.isnan(r) and best for r, best in got.values())
+    got = {r["feature"]: (r["r"], r["is_best"]) for r in explore.lag_window_scan(df, "rain", "level", "flag", [1, 2], [0, 50]).collect()}
+    pdf = pd.DataFrame(rows, columns=["hour", "rain", "level", "flag", "calm"])
+    want = [pdf["rain"].corr(pdf["flag"]), pdf["rain"].rolling(2, min_periods=1).sum().corr(pdf["flag"])]
+    assert [got[f"sum_{n}h"][0] for n in (1, 2)] == pytest.approx(want)
+    assert [got[f"sum_{n}h"][1] for n in (1, 2)] == [w == max(want) for w in want]
+    assert np.isnan(got["lag_0h"][0]) and got["lag_0h"][1] and got["lag_50h"] == (None, None)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import uuid
 from collections.abc import Sequence
@@ -29,6 +30,8 @@ from brightloom.session import cut, shared_dir
 
 #: Fits that run side by side.
 PARALLEL = 8
+#: Training rows of one partition, on average.
+PART_ROWS = 20_000
 
 
 class _FlagParams(HasInputCol, HasOutputCol):
@@ -101,6 +104,15 @@ def with_class_weight(df: DataFrame, label: str) -> DataFrame:
     return df.withColumn("weight", F.when(F.col(label) == 1, ratio).otherwise(1.0))
 
 
+def training_rows(df: DataFrame, *columns: str) -> DataFrame:
+    """The columns that learners read, frozen in partitions of a bounded number of rows. A
+    learner holds about 1 KB a row (encoded, with its count in each tree), much more than the
+    bytes by which Spark sizes partitions, and a task reads all of its partition."""
+    parts = math.ceil(df.count() / PART_ROWS)
+    slim = df.select(*columns)
+    return cut(slim.repartition(parts) if parts > 1 else slim)
+
+
 def candidates(label: str) -> dict[str, Estimator]:
     common = {"featuresCol": "features", "labelCol": label, "weightCol": "weight"}
     return {
@@ -194,7 +206,7 @@ def tree_importance(model, names: Sequence[str], spark, top_n: int = 5, lowering
 
 def fit_classifier(df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str], learner: str = "logistic_regression") -> tuple[PipelineModel, Model]:
     enc = reloaded(encoder(numeric, categorical).fit(df), df.sparkSession)
-    ready = cut(with_class_weight(enc.transform(df), label).select("features", label, "weight"))
+    ready = training_rows(with_class_weight(enc.transform(df), label), "features", label, "weight")
     return enc, reloaded(candidates(label)[learner].fit(ready), df.sparkSession)
 
 

@@ -51,14 +51,15 @@ def _(t):
 def _(t):
     p, enc = encoded(t)
     train = metrics.folds(enc.transform(p["train"]), "Churn", "customerID")
-    ready = cut(learning.with_class_weight(train, "Churn").select("features", "Churn", "weight", "fold"))
+    ready = learning.training_rows(learning.with_class_weight(train, "Churn"), "features", "Churn", "weight", "fold")
     return learning.compare_models(ready, "Churn", "fold")
 
 
 @query("ml_param_search")
 def _(t):
     p, enc = encoded(t)
-    return learning.search(cut(learning.with_class_weight(enc.transform(p["train"]), "Churn").select("features", "Churn", "weight")), "Churn")
+    ready = learning.training_rows(learning.with_class_weight(enc.transform(p["train"]), "Churn"), "features", "Churn", "weight")
+    return learning.search(ready, "Churn")
 
 
 @query("ml_calibrate")

@@ -185,3 +185,14 @@ def test_rows_with_unknown_outcome_are_not_trained_on(frame):
     assert series.known_by(df, "hour", 6).agg(F.max("hour")).first()[0] == d(2024, 1, 1, 17)
     got = [tuple(r) for r in series.training_frames(df, "hour", {6: "y", 12: "y"}).orderBy("horizon").collect()]
     assert got == [(6, d(2024, 1, 1), d(2024, 1, 1, 17), 18, 9, d(2024, 1, 1, 23)), (12, d(2024, 1, 1), d(2024, 1, 1, 11), 12, 6, d(2024, 1, 1, 23))]
+
+
+def test_training_rows_are_spread_by_number(spark, monkeypatch):
+    """One partition of many rows becomes several of about ``PART_ROWS``; no row is lost."""
+    df = spark.range(1000).coalesce(1).withColumn("y", (F.col("id") % 2).cast("int"))
+    assert learning.training_rows(df, "id").rdd.getNumPartitions() == 1
+    monkeypatch.setattr(learning, "PART_ROWS", 100)
+    ready = learning.training_rows(df, "id", "y")
+    sizes = [r["n"] for r in ready.groupBy(F.spark_partition_id()).agg(F.count("id").alias("n")).collect()]
+    assert len(sizes) == 10 and max(sizes) <= 120 and sum(sizes) == 1000
+    assert ready.select("id").distinct().count() == 1000

@@ -131,7 +131,7 @@ def compare_models(df: DataFrame, label: str, fold: str, k: int = 5) -> DataFram
     of all learners and folds run side by side."""
     def score(job: tuple[str, int]) -> float:
         name, i = job
-        model = candidates(label)[name].fit(df.filter(F.col(fold) != i))
+        model = reloaded(candidates(label)[name].fit(df.filter(F.col(fold) != i)), df.sparkSession)
         return _auc(label).evaluate(model.transform(df.filter(F.col(fold) == i)))
 
     learners = list(candidates(label))

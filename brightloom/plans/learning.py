@@ -33,7 +33,7 @@ def parts(t: Tables) -> dict[str, DataFrame]:
 def encoded(t: Tables):
     p = parts(t)
     enc = learning.encoder(NUMERIC, CATEGORICAL).fit(p["train"])
-    return p, enc
+    return p, learning.reloaded(enc, t.spark)
 
 
 @query("ml_encode")

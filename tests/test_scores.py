@@ -196,3 +196,13 @@ def test_training_rows_are_spread_by_number(spark, monkeypatch):
     sizes = [r["n"] for r in ready.groupBy(F.spark_partition_id()).agg(F.count("id").alias("n")).collect()]
     assert len(sizes) == 10 and max(sizes) <= 120 and sum(sizes) == 1000
     assert ready.select("id").distinct().count() == 1000
+
+
+def test_folds_are_scored_by_saved_models(sample, monkeypatch):
+    df = sample[0].withColumn("id", F.monotonically_increasing_id()).withColumn("kind", F.lit("a"))
+    enc = learning.encoder(["p", "m"], ["kind"]).fit(df)
+    ready = learning.training_rows(learning.with_class_weight(enc.transform(df), "y").withColumn("fold", (F.col("id") % 2).cast("int")), "features", "y", "weight", "fold")
+    keep, saved = learning.reloaded, []
+    monkeypatch.setattr(learning, "reloaded", lambda model, spark: saved.append(type(model).__name__) or keep(model, spark))
+    got = learning.compare_models(ready, "y", "fold", 2).collect()
+    assert len(saved) == 6 and [r["model"] for r in got] == list(learning.candidates("y")) and all(0.5 < r["auc_mean"] <= 1 for r in got)

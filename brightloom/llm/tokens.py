@@ -48,6 +48,7 @@ class Encoder:
         self.by_word = by_word
         alone = self.model.encode(BETWEEN, add_special_tokens=False).ids
         self.between = alone[0] if len(alone) == 1 else None
+        self.last = self._last()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -60,11 +61,42 @@ class Encoder:
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _last(self) -> np.ndarray | None:
+        """By id, whether it ends a piece of text; nothing where the tokenizer marks no ends, or
+        lacks a mark for one of the bytes."""
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        mark = getattr(self.model.model, "end_of_word_suffix", None)
+        vocabulary = self.model.get_vocab()
+        if not mark or any(x not in vocabulary or x + mark not in vocabulary for x in ByteLevel.alphabet()):
+            return None
+        last = np.zeros(max(vocabulary.values()) + 1, bool)
+        last[[i for x, i in vocabulary.items() if x.endswith(mark)]] = True
+        return last
+
+    def _letters(self, words: list[str], out: list[bytes | None]) -> None:
+        """Ids of words of letters alone: many in one call, cut behind the ids that end a piece.
+        Such a word is one piece at least, so with as many ends as words each is just one; a
+        group with more is left."""
+        letters = [i for i, w in enumerate(words) if w.isalpha()]
+        groups = [letters[at : at + JOINED] for at in range(0, len(letters), JOINED)]
+        coded = self.model.encode_batch_fast([" ".join([words[i] for i in g]) for g in groups], add_special_tokens=False)
+        for group, encoding in zip(groups, coded):
+            ids = np.array(encoding.ids, np.uint32)
+            stops = (4 * np.flatnonzero(self.last[ids]) + 4).tolist()
+            if len(stops) == len(group) and stops[-1] == 4 * len(ids):
+                raw = ids.tobytes()
+                for i, a, b in zip(group, [0, *stops], stops):
+                    out[i] = raw[a:b]
+
     def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of single words: many in one call, with a word of one id between them that none
-        of them holds. Where that word comes out another number of times, one by one."""
+        """Ids of single words: letters as above, others many in one call, with a word of one id
+        between them that none of them holds. Where that word comes out another number of times,
+        one by one."""
         out: list[bytes | None] = [None] * len(words)
-        calm = [i for i, w in enumerate(words) if BETWEEN not in w] if self.between is not None else []
+        if self.last is not None:
+            self._letters(words, out)
+        calm = [i for i, w in enumerate(words) if out[i] is None and BETWEEN not in w] if self.between is not None else []
         groups = [calm[at : at + JOINED] for at in range(0, len(calm), JOINED)]
         coded = self.model.encode_batch_fast([f" {BETWEEN} ".join([words[i] for i in g]) for g in groups], add_special_tokens=False)
         for group, encoding in zip(groups, coded):

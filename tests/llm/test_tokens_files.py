@@ -120,3 +120,22 @@ def test_packing_loses_no_id(spark):
     assert max(s.n_tokens for s in full) <= 2048 and sum(s.n_tokens for s in full) == sum(map(len, want))
     assert all(len(s.ids) == 4 * s.n_tokens for s in full)
     assert packing.pack(df.limit(0), vocabulary()).count() == 0
+
+
+def test_words_of_letters_are_cut_by_their_ends(monkeypatch):
+    """Words of letters need no word between them, also beside ones that fall into several pieces."""
+    from brightloom.llm import tokens
+    from brightloom.llm.queries import vocabulary
+
+    encoder = tokens.Encoder(vocabulary())
+    words = ["été", "word", "İstanbul", "ǅ", "日本語", "한국어", "ﬀ", "a", "don", "x1", "it's", "a|b", "—", "ª", "ｗｉｄｅ", "क्षि", "Ω"] + [f"q{'z' * n}e" for n in range(40)]
+    seen, keep = [], tokens.Encoder._plain
+    monkeypatch.setattr(tokens, "JOINED", 5)
+    monkeypatch.setattr(tokens.Encoder, "_plain", lambda self, texts: seen.extend(texts) or keep(self, texts))
+    got = encoder._words(words)
+    alone = [encoder.model.encode(w, add_special_tokens=False).ids for w in words]
+    assert [np.frombuffer(x, np.uint32).tolist() for x in got] == alone
+    out = [None] * len(words)
+    encoder._letters(words, out)
+    assert sum(x is not None for x in out) >= 40 and "a|b" in seen
+    assert all(x is None or np.frombuffer(x, np.uint32).tolist() == ids for x, ids in zip(out, alone))

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from brightloom.llm.columns import row_hash, spare
-from brightloom.llm.words import ROWS, mix, multipliers, release, shingle_sets, text_column
+from brightloom.llm.words import ROWS, has_words, mix, multipliers, release, shingle_sets, text_column
 from brightloom.session import cut, stage
 
 #: Members of a bucket that are compared in one block; bounds a task's memory.
@@ -419,19 +419,19 @@ def keep_one(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
     """The documents that stay, one row per component, all columns as they came: the one of
     least doc_id, of equal ones that of least hash. Rows without any word have no component
     and all stay."""
-    found = near_duplicates(docs, scheme)
-    own_id, own_hash, text_hash, rows = spare(docs, "_id", "_hash", "_text_hash", "_row_hash")
+    found = near_duplicates(docs, scheme).filter("component is not null")
+    own_id, own_hash, text_hash, rows, key = spare(docs, "_id", "_hash", "_text_hash", "_row_hash", "_key")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
-    pick = found.filter("component is not null").groupBy("component").agg(least.alias("pick")).select(
-        F.col("pick.doc_id").alias(own_id), F.col("pick.text_hash").alias(own_hash))
-    empty = found.filter("component is null").select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash))
+    pick = found.groupBy("component").agg(least.alias("pick")).select(F.col("pick.doc_id").alias(own_id), F.col("pick.text_hash").alias(own_hash))
     hashed = docs.withColumns({text_hash: F.xxhash64("text"), rows: row_hash(docs)})
     same = hashed.doc_id.cast("long").eqNullSafe(F.col(own_id)) & (hashed[text_hash] == F.col(own_hash))
-    blank = hashed.join(empty.distinct(), same, "left_semi")
-    # of rows with the same doc_id and text one stays, told by the hash of all columns
-    picked = hashed.join(pick, same, "left_semi")
-    first = picked.groupBy("doc_id", text_hash).agg(F.min(rows).alias(own_hash)).select(F.col("doc_id").alias(own_id), own_hash)
-    alike = picked.doc_id.eqNullSafe(first[own_id]) & (picked[rows] == first[own_hash])
-    stays = picked.join(first, alike, "left_semi").dropDuplicates(["doc_id", text_hash])
+    # of rows with the same doc_id and text one stays, told by the hash of all columns; it is
+    # named by hashes alone, so that whole rows are shuffled once
+    slim = hashed.select("doc_id", text_hash, rows).join(pick, same, "left_semi")
+    # never null, as on the other side: keys of one type need no cast, which would cost a shuffle
+    first = slim.groupBy("doc_id", text_hash).agg(F.coalesce(F.min(rows), F.lit(0)).alias(rows)).select(F.struct("doc_id", text_hash, rows).alias(key))
     columns = [f"`{c}`" for c in docs.columns]
-    return stays.select(*columns).unionByName(blank.select(*columns))
+    keyed = docs.select(*columns, F.struct("doc_id", F.xxhash64("text").alias(text_hash), row_hash(docs).alias(rows)).alias(key))
+    # by shuffle at every size, and equal rows meet in the same one
+    stays = keyed.join(first.hint("merge"), key, "left_semi").dropDuplicates([key])
+    return stays.select(*columns).unionByName(docs.filter(~has_words(F.col("text"))).select(*columns))

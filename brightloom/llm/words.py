@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 #: The same words for Spark's SQL functions: split here and drop empty pieces.
 BLANKS = "[\\x20\\x09-\\x0D]+"
@@ -44,6 +46,11 @@ def multipliers(n: int, seed: int) -> np.ndarray:
     return mix(np.arange(n, dtype=np.uint64) + np.uint64(seed) * np.uint64(1_000_003)) | np.uint64(1)
 
 
+def has_words(text: Column) -> Column:
+    """Whether a text holds a word; a null one does not."""
+    return F.coalesce(text.rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+
+
 def text_column(values: pa.Array | pa.ChunkedArray) -> pa.Array:
     """Whole texts as one array of its own, as some functions misread slices; null texts
     become empty."""

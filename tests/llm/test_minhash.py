@@ -121,3 +121,24 @@ def test_nulls_repeats_empty_tables_and_clashing_columns(spark):
 def test_repeated_rows_leave_one(spark):
     docs = spark.createDataFrame([(1, "x y z u v w")] * 5 + [(2, "x y z u v w")], SCHEMA)
     assert [r.doc_id for r in keep_one(docs).collect()] == [1]
+
+
+def test_whole_rows_are_shuffled_once_to_keep_one(spark):
+    """One copy of a row stays whatever its doc_id; blank rows all stay, repeated ones too."""
+    text = "a b c d e f g h"
+    rows = [(None, text, "x")] * 3 + [(5, "other words stand in this text", "y"), (5, "other words stand in this text", "z")]
+    blank = [(None, None, "n"), (None, None, "n"), (7, "", "e"), (7, " \t\x0b\r", "w"), (7, " \t\x0b\r", "w")]
+    edges = [(8, "\x1c", "s"), (9, "\xa0", "s"), (9, "\xa0", "s")]  # words, though Unicode calls them space
+    docs = spark.createDataFrame(rows + blank + edges, "doc_id long, text string, source string")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with large tables
+    try:
+        out = keep_one(docs)
+        got = sorted((tuple(r) for r in out.collect()), key=repr)
+        plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple").split("Initial Plan")[-1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert [r for r in got if r[0] != 5] == sorted([rows[0], *blank, *edges[:2]], key=repr)
+    assert len([r for r in got if r[0] == 5]) == 1
+    moved = re.findall(r"Exchange hashpartitioning[^\n]*\n([^\n]*)", plan)
+    assert len([m for m in moved if "text#" in re.sub(r"xxhash64\([^)]*\)", "", m)]) == 1, plan

@@ -70,6 +70,40 @@ def test_every_layout_of_a_large_host_is_learned(spark):
     assert got == {i: f"Story {i if i < 200 else i - 200} is told here at some length." for i, *_ in rows}
 
 
+REPORT = "<html><body><div class=news><p>News {0}.</p></div><div class=text><p>{1}</p></div></body></html>"
+
+
+def test_slots_come_from_all_pages(spark):
+    """The report varies on later pages alone, of which the first ones by id say nothing."""
+    rows = [(i, f"http://h/{i}", REPORT.format(i, "No report today." if i < 60 else f"Report {i} is told here at some length, " * 9 + "."), 0) for i in range(100)]
+    rows += [(100, "http://h/100", REPORT.format(100, "Last.") + "<pre>one</pre>", 0), (101, "http://h/101", REPORT.format(101, "Last.") + "<pre>three</pre>", 0)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, place int").repartition(5)
+    got = {r.page_id: r.text for r in wrapper.main_text(df).collect()}
+    assert {i: got[i] for i in range(100)} == {i: " ".join(h.split("<p>")[2].split("</p>")[0].split()) for i, _, h, _ in rows[:100]}
+    pages = [h for _, _, h, _ in rows]
+    known = wrapper._wrappers(wrapper.induce(pages))
+    assert got == {i: wrapper.extract(h, wrapper.induce(pages)) for i, _, h, _ in rows}
+    # pages in four buckets: a path on two of them is matched all the same, and Spark counts as `induce` does
+    ours = wrapper._wrappers(wrapper.learn(df).collect()[0].wrapper)
+    layout = wrapper.sketch(pages[0]).layout
+    assert set(ours) == {layout} and ours[layout] == known[layout]
+    assert [ours[layout].slots[wrapper._hash(p)] for p in ("/pre",)] == [len("one" + "three")]
+
+
+def test_simple_tree_matching_of_sketches():
+    one, two = ("<div>" + "".join(f"<h2>{x}</h2>" + "<p>x</p>" * (i % n) for i, x in enumerate("abcdefgh")) + "</div>" for n in (2, 3))
+    pairs = wrapper.simple_tree_matching(wrapper.parse(one), wrapper.parse(two))
+    hashed = wrapper.simple_tree_matching(*(wrapper._tree(wrapper.sketch(p).tree) for p in (one, two)))
+    assert len(hashed) == len(pairs) == 13 and all(a.label == b.label for a, b in hashed)
+
+
+def test_matching_of_long_lists_is_that_of_short_ones(monkeypatch):
+    one, two = (wrapper.parse("<div>" + "".join(f"<h{1 + i * n % 3}></h{1 + i * n % 3}>" + "<p></p>" * (i * i % n) for i in range(40)) + "</div>") for n in (5, 7))
+    long = wrapper.simple_tree_matching(one, two)
+    monkeypatch.setattr(wrapper, "WIDE", 1000)
+    assert [(id(a), id(b)) for a, b in wrapper.simple_tree_matching(one, two)] == [(id(a), id(b)) for a, b in long] and len(long) > 40
+
+
 def test_simple_tree_matching_keeps_order():
     one, two = wrapper.parse("<div><h1>a</h1><p>x</p><ul></ul></div>"), wrapper.parse("<div><p>y</p><table></table><ul></ul></div>")
     assert [a.tag for a, _ in wrapper.simple_tree_matching(one, two)] == ["", "div", "ul", "p"]

@@ -596,7 +596,7 @@ def _slot_rows(host: str, layout: int, bucket: int | None, found: dict[int, Slot
 SLOT_ARROW = pa.schema([
     ("host", pa.string()), ("layout", pa.int64()), ("bucket", pa.int64()), ("place", pa.int64()), ("above", pa.int64()),
     ("head", pa.bool_()), ("top", pa.bool_()), ("first", pa.int64()), ("chars", pa.int64()),
-])
+])
 
 
 def _all_slots(trees: DataFrame) -> DataFrame:
